@@ -63,25 +63,32 @@ def progress_snapshot(
     )
 
 
-def progress_windows(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
-    """State of each run at the end of every interval in which something happened.
-
-    Rows are counted per run and interval before the running sum, so its window
-    holds one row per interval of a run, however many requests the run has.
-    """
-    per_interval = (
+def interval_counts(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
+    """Requests per run, interval and state; works on batches and on streams."""
+    return (
         requests.groupBy("run_id", F.window("ts", f"{seconds} seconds").alias("w"))
         .agg(*status_counts())
         .select("run_id", F.col("w.end").alias("snapshot_at"), "total", *REQUEST_STATUSES)
     )
+
+
+def running_totals(intervals: DataFrame) -> DataFrame:
+    """State of each run at the end of every interval in which something happened.
+
+    The window holds one row per interval of a run, however many requests it has.
+    """
     so_far = (
         Window.partitionBy("run_id")
         .orderBy("snapshot_at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return per_interval.select(
+    return intervals.select(
         "run_id",
         "snapshot_at",
         F.col("completed").alias("completed_in_interval"),
         *[F.sum(name).over(so_far).alias(name) for name in ("total", *REQUEST_STATUSES)],
     )
+
+
+def progress_windows(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
+    return running_totals(interval_counts(requests, seconds))

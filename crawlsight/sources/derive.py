@@ -154,6 +154,35 @@ FROM {{events}}""",
         f"""
 SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, {_HOT_USER} AS resource, event_type AS event, props
 FROM {{events}}""",
+    ),
+    # Requests to start a run, some with seeds, some with an empty list, some without.
+    "seeds": (
+        ("events",),
+        f"""
+SELECT event_id AS request_no, 'run-' || CAST({_HOT_USER} AS STRING) AS run_id,
+  CASE WHEN value < 5 THEN NULL WHEN value < 10 THEN '[]'
+       ELSE '[{{{{"' || event_type || '":' || replace(props, ' ', '') || ',"retry":{{{{}}}}}}}},{{{{"' || event_type || '":{{{{}}}}}}}}]'
+       END AS seed_params
+FROM {{events}}""",
+    ),
+    "submissions": (
+        ("part",),
+        """
+SELECT p_partkey AS submission,
+  CASE WHEN p_size = 10 THEN 'crawl.' || lower(p_type) WHEN p_size = 11 THEN 'crawl.' || lower(p_type) || ':'
+       WHEN p_size = 12 THEN '' WHEN p_size = 13 THEN NULL
+       ELSE 'crawl.' || lower(p_type) || ':Part' || CAST(p_partkey AS STRING) || 'Scraper' END AS scraper_path,
+  CASE WHEN p_size = 14 THEN '' WHEN p_size = 15 THEN NULL
+       ELSE 'part' || CAST(p_partkey AS STRING) END AS scraper_schema
+FROM {part}""",
+    ),
+    # One interval schedule per queue, anchored at its first run.
+    "schedules": (
+        ("flow_runs",),
+        """
+SELECT queue, min(scheduled_at) AS anchor, CAST(86400 * (20 + count(*) % 10) AS BIGINT) AS interval_seconds,
+  CAST(40 + max(run_id) % 60 AS BIGINT) AS max_scheduled_runs
+FROM {flow_runs} GROUP BY queue""",
     ),
     # Class names are put together from the part names; some modules are tests,
     # some classes are re-exports, some need a browser.
@@ -195,12 +224,15 @@ LEFT JOIN (
 }
 
 
-def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A derived table, or one of the driver's own tables where ``name`` is not derived."""
+def derive(spark: SparkSession, folder: str, name: str, read=read_table) -> DataFrame:
+    """A derived table, or one of the driver's own tables where ``name`` is not derived.
+
+    ``read`` may open streams instead of tables.
+    """
     if name not in DERIVATIONS:
-        return read_table(spark, folder, name)
+        return read(spark, folder, name)
     inputs, sql = DERIVATIONS[name]
-    table = spark.sql(sql, **{each: derive(spark, folder, each) for each in inputs})
+    table = spark.sql(sql, **{each: derive(spark, folder, each, read) for each in inputs})
     if name == "sources":
         table = table.selectExpr(
             "path",

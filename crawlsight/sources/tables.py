@@ -11,6 +11,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream of files; its schema comes from the files there now."""
+    schema = read_table(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 def optional_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` where none exists.
 
