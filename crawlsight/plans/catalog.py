@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import archive, catalogue, history, runs, telemetry, triggers  # noqa: F401
+from . import archive, catalogue, history, runs, streams, telemetry, triggers  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

@@ -26,7 +26,7 @@ def main(folder: str, names: list[str]) -> int:
             frame = run(spark, folder)
             if name in checks:
                 problems = differences(frame, db, checks[name])
-                note = "ok" if not problems else "; ".join(problems)
+                note = f"ok, {frame.count()} rows" if not problems else "; ".join(problems)
             else:
                 note = f"ok, rows only: {frame.count()}"
         except Exception as error:  # noqa: BLE001 - report and go on
