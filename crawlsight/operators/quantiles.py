@@ -9,26 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICES_PER_E = 512  # slices per factor of e: neighbours differ by 0.2 %
-_TINY = 1e-9
-_NAN_SLICE = 2**31
+# Slices per factor of e (neighbours differ by 0.2 %), for values from a billionth up.
+# The slice never falls as the value grows; NaN counts as the largest value.
+VALUE_SLICE = """CASE WHEN isnan(_v) THEN 2147483648
+  WHEN _v < 0 THEN -floor(log1p(least(-_v, 1e290) / 1e-9) * 512) - 1
+  ELSE floor(log1p(least(_v, 1e290) / 1e-9) * 512) END"""
 
 
 def quantile_name(p: float) -> str:
     return "p" + f"{p * 100:g}".replace(".", "_")
 
 
-def _value_slice(value: Column) -> Column:
-    """An integer that never falls as the value grows."""
-    size = F.log1p(F.least(F.abs(value), F.lit(1e290)) / F.lit(_TINY))
-    step = F.floor(size * SLICES_PER_E)
-    signed = F.when(value < 0, -step - 1).otherwise(step)
-    return F.when(F.isnan(value), F.lit(_NAN_SLICE)).otherwise(signed)
-
-
 def exact_quantiles(
     rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
 ) -> DataFrame:
@@ -41,65 +35,49 @@ def exact_quantiles(
         .select(F.struct(*keys).alias("_key"), F.col(value).cast("double").alias("_v"))
         .groupBy("_key", "_v")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_slice", _value_slice(F.col("_v")))
+        .withColumn("_slice", F.expr(VALUE_SLICE))
     )
     totals = counts.groupBy("_key", "_slice").agg(
-        F.sum("_n").alias("_n"),
-        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
+        F.expr("sum(_n) AS _n"),
+        F.expr("sum(_v * _n) AS _sum"),
+        F.expr("min(_v) AS _min"),
+        F.expr("max(_v) AS _max"),
     )
-    group = Window.partitionBy("_key")
-    along = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = totals.select(
+    group = "OVER (PARTITION BY _key)"
+    along = "OVER (PARTITION BY _key ORDER BY _slice ROWS UNBOUNDED PRECEDING)"
+    placed = totals.selectExpr(
         "_key",
         "_slice",
-        (F.sum("_n").over(along) - F.col("_n")).alias("_from"),
-        F.sum("_n").over(along).alias("_to"),
-        F.sum("_n").over(group).alias("count"),
-        F.sum("_sum").over(group).alias("sum"),
-        F.min("_min").over(group).alias("min"),
-        F.max("_max").over(group).alias("max"),
+        f"sum(_n) {along} - _n AS _from",
+        f"sum(_n) {along} AS _to",
+        f"sum(_n) {group} AS count",
+        f"sum(_sum) {group} AS sum",
+        f"min(_min) {group} AS min",
+        f"max(_max) {group} AS max",
     )
 
-    def position(p: float) -> Column:
-        return (F.col("count") - 1) * F.lit(float(p))
-
-    def ranks(p: float) -> tuple[Column, Column]:
-        return F.floor(position(p)), F.ceil(position(p))
-
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("_from")) & (rank < F.col("_to"))
+    # Rows _from .. _to - 1 of a group, in order of value, are the ones at hand.
+    position = [f"((count - 1) * {float(p)!r}D)" for p in probs]
+    low = [f"(floor({at}) >= _from AND floor({at}) < _to)" for at in position]
+    high = [f"(ceil({at}) >= _from AND ceil({at}) < _to)" for at in position]
+    any_rank = " OR ".join(low + high)
 
-    def any_rank() -> Column:
-        hit = F.lit(False)
-        for p in probs:
-            for rank in ranks(p):
-                hit = hit | holds(rank)
-        return hit
-
-    wanted = placed.where(any_rank())
-    inside = (
-        Window.partitionBy("_key", "_slice")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    inside = "OVER (PARTITION BY _key, _slice ORDER BY _v ROWS UNBOUNDED PRECEDING)"
     near = (
-        counts.join(wanted.drop("_to"), ["_key", "_slice"])
-        .withColumn("_to", F.col("_from") + F.sum("_n").over(inside))
-        .withColumn("_from", F.col("_to") - F.col("_n"))
-        .where(any_rank())
+        counts.join(placed.where(any_rank).drop("_to"), ["_key", "_slice"])
+        .selectExpr("*", f"_from + sum(_n) {inside} AS _to")
+        .selectExpr("_key", "_v", "count", "sum", "min", "max", "_to - _n AS _from", "_to")
+        .where(any_rank)
     )
-    picks = []
-    for i, p in enumerate(probs):
-        low, high = ranks(p)
-        picks.append(F.max(F.when(holds(low), F.col("_v"))).alias(f"_low{i}"))
-        picks.append(F.max(F.when(holds(high), F.col("_v"))).alias(f"_high{i}"))
+    picks = [F.expr(f"max(IF({hit}, _v, NULL)) AS _low{i}") for i, hit in enumerate(low)]
+    picks += [F.expr(f"max(IF({hit}, _v, NULL)) AS _high{i}") for i, hit in enumerate(high)]
     stats = ["count", "sum", "min", "max"]
-    found = near.groupBy("_key").agg(*[F.first(name).alias(name) for name in stats], *picks)
-    out = []
-    for i, p in enumerate(probs):
-        share = position(p) - F.floor(position(p))
-        low = F.col(f"_low{i}")
-        out.append((low + (F.col(f"_high{i}") - low) * share).alias(quantile_name(p)))
-    return found.select(*[F.col(f"_key.{key}").alias(key) for key in keys], *stats, *out)
+    found = near.groupBy("_key").agg(*[F.expr(f"first({name}) AS {name}") for name in stats], *picks)
+    return found.selectExpr(
+        *[f"_key.{key} AS {key}" for key in keys],
+        *stats,
+        *[
+            f"_low{i} + (_high{i} - _low{i}) * ({at} - floor({at})) AS {quantile_name(p)}"
+            for i, (p, at) in enumerate(zip(probs, position))
+        ],
+    )

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 300
@@ -27,10 +27,11 @@ def sliced(
 
     The key is one struct, so that NULL keys meet each other in joins.
     """
-    return (
-        rows.withColumn("_key", F.struct(*keys))
-        .withColumn("_at", F.unix_micros(F.col(ts)))
-        .withColumn("_slice", F.floor(F.col("_at") / F.lit(slice_seconds * 1_000_000)))
+    return rows.selectExpr(
+        "*",
+        f"struct({', '.join(keys)}) AS _key",
+        f"unix_micros({ts}) AS _at",
+        f"floor(unix_micros({ts}) / {slice_seconds * 1_000_000}) AS _slice",
     )
 
 
@@ -47,39 +48,35 @@ def running(
     ``previous`` is the value on the row before it. All map new to old names.
     """
     sums, maxes, previous = dict(sums or {}), dict(maxes or {}), dict(previous or {})
-    last = F.struct(F.lit(1).alias("_some"), *[F.col(old).alias(new) for new, old in previous.items()])
-    order = ["_at", *ties]
-    outcome = [F.sum(old).alias(f"_t_{new}") for new, old in sums.items()]
-    outcome += [F.max(old).alias(f"_t_{new}") for new, old in maxes.items()]
+    order = ", ".join(["_at", *ties])
+    # The flag makes the struct differ from "no row before", even if all its values are NULL.
+    last = "struct(1 AS _some" + "".join(f", {old} AS {new}" for new, old in previous.items()) + ")"
+    outcome = [f"sum({old}) AS _t_{new}" for new, old in sums.items()]
+    outcome += [f"max({old}) AS _t_{new}" for new, old in maxes.items()]
     if previous:
-        outcome.append(F.max_by(last, F.struct(*order)).alias("_t_last"))
-    totals = rows.groupBy("_key", "_slice").agg(*outcome)
+        outcome.append(f"max_by({last}, struct({order})) AS _t_last")
+    totals = rows.groupBy("_key", "_slice").agg(*map(F.expr, outcome))
 
-    along = Window.partitionBy("_key").orderBy("_slice")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.sum(f"_t_{new}").over(before).alias(f"_c_{new}") for new in sums]
-    carried += [F.max(f"_t_{new}").over(before).alias(f"_c_{new}") for new in maxes]
+    along = "OVER (PARTITION BY _key ORDER BY _slice{})"
+    before = along.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    carried = [f"sum(_t_{new}) {before} AS _c_{new}" for new in sums]
+    carried += [f"max(_t_{new}) {before} AS _c_{new}" for new in maxes]
     if previous:
-        carried.append(F.lag("_t_last").over(along).alias("_c_last"))
-    joined = rows.join(totals.select("_key", "_slice", *carried), ["_key", "_slice"])
-
-    inside = Window.partitionBy("_key", "_slice").orderBy(*order)
-    up_to = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    kept = [F.col(name) for name in rows.columns]
-    added = [
-        (F.coalesce(F.col(f"_c_{new}"), F.lit(0)) + F.sum(old).over(up_to)).alias(new)
-        for new, old in sums.items()
-    ]
-    added += [
-        F.greatest(F.col(f"_c_{new}"), F.max(old).over(earlier)).alias(new) for new, old in maxes.items()
-    ]
-    if previous:
-        added.append(F.coalesce(F.lag(last).over(inside), F.col("_c_last")).alias("_last"))
-    result = joined.select(*kept, *added)
-    for new in previous:
-        result = result.withColumn(new, F.col(f"_last.{new}"))
-    return result.drop("_last")
+        carried.append(f"lag(_t_last) {along.format('')} AS _c_last")
+    joined = rows.join(totals.selectExpr("_key", "_slice", *carried), ["_key", "_slice"])
+
+    inside = f"OVER (PARTITION BY _key, _slice ORDER BY {order}{{}})"
+    up_to = inside.format(" ROWS UNBOUNDED PRECEDING")
+    earlier = inside.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    added = [f"coalesce(_c_{new}, 0) + sum({old}) {up_to} AS {new}" for new, old in sums.items()]
+    added += [f"greatest(_c_{new}, max({old}) {earlier}) AS {new}" for new, old in maxes.items()]
+    if not previous:
+        return joined.selectExpr(*rows.columns, *added)
+    added.append(f"coalesce(lag({last}) {inside.format('')}, _c_last) AS _last")
+    kept = [*rows.columns, *sums, *maxes]
+    return joined.selectExpr(*rows.columns, *added).selectExpr(
+        *kept, *[f"_last.{new} AS {new}" for new in previous]
+    )
 
 
 def unsliced(rows: DataFrame) -> DataFrame:
@@ -101,14 +98,14 @@ def since(
     sums, the second taken by a probe row at ``ts - seconds``. Amounts must be
     integers or decimals, so that the differences are exact.
     """
-    zero = [F.lit(0).cast(points.schema[name].dataType).alias(name) for name in amounts]
-    marks = points.select(*keys, ts, *amounts, F.lit(1).alias("_side"), F.col(ts).alias("_anchor"))
-    probes = points.select(
+    kinds = {field.name: field.dataType.simpleString() for field in points.schema.fields}
+    marks = points.selectExpr(*keys, ts, *amounts, "1 AS _side", f"{ts} AS _anchor")
+    probes = points.selectExpr(
         *keys,
-        (F.col(ts) - F.expr(f"INTERVAL '{seconds}' SECOND")).alias(ts),
-        *zero,
-        F.lit(-1).alias("_side"),
-        F.col(ts).alias("_anchor"),
+        f"{ts} - INTERVAL '{seconds}' SECOND AS {ts}",
+        *[f"CAST(0 AS {kinds[name]}) AS {name}" for name in amounts],
+        "-1 AS _side",
+        f"{ts} AS _anchor",
     )
     # A probe stands before a mark of the same time, so that the frame's edge is inside.
     scanned = running(
@@ -117,6 +114,6 @@ def since(
         ties=["_side"],
     )
     return scanned.groupBy(*keys, F.col("_anchor").alias(ts)).agg(
-        *[F.sum(name).alias(name) for name in amounts],
-        *[F.sum(F.col(f"_r_{name}") * F.col("_side")).alias(f"{name}_since") for name in amounts],
+        *[F.expr(f"sum({name}) AS {name}") for name in amounts],
+        *[F.expr(f"sum(_r_{name} * _side) AS {name}_since") for name in amounts],
     )
