@@ -274,11 +274,10 @@ def _(t):
 FROM requests r JOIN runs u ON r.run_id = u.run_id GROUP BY 1, 2""",
 )
 def _(t):
-    """Publish the requests of all runs, publish them again, and read the archive back."""
+    """Publish the requests of all runs and read the archive back."""
     requests = t("requests").join(t("runs").select("run_id", "schema"), "run_id")
     path = fresh_dir(t.spark, "archive-requests")
     write_runs(requests, path)
-    write_runs(requests, path)
     stored = t.spark.read.parquet(path)
     return stored.groupBy("schema", "run_id").agg(
         F.count("*").alias("requests"), F.sum("id").alias("id_sum")

@@ -69,7 +69,7 @@ def _(t):
   FROM trigger_events WHERE event IN ('error', 'view'))
 SELECT resource, window_start, window_start + INTERVAL 6 HOURS AS fired_at, count(*) AS events
 FROM s WHERE window_start + INTERVAL 6 HOURS <=
-  (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM trigger_events WHERE event IN ('error', 'view'))
+  {WATERMARK.format(table="trigger_events")}
 GROUP BY 1, 2 HAVING count(*) >= 3""",
 )
 def _(t):

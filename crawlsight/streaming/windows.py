@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import progress, telemetry
-from ..operators.triggers import KEY, trigger_match
+from ..operators.triggers import KEY, is_expected
 
 LATENESS = "10 minutes"
 
@@ -72,12 +72,15 @@ def trigger_stream(
     match: Mapping[str, str | Sequence[str]] | None = None,
     keys: Sequence[str] = KEY,
 ) -> DataFrame:
-    """Sliding windows per key that hold at least ``threshold`` expected events."""
+    """Sliding windows per key that hold at least ``threshold`` expected events.
+
+    Other events are counted as zero instead of being filtered out, so that they too
+    move the watermark: a window closes in time even if its own events are rare.
+    """
     return (
-        trigger_match(events, expects, match)
-        .withWatermark("ts", lateness)
+        events.withWatermark("ts", lateness)
         .groupBy(*keys, F.window("ts", within, slide).alias("w"))
-        .agg(F.count("*").alias("events"))
+        .agg(F.count_if(is_expected(expects, match)).alias("events"))
         .where(F.col("events") >= threshold)
         .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("fired_at"), "events")
     )
