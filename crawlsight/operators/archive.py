@@ -156,36 +156,41 @@ def dangling_pointers(pointers: DataFrame, objects: DataFrame, base: str = FILE_
 def integrity_check(requests: DataFrame, results: DataFrame, errors: DataFrame) -> DataFrame:
     """Broken table rules as (run_id, issue, n); empty when the run tables are sound.
 
-    Ids are counted once; the same shuffle answers both the uniqueness rule and
-    the question whether an error's request exists.
+    Rules on single rows are counted in one pass per table. Ids are counted once
+    more: that shuffle answers both the uniqueness rule and the question whether
+    an error's request exists.
     """
 
-    def issue(name: str, rows: DataFrame, n: Column) -> DataFrame:
-        return rows.groupBy("run_id").agg(n.alias("n")).select(
-            "run_id", F.lit(name).alias("issue"), "n"
+    def row_rules(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
+        counted = rows.groupBy("run_id").agg(
+            *[F.count_if(broken).alias(f"n{i}") for i, broken in enumerate(rules.values())]
         )
+        issues = [
+            F.struct(F.lit(name).alias("issue"), F.col(f"n{i}").alias("n"))
+            for i, name in enumerate(rules)
+        ]
+        return counted.select("run_id", F.inline(F.array(*issues))).where(F.col("n") > 0)
+
+    def per_run(name: str, rows: DataFrame, n: Column) -> DataFrame:
+        return rows.groupBy("run_id").agg(n.alias("n")).select("run_id", F.lit(name).alias("issue"), "n")
 
     known = F.coalesce(F.col("status").isin(*REQUEST_STATUSES), F.lit(False))
     no_key = F.col("run_id").isNull() | F.col("id").isNull()
+    odd_flag = F.coalesce(~F.col("is_valid").isin(0, 1), F.lit(False))
     ids = requests.groupBy("run_id", "id").agg(F.count("*").alias("copies"))
     asked = (
         errors.where(F.col("request_id").isNotNull())
         .groupBy("run_id", F.col("request_id").alias("id"))
         .agg(F.count("*").alias("k"))
     )
-    found = [
-        issue("duplicate request id", ids.where(F.col("copies") > 1), F.sum(F.col("copies") - 1)),
-        issue("request without key", requests.where(no_key), F.count("*")),
-        issue("unknown request status", requests.where(~known), F.count("*")),
-        issue("result without key", results.where(no_key), F.count("*")),
-        issue("result flag not 0 or 1", results.where(~F.col("is_valid").isin(0, 1)), F.count("*")),
-        issue("error without key", errors.where(no_key), F.count("*")),
-        issue("error without its request", asked.join(ids, ["run_id", "id"], "left_anti"), F.sum("k")),
-    ]
-    every = found[0]
-    for each in found[1:]:
-        every = every.unionByName(each)
-    return every
+    orphans = asked.join(ids, ["run_id", "id"], "left_anti")
+    return (
+        row_rules(requests, {"request without key": no_key, "unknown request status": ~known})
+        .unionByName(row_rules(results, {"result without key": no_key, "result flag not 0 or 1": odd_flag}))
+        .unionByName(row_rules(errors, {"error without key": no_key}))
+        .unionByName(per_run("duplicate request id", ids.where(F.col("copies") > 1), F.sum(F.col("copies") - 1)))
+        .unionByName(per_run("error without its request", orphans, F.sum("k")))
+    )
 
 
 def require_sound(issues: DataFrame, shown: int = 20) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
-from .scans import running, sliced, unsliced
+from .scans import HISTORY_SLICE, running, sliced, unsliced
 
 RUN_STATES = ("COMPLETED", "FAILED", "CANCELLED", "RUNNING", "SCHEDULED")
 
@@ -51,8 +51,9 @@ def concurrency_audit(flow_runs: DataFrame, queues: DataFrame) -> DataFrame:
         started.where(F.col("ended_at").isNotNull()).select("queue", "ended_at", F.lit(-1))
     )
     moments = changes.groupBy("queue", "ts").agg(F.sum("d").alias("d"))
-    # Run histories span years, so an hour is a fine enough slice.
-    level = unsliced(running(sliced(moments, ["queue"], slice_seconds=3600), sums={"level": "d"}))
+    level = unsliced(
+        running(sliced(moments, ["queue"], slice_seconds=HISTORY_SLICE), sums={"level": "d"})
+    )
     # One row per queue and level: the limit is looked up after the moments are counted.
     levels = level.groupBy("queue", "level").agg(F.count("*").alias("moments"))
     over = F.when(F.col("level") > F.col("concurrency_limit"), F.col("moments")).otherwise(0)

@@ -17,7 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_SECONDS = 300
+SLICE_SECONDS = 300  # for dense event streams
+HISTORY_SLICE = 86_400  # for run histories, which span years
 
 
 def sliced(

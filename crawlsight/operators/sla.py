@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scans import running, sliced, unsliced
+from .scans import HISTORY_SLICE, running, sliced, unsliced
 from .triggers import trigger_match
 
 # Severity levels, mildest first, and the default.
@@ -74,7 +74,7 @@ def gaps(moments: DataFrame, keys: Sequence[str], limit: float, as_of: dt.dateti
     points = seen.withColumn("is_open", F.lit(False)).unionByName(
         closing.select(*keys, F.lit(as_of).alias("ts"), F.lit(True).alias("is_open"))
     )
-    stepped = unsliced(running(sliced(points, keys, slice_seconds=3600), previous={"last_at": "ts"}))
+    stepped = unsliced(running(sliced(points, keys, slice_seconds=HISTORY_SLICE), previous={"last_at": "ts"}))
     return stepped.select(
         *keys, "last_at", "is_open", _seconds(F.col("last_at"), F.col("ts")).alias("seconds")
     ).where(F.col("seconds") > limit)

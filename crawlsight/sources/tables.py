@@ -48,13 +48,21 @@ def write_runs(table: DataFrame, path: str, keys: tuple[str, ...] = ("schema", "
 
     The writer stages its files and publishes them when the job commits, so a lost
     executor leaves nothing half-written and a repeated run gives the same folders.
-    The rebalance hint splits a huge run over several files and merges small ones,
-    instead of one file per task and run.
+    The rebalance hint sends a run to one task, but splits a huge run over several.
+    Small tasks are not merged for this write: a task that collects thousands of
+    tiny runs would open their files one after the other.
     """
-    (
-        table.hint("rebalance", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+    spark = table.sparkSession
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        (
+            table.hint("rebalance", *keys)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys)
+            .parquet(path)
+        )
+    finally:
+        spark.conf.set(merging, before)
