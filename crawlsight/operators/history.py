@@ -47,9 +47,8 @@ def concurrency_audit(flow_runs: DataFrame, queues: DataFrame) -> DataFrame:
     the next one starts does not overlap it.
     """
     started = flow_runs.where(F.col("started_at").isNotNull())
-    changes = started.select("queue", F.col("started_at").alias("ts"), F.lit(1).alias("d")).union(
-        started.where(F.col("ended_at").isNotNull()).select("queue", "ended_at", F.lit(-1))
-    )
+    both = "inline(array(struct(started_at AS ts, 1 AS d), struct(ended_at AS ts, -1 AS d)))"
+    changes = started.selectExpr("queue", both).where(F.col("ts").isNotNull())
     moments = changes.groupBy("queue", "ts").agg(F.sum("d").alias("d"))
     level = unsliced(
         running(sliced(moments, ["queue"], slice_seconds=HISTORY_SLICE), sums={"level": "d"})

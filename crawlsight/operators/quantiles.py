@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Slices per factor of e (neighbours differ by 0.2 %), for values from a billionth up.
-# The slice never falls as the value grows; NaN counts as the largest value.
-VALUE_SLICE = """CASE WHEN isnan(_v) THEN 2147483648
+# The slice never falls as the value grows; NaN counts as the largest value. The outer
+# coalesce only tells Spark that a slice is never NULL: else the join below would filter
+# one of its sides, and the shuffle that both sides share would run twice.
+VALUE_SLICE = """coalesce(CASE WHEN isnan(_v) THEN 2147483648
   WHEN _v < 0 THEN -floor(log1p(least(-_v, 1e290) / 1e-9) * 512) - 1
-  ELSE floor(log1p(least(_v, 1e290) / 1e-9) * 512) END"""
+  ELSE floor(log1p(least(_v, 1e290) / 1e-9) * 512) END, 0)"""
 
 
 def quantile_name(p: float) -> str:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 300  # for dense event streams
+NO_TIME = -(2**62)
 HISTORY_SLICE = 86_400  # for run histories, which span years
 
 
@@ -26,13 +27,15 @@ def sliced(
 ) -> DataFrame:
     """Add the key and slice columns that :func:`running` works on.
 
-    The key is one struct, so that NULL keys meet each other in joins.
+    The key is one struct, so that NULL keys meet each other in joins. Rows without
+    a time share a slice before all others; as no slice is NULL, Spark adds no
+    filter to the join in ``running`` and both its sides share one shuffle.
     """
     return rows.selectExpr(
         "*",
         f"struct({', '.join(keys)}) AS _key",
         f"unix_micros({ts}) AS _at",
-        f"floor(unix_micros({ts}) / {slice_seconds * 1_000_000}) AS _slice",
+        f"coalesce(floor(unix_micros({ts}) / {slice_seconds * 1_000_000}), {NO_TIME}) AS _slice",
     )
 
 
@@ -50,34 +53,30 @@ def running(
     """
     sums, maxes, previous = dict(sums or {}), dict(maxes or {}), dict(previous or {})
     order = ", ".join(["_at", *ties])
-    # The flag makes the struct differ from "no row before", even if all its values are NULL.
-    last = "struct(1 AS _some" + "".join(f", {old} AS {new}" for new, old in previous.items()) + ")"
+    latest = f"struct({order})" if ties else "_at"
     outcome = [f"sum({old}) AS _t_{new}" for new, old in sums.items()]
     outcome += [f"max({old}) AS _t_{new}" for new, old in maxes.items()]
-    if previous:
-        outcome.append(f"max_by({last}, struct({order})) AS _t_last")
+    outcome += [f"max_by({old}, {latest}) AS _t_{new}" for new, old in previous.items()]
     totals = rows.groupBy("_key", "_slice").agg(*map(F.expr, outcome))
 
     along = "OVER (PARTITION BY _key ORDER BY _slice{})"
     before = along.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     carried = [f"sum(_t_{new}) {before} AS _c_{new}" for new in sums]
     carried += [f"max(_t_{new}) {before} AS _c_{new}" for new in maxes]
-    if previous:
-        carried.append(f"lag(_t_last) {along.format('')} AS _c_last")
+    carried += [f"lag(_t_{new}) {along.format('')} AS _c_{new}" for new in previous]
     joined = rows.join(totals.selectExpr("_key", "_slice", *carried), ["_key", "_slice"])
 
     inside = f"OVER (PARTITION BY _key, _slice ORDER BY {order}{{}})"
     up_to = inside.format(" ROWS UNBOUNDED PRECEDING")
     earlier = inside.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    here = inside.format("")
     added = [f"coalesce(_c_{new}, 0) + sum({old}) {up_to} AS {new}" for new, old in sums.items()]
     added += [f"greatest(_c_{new}, max({old}) {earlier}) AS {new}" for new, old in maxes.items()]
-    if not previous:
-        return joined.selectExpr(*rows.columns, *added)
-    added.append(f"coalesce(lag({last}) {inside.format('')}, _c_last) AS _last")
-    kept = [*rows.columns, *sums, *maxes]
-    return joined.selectExpr(*rows.columns, *added).selectExpr(
-        *kept, *[f"_last.{new} AS {new}" for new in previous]
-    )
+    added += [
+        f"IF(row_number() {here} = 1, _c_{new}, lag({old}) {here}) AS {new}"
+        for new, old in previous.items()
+    ]
+    return joined.selectExpr(*rows.columns, *added)
 
 
 def unsliced(rows: DataFrame) -> DataFrame:
@@ -100,17 +99,14 @@ def since(
     integers or decimals, so that the differences are exact.
     """
     kinds = {field.name: field.dataType.simpleString() for field in points.schema.fields}
-    marks = points.selectExpr(*keys, ts, *amounts, "1 AS _side", f"{ts} AS _anchor")
-    probes = points.selectExpr(
-        *keys,
-        f"{ts} - INTERVAL '{seconds}' SECOND AS {ts}",
-        *[f"CAST(0 AS {kinds[name]}) AS {name}" for name in amounts],
-        "-1 AS _side",
-        f"{ts} AS _anchor",
-    )
+    zeros = "".join(f", CAST(0 AS {kinds[name]}) AS {name}" for name in amounts)
+    own = "".join(f", {name}" for name in amounts)
     # A probe stands before a mark of the same time, so that the frame's edge is inside.
+    mark = f"struct({ts} AS {ts}, 1 AS _side{own})"
+    probe = f"struct({ts} - INTERVAL '{seconds}' SECOND AS {ts}, -1 AS _side{zeros})"
+    both = points.selectExpr(*keys, f"{ts} AS _anchor", f"inline(array({mark}, {probe}))")
     scanned = running(
-        sliced(marks.unionByName(probes), keys, ts, slice_seconds),
+        sliced(both, keys, ts, slice_seconds),
         sums={f"_r_{name}": name for name in amounts},
         ties=["_side"],
     )

@@ -46,21 +46,27 @@ def _seconds(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / 1_000_000
 
 
+def run_seconds(as_of: dt.datetime) -> Column:
+    """Time a run took, or has taken by ``as_of``; NULL before it starts."""
+    return _seconds(F.col("started_at"), F.coalesce("ended_at", F.lit(as_of)))
+
+
+def start_delay(as_of: dt.datetime) -> Column:
+    """Time between the scheduled start and the real one, or ``as_of``."""
+    return _seconds(F.col("scheduled_at"), F.coalesce("started_at", F.lit(as_of)))
+
+
 def sla_time_to_completion(flow_runs: DataFrame, duration: float, as_of: dt.datetime) -> DataFrame:
     """Runs that took, or by now have taken, longer than ``duration`` seconds."""
-    took = _seconds(F.col("started_at"), F.coalesce("ended_at", F.lit(as_of)))
-    return (
-        flow_runs.where(F.col("started_at").isNotNull())
-        .select("queue", "run_id", F.col("started_at").alias("at"), took.alias("seconds"))
-        .where(F.col("seconds") > duration)
-    )
+    return flow_runs.select(
+        "queue", "run_id", F.col("started_at").alias("at"), run_seconds(as_of).alias("seconds")
+    ).where(F.col("seconds") > duration)
 
 
 def sla_lateness(flow_runs: DataFrame, within: float, as_of: dt.datetime) -> DataFrame:
     """Runs that started later than ``within`` seconds after their time, or not yet."""
-    late = _seconds(F.col("scheduled_at"), F.coalesce("started_at", F.lit(as_of)))
     return flow_runs.select(
-        "queue", "run_id", F.col("scheduled_at").alias("at"), late.alias("seconds")
+        "queue", "run_id", F.col("scheduled_at").alias("at"), start_delay(as_of).alias("seconds")
     ).where(F.col("seconds") > within)
 
 
@@ -101,32 +107,51 @@ def sla_freshness(
 def violations(
     slas: Sequence[Sla], flow_runs: DataFrame, events: DataFrame, as_of: dt.datetime
 ) -> DataFrame:
-    """All violations of the enabled rules as (sla, kind, severity, subject, seconds)."""
-    found = None
-    for sla in slas:
-        if not sla.enabled:
-            continue
-        subject = F.col("queue")
-        if sla.kind == "time_to_completion":
-            rows = sla_time_to_completion(flow_runs, sla.duration, as_of)
-        elif sla.kind == "frequency":
-            rows = sla_frequency(flow_runs, sla.stale_after, as_of)
-        elif sla.kind == "lateness":
-            rows = sla_lateness(flow_runs, sla.within, as_of)
-        else:
-            rows = sla_freshness(events, sla.expected_event, sla.within, as_of, sla.resource_match)
-            subject = F.col("resource").cast("string")
-        each = rows.select(
+    """All violations of the enabled rules as (sla, kind, severity, subject, seconds).
+
+    Rules that look at single runs are all tested in one pass over the runs.
+    """
+    enabled = [sla for sla in slas if sla.enabled]
+    if not enabled:
+        raise ValueError("no enabled rule")
+
+    def named(sla: Sla) -> list[Column]:
+        return [
             F.lit(sla.name).alias("sla"),
             F.lit(sla.kind).alias("kind"),
             F.lit(sla.severity or DEFAULT_SEVERITY).alias("severity"),
-            subject.alias("subject"),
-            "seconds",
+        ]
+
+    found = []
+    per_run = [sla for sla in enabled if sla.kind in ("time_to_completion", "lateness")]
+    if per_run:
+        took, late = run_seconds(as_of), start_delay(as_of)
+        tests = [
+            F.struct(
+                *named(sla),
+                (took if sla.kind == "time_to_completion" else late).alias("seconds"),
+                F.lit(float(sla.within if sla.duration is None else sla.duration)).alias("limit"),
+            )
+            for sla in per_run
+        ]
+        rows = flow_runs.select(F.col("queue").alias("subject"), F.inline(F.array(*tests)))
+        found.append(
+            rows.where(F.col("seconds") > F.col("limit")).select(
+                "sla", "kind", "severity", "subject", "seconds"
+            )
         )
-        found = each if found is None else found.unionByName(each)
-    if found is None:
-        raise ValueError("no enabled rule")
-    return found
+    for sla in enabled:
+        if sla.kind == "frequency":
+            rows = sla_frequency(flow_runs, sla.stale_after, as_of)
+            found.append(rows.select(*named(sla), F.col("queue").alias("subject"), "seconds"))
+        elif sla.kind == "freshness":
+            rows = sla_freshness(events, sla.expected_event, sla.within, as_of, sla.resource_match)
+            subject = F.col("resource").cast("string").alias("subject")
+            found.append(rows.select(*named(sla), subject, "seconds"))
+    every = found[0]
+    for each in found[1:]:
+        every = every.unionByName(each)
+    return every
 
 
 def sla_severity_rollup(found: DataFrame) -> DataFrame:

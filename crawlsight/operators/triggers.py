@@ -87,23 +87,22 @@ def trigger_proactive(
     """
     if not afters:
         return _idle_windows(events, expects, threshold, within, as_of, keys)
-    expected = _moments(trigger_match(events, expects), keys)
-    anchors = events.where(F.col("event").isin(*afters)).select(*keys, "ts").distinct()
-    deadline = F.col("ts") + seconds_before(within)
-    none = F.lit(None).cast("timestamp")
-    marks = expected.select(*keys, "ts", "n", F.lit(0).alias("_side"), F.lit(0).alias("_sign"), none.alias("after_at"))
-    starts = anchors.select(
-        *keys, "ts", F.lit(0).alias("n"), F.lit(1).alias("_side"), F.lit(-1).alias("_sign"), F.col("ts").alias("after_at")
+    # One pass: what a moment counts, and the two probes of a moment that starts a wait.
+    moments = (
+        events.where(is_expected(expects) | F.col("event").isin(*afters))
+        .groupBy(*keys, "ts")
+        .agg(
+            F.count_if(is_expected(expects)).alias("n"),
+            F.max(F.col("event").isin(*afters)).alias("starts"),
+        )
     )
-    ends = anchors.select(
-        *keys,
-        deadline.alias("ts"),
-        F.lit(0).alias("n"),
-        F.lit(2).alias("_side"),
-        F.lit(1).alias("_sign"),
-        F.col("ts").alias("after_at"),
+    mark = "struct(ts AS at, n AS n, 0 AS _side, 0 AS _sign)"
+    probe = "struct(ts{} AS at, 0L AS n, {} AS _side, {} AS _sign)"
+    wait = f"{probe.format('', 1, -1)}, {probe.format(f' + INTERVAL {within} SECOND', 2, 1)}"
+    points = moments.selectExpr(
+        *keys, "ts AS after_at", f"inline(IF(starts, array({mark}, {wait}), array({mark})))"
     )
-    points = sliced(marks.unionByName(starts).unionByName(ends), keys)
+    points = sliced(points, keys, "at")
     scanned = running(points, sums={"_count": "n"}, ties=["_side"]).where(F.col("_side") > 0)
     return (
         scanned.groupBy(*keys, "after_at")
@@ -182,16 +181,22 @@ def trigger_sequence(
     the chains that reached the child before it at an earlier moment. The latest
     start is the best one, so no pairs of events are needed.
     """
-    flags = [F.max(is_expected(child)).alias(f"c{i}") for i, child in enumerate(children)]
-    any_child = F.lit(False)
-    for child in children:
-        any_child = any_child | is_expected(child)
-    moments = events.where(any_child).groupBy(*keys, "ts").agg(*flags)
-    chain = sliced(moments, keys).withColumn("s0", F.when(F.col("c0"), F.col("ts")))
+    # The children seen at a moment are the bits of one number. As one column it is
+    # carried whole, so that all steps of the chain share the first shuffle.
+    bits = F.lit(0)
+    for i, child in enumerate(children):
+        bits = bits + F.when(is_expected(child), 1 << i).otherwise(0)
+    moments = (
+        events.withColumn("_bits", bits)
+        .where(F.col("_bits") > 0)
+        .groupBy(*keys, "ts")
+        .agg(F.bit_or("_bits").alias("_bits"))
+    )
+    chain = sliced(moments, keys).withColumn("s0", F.expr("IF(_bits & 1 > 0, ts, NULL)"))
     for i in range(1, len(children)):
         chain = (
             running(chain, maxes={"_best": f"s{i - 1}"})
-            .withColumn(f"s{i}", F.when(F.col(f"c{i}"), F.col("_best")))
+            .withColumn(f"s{i}", F.expr(f"IF(_bits & {1 << i} > 0, _best, NULL)"))
             .drop("_best")
         )
     start = F.col(f"s{len(children) - 1}")
