@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A named table. Its schema is read from a footer once per process and path."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a JSON-lines export; the schema is given, so nothing is read to guess it."""
+    return spark.read.schema(schema).json(path)
 
 
 def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +55,18 @@ def list_objects(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_reports(reports: DataFrame, path: str) -> None:
+    """Publish the reports of :func:`~crawlsight.operators.runs.run_report` as text, one folder per run."""
+    (
+        # The writer ends each value with a line break of its own.
+        reports.select("run_id", F.regexp_replace("report", r"\n$", "").alias("value"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .text(path)
+    )
+
+
 def write_runs(table: DataFrame, path: str, keys: tuple[str, ...] = ("schema", "run_id")) -> None:
     """Publish run tables, one folder per (schema, run), replacing only runs in ``table``.
 
