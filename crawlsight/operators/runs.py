@@ -139,58 +139,60 @@ def pivot_wide(
 def pivot_markdown(
     triples: DataFrame, row: str, col: str, row_header: str, col_header: str, n: str = "n"
 ) -> DataFrame:
-    """Each run's pivot as one markdown table. Zero cells are blank, totals bold.
+    """Each run's pivot as one markdown table, with its grand total.
 
-    The arrays hold distinct labels of one run, never its rows.
+    Zero cells are blank, totals bold. The arrays hold the cells of one table, which
+    are distinct labels of a run and never its rows; no joins are needed to lay it out.
     """
-    cells = _labelled(triples, row, col, n)
-    columns = cells.groupBy("run_id", "col_key").agg(F.sum("n").alias("n"))
-    heads = (
-        columns.groupBy("run_id")
+    rows = (
+        _labelled(triples, row, col, n)
+        .groupBy("run_id", "row_key")
         .agg(
-            F.array_sort(F.collect_list(F.struct("col_key", "n"))).alias("cols"),
-            F.sum("n").alias("grand"),
+            F.map_from_entries(F.collect_list(F.struct("col_key", "n"))).alias("by_col"),
+            F.sum("n").alias("total"),
         )
-        .select("run_id", "cols", "grand")
     )
-    rows = cells.groupBy("run_id", "row_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_key", "n"))).alias("by_col"),
-        F.sum("n").alias("total"),
+    tables = (
+        rows.groupBy("run_id")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("row_key", "total"))).alias("names"),
+            F.map_from_entries(F.collect_list(F.struct("row_key", "by_col"))).alias("lines"),
+            F.sum("total").alias("total"),
+        )
+        .withColumn(
+            "cols",
+            F.array_sort(
+                F.array_distinct(F.flatten(F.transform(F.map_values("lines"), lambda m: F.map_keys(m))))
+            ),
+        )
     )
 
-    def shown(c: Column) -> Column:
-        value = F.try_element_at(F.col("by_col"), c["col_key"])
+    def shown(line: Column, c: Column) -> Column:
+        value = F.try_element_at(line, c)
         return F.when(F.coalesce(value, F.lit(0)) == 0, "").otherwise(value.cast("string"))
 
-    lines = rows.join(heads, "run_id").select(
-        "run_id",
-        F.struct(
-            "row_key",
-            text.cells(
-                F.col("row_key"),
-                F.array_join(F.transform("cols", shown), " | "),
-                text.bold(F.col("total")),
-            ).alias("line"),
-        ).alias("entry"),
-    )
-    bodies = lines.groupBy("run_id").agg(
-        F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["line"]).alias("body")
-    )
+    def body_line(entry: Column) -> Column:
+        line = F.try_element_at(F.col("lines"), entry["row_key"])
+        cells = F.array_join(F.transform("cols", lambda c: shown(line, c)), " | ")
+        return text.cells(entry["row_key"], cells, text.bold(entry["total"]))
+
+    def col_total(c: Column) -> Column:
+        zero = F.lit(0).cast("bigint")
+        return F.aggregate(
+            F.map_values("lines"), zero, lambda acc, m: acc + F.coalesce(F.try_element_at(m, c), zero)
+        )
+
     head = text.cells(
-        F.lit(f"{row_header} \\ {col_header}"),
-        F.array_join(F.transform("cols", lambda c: c["col_key"]), " | "),
-        F.lit("**Total**"),
+        F.lit(f"{row_header} \\ {col_header}"), F.array_join("cols", " | "), F.lit("**Total**")
     )
     rule = F.concat(F.lit("| --- |"), F.repeat(F.lit(" --- |"), F.size("cols") + 1))
     foot = text.cells(
         F.lit("**Total**"),
-        F.array_join(F.transform("cols", lambda c: text.bold(c["n"])), " | "),
-        text.bold(F.col("grand")),
-    )
-    return heads.join(bodies, "run_id").select(
-        "run_id",
-        F.array_join(F.concat(F.array(head, rule), F.col("body"), F.array(foot)), "\n").alias("markdown"),
+        F.array_join(F.transform("cols", lambda c: text.bold(col_total(c))), " | "),
+        text.bold(F.col("total")),
     )
+    lines = F.concat(F.array(head, rule), F.transform("names", body_line), F.array(foot))
+    return tables.select("run_id", "total", F.array_join(lines, "\n").alias("markdown"))
 
 
 def requests_total(requests: DataFrame) -> DataFrame:
@@ -377,18 +379,20 @@ def run_report(
     runs: DataFrame, requests: DataFrame, results: DataFrame, errors: DataFrame, k: int = DETAIL_ROWS
 ) -> DataFrame:
     """One markdown document per finished run."""
-    steps = errors_by_continuation(errors, requests)
-    status = requests_by_status(requests)
+    status = pivot_markdown(
+        requests_by_status(requests), "continuation", "status", "Continuation", "Status"
+    )
+    steps = pivot_markdown(
+        errors_by_continuation(errors, requests),
+        "continuation",
+        "error_type",
+        "Continuation",
+        "Error type",
+    )
     parts = (
-        status.groupBy("run_id").agg(F.sum("n").alias("requests")),
-        pivot_markdown(status, "continuation", "status", "Continuation", "Status").withColumnRenamed(
-            "markdown", "requests_md"
-        ),
+        status.withColumnsRenamed({"total": "requests", "markdown": "requests_md"}),
         _result_markdown(results),
-        steps.groupBy("run_id").agg(F.sum("n").alias("errors")),
-        pivot_markdown(steps, "continuation", "error_type", "Continuation", "Error type").withColumnRenamed(
-            "markdown", "errors_md"
-        ),
+        steps.withColumnsRenamed({"total": "errors", "markdown": "errors_md"}),
         _detail_markdown(errors, k),
     )
     joined = runs.where(~F.col("drained"))

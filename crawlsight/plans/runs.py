@@ -172,7 +172,8 @@ def _(t):
 )
 def _(t):
     steps = runs.errors_by_continuation(t("errors"), t("requests"))
-    return runs.pivot_markdown(steps, "continuation", "error_type", "Continuation", "Error type")
+    tables = runs.pivot_markdown(steps, "continuation", "error_type", "Continuation", "Error type")
+    return tables.select("run_id", "markdown")
 
 
 @query(
