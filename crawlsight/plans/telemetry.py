@@ -62,13 +62,13 @@ names AS (SELECT unnest(['total', 'rate_limiter.gate', 'transport.resolve', 'con
 sums AS (SELECT scraper, step, CASE name WHEN 'request' THEN 'total' ELSE name END AS phase, sum(seconds) AS seconds
   FROM spans GROUP BY 1, 2, 3)
 SELECT t.scraper, t.step, n.phase, round(coalesce(s.seconds, 0), 6) AS seconds,
-  round(coalesce(s.seconds, 0) / nullif(t.total, 0), 6) AS share
+  round(coalesce(s.seconds, 0) / nullif(t.total, 0), 10) AS share
 FROM total t CROSS JOIN names n
 LEFT JOIN sums s ON s.scraper = t.scraper AND s.step = t.step AND s.phase = n.phase""",
 )
 def _(t):
     return telemetry.phase_breakdown(t("spans")).select(
-        "scraper", "step", "phase", F.round("seconds", 6).alias("seconds"), F.round("share", 6).alias("share")
+        "scraper", "step", "phase", F.round("seconds", 6).alias("seconds"), F.round("share", 10).alias("share")
     )
 
 
@@ -82,7 +82,7 @@ w AS (SELECT name AS phase, max(n) FILTER (backend = 's3') AS count_s3, max(n) F
     max(p50) FILTER (backend = 's3') AS p50_s3, max(p50) FILTER (backend = 'local') AS p50_local,
     max(p90) FILTER (backend = 's3') AS p90_s3, max(p90) FILTER (backend = 'local') AS p90_local FROM s GROUP BY 1)
 SELECT phase, count_s3, count_local, round(p50_s3, 9) AS p50_s3, round(p50_local, 9) AS p50_local,
-  round(p90_s3, 9) AS p90_s3, round(p90_local, 9) AS p90_local, round(p50_local / nullif(p50_s3, 0), 6) AS ratio FROM w""",
+  round(p90_s3, 9) AS p90_s3, round(p90_local, 9) AS p90_local, round(p50_local / nullif(p50_s3, 0), 10) AS ratio FROM w""",
 )
 def _(t):
     side = telemetry.archive_phase_compare(t("spans"))
@@ -91,7 +91,7 @@ def _(t):
         "count_s3",
         "count_local",
         *[F.round(c, 9).alias(c) for c in ("p50_s3", "p50_local", "p90_s3", "p90_local")],
-        F.round("ratio", 6).alias("ratio"),
+        F.round("ratio", 10).alias("ratio"),
     )
 
 
