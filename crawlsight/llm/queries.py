@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from . import plans_native
+from pyspark import cloudpickle
 
-QUERIES = dict(plans_native.QUERIES)
-ORACLES = dict(plans_native.ORACLES)
+from . import dedup, plans_native, plans_text, words
+
+# Functions that run in tasks travel with the plan, so executors need not have this package installed.
+for module in (words, dedup):
+    cloudpickle.register_pickle_by_value(module)
+
+QUERIES = plans_native.QUERIES | plans_text.QUERIES
+ORACLES = plans_native.ORACLES | plans_text.ORACLES
