@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A correlation of outcomes within a group: never none, never total.
 LEAST_CORRELATION, MOST_CORRELATION = 0.001, 0.5
@@ -124,6 +126,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, deviations: float = 1
         .withColumn("domain", domain_of(F.col("host")))
         .withColumn("suffix", suffix_of(F.col("host")))
     )
+    # One row per host; every level and its strength read them again.
+    ensure_checkpoint_dir(pages.sparkSession)
+    hosts = hosts.checkpoint()
     totals = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*totals)
     suffixes = domains.groupBy("suffix").agg(*totals)

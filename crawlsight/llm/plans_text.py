@@ -1,19 +1,31 @@
-"""Queries over whole texts: near copies."""
+"""Queries over whole texts: quality, near copies, pseudonyms."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup
+from . import dedup, private, quality
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+#: The key of the test data; a real one comes from a secret store.
+KEY = b"training-data-pseudonyms"
+
+
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(documents(spark, folder))
+
+
+def op5_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return private.pseudonyms(documents(spark, folder), KEY, keep=("doc_id", "text"), counts=True)
+
+
 def op4_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.near_copies(documents(spark, folder), k=3, percent=85)
 
 
-QUERIES = {"op4_near_copies": op4_near_copies}
+QUERIES = {"op1_quality": op1_quality, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms}
 ORACLES: dict[str, str] = {}

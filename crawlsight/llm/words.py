@@ -106,7 +106,7 @@ def runs(word_hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(total)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str | int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
