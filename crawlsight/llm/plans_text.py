@@ -1,10 +1,11 @@
-"""Queries over whole texts: quality, near copies, pseudonyms."""
+"""Queries over whole texts: quality, near copies, pseudonyms, packing."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup, private, quality
+from . import dedup, packing, private, quality
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,5 +28,9 @@ def op4_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.near_copies(documents(spark, folder), k=3, percent=85)
 
 
-QUERIES = {"op1_quality": op1_quality, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms}
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing}
 ORACLES: dict[str, str] = {}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark import cloudpickle
 
-from . import dedup, plans_native, plans_text, private, quality, words
+from . import dedup, packing, plans_native, plans_text, private, quality, words
 
 # Functions that run in tasks travel with the plan, so executors need not have this package installed.
-for module in (words, dedup, private, quality):
+for module in (words, dedup, packing, private, quality):
     cloudpickle.register_pickle_by_value(module)
 
 QUERIES = plans_native.QUERIES | plans_text.QUERIES
