@@ -13,20 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ensure_checkpoint_dir
+
 # The queue of all sources beyond the ``most_queues`` largest; no source has a name like it.
 OTHERS = "\x00others"
 # Documents in one slice of a queue, about: the unit that is sorted in one task.
 SLICE = 4096
 
 
-def queue_totals(docs: DataFrame, source: Column, size: Column, most_queues: int) -> DataFrame:
-    """Sources with a queue of their own, at most ``most_queues``, the largest ones: source, rows, total."""
-    totals = docs.groupBy(source.alias("source")).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("total")
-    )
-    return totals.orderBy(F.desc("total"), "source").limit(most_queues)
-
-
 def slots_per_period(queues: DataFrame, weight: Column, period: int) -> DataFrame:
     """queue and k: how many of ``period`` slots each queue gets, one at least, all slots together.
 
@@ -100,6 +94,12 @@ def mix(
     NULL texts are empty, NULL ids are put in by the hash of NULL. Repeated rows stay and follow
     each other. An empty table gives no rows. Other columns do not matter unless ``keep`` names them.
     """
+    timed = _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_id, text, source)
+    return timed.select("row.*", "queue", "start", "block", "slot", "release", "deadline")
+
+
+def _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_id, text, source) -> DataFrame:
+    """As ``mix``, with the kept columns in one column ``row``."""
     if period < 2 * (most_queues + 1):
         raise ValueError("a period needs two slots for each queue")
     rows = docs.select(
@@ -108,11 +108,15 @@ def mix(
         F.coalesce(F.length(text), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), F.col(doc_id)).alias("key"),
     )
-    own = queue_totals(rows, F.col("source"), F.col("size"), most_queues).select("source", F.col("source").alias("queue"))
+    # One row per source, counted once for all that follows.
+    ensure_checkpoint_dir(docs.sparkSession)
+    sources = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("total")).checkpoint()
+    own = sources.orderBy(F.desc("total"), "source").limit(most_queues).select("source", F.col("source").alias("queue"))
     # At most ``most_queues`` rows, by the limit above.
-    rows = rows.join(F.broadcast(own), "source", "left").withColumn("queue", F.coalesce("queue", F.lit(OTHERS)))
+    named = lambda table: table.join(F.broadcast(own), "source", "left").withColumn("queue", F.coalesce("queue", F.lit(OTHERS)))
+    rows = named(rows)
 
-    queues = rows.groupBy("queue").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("total"))
+    queues = named(sources).groupBy("queue").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
     if weights is None:
         weight = F.pow(F.col("total") + 1, exponent)
     else:
@@ -140,7 +144,7 @@ def mix(
         F.broadcast(schedule.select("queue", "turn", F.col("slot").alias("within_period"))), ["queue", "turn"]
     )
     return timed.select(
-        "row.*",
+        "row",
         "queue",
         "start",
         "block",
@@ -150,8 +154,20 @@ def mix(
     )
 
 
-def mixed_order(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` in the order of the mixture, across and within partitions; columns as they were."""
-    timed = mix(docs, keep=("*",), **how).select("row", "slot", "start")
-    count = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return timed.repartitionByRange(int(count), "slot", "start").sortWithinPartitions("slot", "start").select("row.*")
+def mixed_order(
+    docs: DataFrame,
+    weights: dict[str, float] | None = None,
+    exponent: float = 0.7,
+    block: int = 65536,
+    period: int = 1000,
+    most_queues: int = 256,
+    seed: int = 0,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """``docs`` in the order of the mixture (see ``mix``), across and within partitions; columns as they were."""
+    timed = _timed(docs, ("*",), weights, exponent, block, period, most_queues, seed, doc_id, text, source)
+    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = timed.repartitionByRange(count, "slot", "start").sortWithinPartitions("slot", "start")
+    return ordered.select("row.*")

@@ -1,11 +1,12 @@
-"""Queries over whole texts: quality, near copies, pseudonyms, packing."""
+"""Queries over whole texts: quality, repeats, near copies, pseudonyms, packing."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import dedup, packing, private, quality
+from . import dedup, packing, private, quality, substrings
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +25,11 @@ def op5_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return private.pseudonyms(documents(spark, folder), KEY, keep=("doc_id", "text"), counts=True)
 
 
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.without_repeats(documents(spark, folder), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.near_copies(documents(spark, folder), k=3, percent=85)
 
@@ -32,5 +38,5 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing}
+QUERIES = {"op1_quality": op1_quality, "op3_substrings": op3_substrings, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing}
 ORACLES: dict[str, str] = {}
