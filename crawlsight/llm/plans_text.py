@@ -1,4 +1,4 @@
-"""Queries over whole texts: quality, repeats, near copies, pseudonyms, packing."""
+"""Queries over whole texts and vectors: nearest neighbours, quality, repeats, near copies, pseudonyms, packing."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, packing, private, quality, substrings
+from . import dedup, neighbours, packing, private, quality, substrings
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op5_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return private.pseudonyms(documents(spark, folder), KEY, keep=("doc_id", "text"), counts=True)
 
 
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
     kept = substrings.without_repeats(documents(spark, folder), window=50)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -38,5 +43,5 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op3_substrings": op3_substrings, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing}
+QUERIES = {"op1_quality": op1_quality, "op2_neighbours": op2_neighbours, "op3_substrings": op3_substrings, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing}
 ORACLES: dict[str, str] = {}
