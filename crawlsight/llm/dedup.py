@@ -2,12 +2,15 @@
 
 1. Every text gets the minima of ``bands * rows`` universal hashes over its shingles.
 2. Texts with equal sets are one class, which its smallest id stands for.
-3. Texts that share a band are a bucket. Its members are compared with its smallest member only.
-   A pair is dropped if one-bit signatures (the lowest bit of each minimum) are far apart, by
-   ``slack`` standard deviations; the others are confirmed on their full sets.
+3. Texts that share a band are a bucket. Its members are compared with one of them only, its centre: the
+   member whose buckets hold most texts, for that is the most typical one. A pair is dropped if one-bit
+   signatures (the lowest bit of each minimum) are far apart, by ``slack`` standard deviations; the
+   others are confirmed on their full sets.
 4. Confirmed pairs and classes give components. Buckets that still hold several components may have
-   links that a comparison with the smallest member has not shown: there, and only there, members of
-   different components are compared too. After that no link can be missing between components.
+   links that a comparison with the centre has not shown. Their members' shingles are ordered from rare to
+   frequent. Two sets that reach the threshold share one of their first few shingles (the prefix
+   filter: so few that the rest alone could not make up for them), so only members of different
+   components that share such a shingle are compared. After that no link is missing.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
 from .components import components
@@ -88,6 +92,19 @@ def _overlaps(k: int):
     return run
 
 
+def _exploded(k: int):
+    """Arrow batches of (doc_id, text) to (doc_id, shingle): one row per distinct shingle of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            sets = shingles(batch.column("text"), k)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(sets.owner)), pa.array(sets.hashes.view(np.int64))], ["doc_id", "shingle"]
+            )
+
+    return run
+
+
 def _far_apart(percent: int, bits: int, slack: float) -> int:
     """The most signature bits in which two sets of similarity ``percent`` differ, but for chance."""
     p = (100 - percent) / 200
@@ -103,6 +120,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return sizes.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
+def _split(members: DataFrame) -> DataFrame:
+    """Members (key, doc_id, n_shingles, root) of buckets with several roots, with the smallest set of their bucket."""
+    several = members.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.min("n_shingles").alias("smallest")
+    )
+    return members.join(several.where("low < high").select("key", "smallest"), "key")
+
+
 def near_copies(
     docs: DataFrame,
     k: int = 5,
@@ -135,41 +160,64 @@ def near_copies(
     reps = members.where("doc_id = rep").dropDuplicates(["doc_id", "d1", "d2"])
 
     # Buckets: only (key, id) moves. Keys of one text alone do not matter.
-    buckets = reps.select(F.explode("bands").alias("key"), "doc_id")
-    shared = buckets.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    bucketed = buckets.join(shared.select("key", "least"), "key").checkpoint()
-    stars = bucketed.where("doc_id != least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
+    buckets = reps.select(F.explode("bands").alias("key"), "doc_id", "n_shingles")
+    sized = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    bucketed = buckets.join(sized.where("least < most").select("key", "size"), "key").checkpoint()
+    typical = bucketed.groupBy("doc_id").agg(F.sum("size").alias("typical"))
+    centres = bucketed.join(typical, "doc_id").groupBy("key").agg(F.max(F.struct("typical", (-F.col("doc_id")).alias("other"))).alias("top"))
+    centres = centres.select("key", (-F.col("top.other")).alias("centre"))
+    stars = bucketed.join(centres, "key").where("doc_id != centre").select(
+        F.greatest("doc_id", "centre").alias("a"), F.least("doc_id", "centre").alias("b")
+    ).distinct()
     signatures = reps.select("doc_id", "s1", "s2")
     limit = _far_apart(percent, min(bands * rows, 128), slack)
+    # Texts that share a bucket; all others are out from here on.
+    texts = rows_in.join(bucketed.select("doc_id").distinct(), "doc_id", "left_semi").checkpoint()
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        apart = sum(F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in ("s1", "s2"))
-        return (
-            pairs.join(signatures.alias("x"), F.col("a") == F.col("x.doc_id"))
-            .join(signatures.alias("y"), F.col("b") == F.col("y.doc_id"))
-            .where(apart <= limit)
-            .select("a", "b")
-            .distinct()
-        )
-
-    links = confirmed(alike(stars), rows_in, k, percent).unionByName(copies).checkpoint()
+    apart = sum(F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in ("s1", "s2"))
+    alike = (
+        stars.join(signatures.alias("x"), F.col("a") == F.col("x.doc_id"))
+        .join(signatures.alias("y"), F.col("b") == F.col("y.doc_id"))
+        .where(apart <= limit)
+        .select("a", "b")
+        .distinct()
+    )
+    links = confirmed(alike, texts, k, percent).unionByName(copies).checkpoint()
     roots = components(links).checkpoint()
 
     # Buckets that are still split.
-    placed = bucketed.select("key", "doc_id").join(roots, F.col("doc_id") == F.col("node"), "left")
-    placed = placed.select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_ = placed.join(split.select("key"), "key").join(signatures, "doc_id").checkpoint()
-    x, y = open_.alias("x"), open_.alias("y")
-    apart = sum(F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in ("s1", "s2"))
+    placed = bucketed.join(roots, F.col("doc_id") == F.col("node"), "left")
+    placed = placed.select("key", "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("root"))
+    open_ = _split(placed).checkpoint()
+    members = open_.groupBy("doc_id", "n_shingles", "root").agg(F.min("smallest").alias("smallest"))
+    parts = texts.join(members.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
+    parts = parts.mapInArrow(_exploded(k), "doc_id long, shingle long").distinct().join(members, "doc_id")
+    frequent = parts.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("texts"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    # The least overlap of a link, given the smallest set of the buckets a member is in.
+    other = F.greatest(F.col("smallest"), F.ceil(F.col("n_shingles") * percent / 100))
+    overlap = F.ceil((F.col("n_shingles") + other) * percent / (100 + percent) - 1e-9)
+    by_text = Window.partitionBy("doc_id", "n_shingles").orderBy("texts", "shingle")
+    prefix = (
+        parts.join(frequent, "shingle")
+        .withColumn("place", F.row_number().over(by_text))
+        .where((F.col("place") <= F.col("n_shingles") - overlap + 1) & F.expr("low < high"))
+        .select("shingle", "doc_id", "n_shingles", "root", "place")
+        .join(signatures, "doc_id")
+        .checkpoint()
+    )
+    x, y = prefix.alias("x"), prefix.alias("y")
+    # Before their first common shingle, each may have no more of its own than the pair's least overlap leaves.
+    overlap = F.ceil((F.col("x.n_shingles") + F.col("y.n_shingles")) * percent / (100 + percent) - 1e-9)
+    early = F.greatest(F.col("x.place") - F.col("x.n_shingles"), F.col("y.place") - F.col("y.n_shingles")) + overlap <= 1
     rest = x.join(
-        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & (apart <= limit)
+        y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") < F.col("y.root")) & early & (apart <= limit)
     ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
     rest = rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     rest = rest.join(stars, ["a", "b"], "left_anti").checkpoint()
     if not rest.isEmpty():
-        late = confirmed(rest, rows_in, k, percent)
-        roots = components(links.unionByName(late)).checkpoint()
+        roots = components(links.unionByName(confirmed(rest, texts, k, percent))).checkpoint()
 
     placed = signed.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("root", "doc_id")
