@@ -1,11 +1,11 @@
-"""Queries over operators that are column functions only: host rules, licences, mixing."""
+"""Queries over operators that are column functions only: host rules, licences, mixing, fingerprints."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, licenses, mixing
+from . import hosts, licenses, mixing, sketches
 
 #: The address rules of the page query.
 PAGE_RULES = [
@@ -46,6 +46,12 @@ def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, keep=("doc_id", "source"))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    told = sketches.edited_fingerprints(docs)
+    return told.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
+
+
 def _host_sql() -> str:
     def level(name: str, table: str) -> str:
         return f"""
@@ -131,6 +137,7 @@ SELECT doc_id, n_recognised, sequence, coalesce(array_to_string(list_sort(list_d
 
 QUERIES = {
     "op7_source_mix": op7_source_mix,
+    "op8_fingerprints": op8_fingerprints,
     "op9_host_reputation": op9_host_reputation,
     "op10_license_rules": op10_license_rules,
 }
