@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A correlation of outcomes within a group: never none, never total.
+# A correlation of outcomes within a group: never none, never total; where nothing tells, the most.
 LEAST_CORRELATION, MOST_CORRELATION = 0.001, 0.5
 
 
@@ -100,7 +100,7 @@ def _strength(groups: DataFrame) -> Column:
     extra = F.sum((F.col("bad") - F.col("n") * F.col("m")) ** 2 - F.col("n") * spread)
     room = F.sum(F.col("n") * (F.col("n") - 1) * spread)
     correlation = F.least(
-        F.greatest(F.coalesce(F.when(room > 0, extra / room), F.lit(0.0)), F.lit(LEAST_CORRELATION)),
+        F.greatest(F.coalesce(F.when(room > 0, extra / room), F.lit(MOST_CORRELATION)), F.lit(LEAST_CORRELATION)),
         F.lit(MOST_CORRELATION),
     )
     return groups.agg((1 / correlation - 1).alias("strength")).scalar()
@@ -115,7 +115,8 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, deviations: float = 1
     """Per host: n and bad (labelled pages, bad ones), badness (posterior mean) and floor (its lower bound).
 
     ``pages`` has host; ``outcomes`` has host, n, bad, any number of rows per host. A host without
-    labelled pages gets its domain's mean. No outcome at all: the mean is one half everywhere.
+    labelled pages gets its domain's mean. No outcome at all: the mean is one half everywhere, and
+    the bound is far below it.
     ``floor`` lies ``deviations`` standard deviations of the posterior below its mean.
     """
     seen = pages.select("host", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad"))

@@ -56,7 +56,7 @@ def _host_sql() -> str:
     def level(name: str, table: str) -> str:
         return f"""
     SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n * (n - 1) * m * (1 - m)) > 0 THEN
-             sum((bad - n * m) * (bad - n * m) - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)) END, 0.0),
+             sum((bad - n * m) * (bad - n * m) - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)) END, CAST(0.5 AS DOUBLE)),
              CAST(0.001 AS DOUBLE)), CAST(0.5 AS DOUBLE)) - 1 AS {name} FROM {table}"""
 
     fits = []
