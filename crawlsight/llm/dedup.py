@@ -154,7 +154,8 @@ def near_copies(
     signed = rows_in.mapInArrow(_signatures(k, bands, rows), SIGNED).checkpoint()
 
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    # Cut off before it is joined: both sides of the join are then shuffled for it, and a hot class can be split.
+    classes = some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("doc_id")).checkpoint()
     members = some.join(classes.withColumnRenamed("doc_id", "rep"), ["d1", "d2", "n_shingles"])
     copies = members.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     reps = members.where("doc_id = rep").dropDuplicates(["doc_id", "d1", "d2"])
@@ -162,7 +163,7 @@ def near_copies(
     # Buckets: only (key, id) moves. Keys of one text alone do not matter.
     buckets = reps.select(F.explode("bands").alias("key"), "doc_id", "n_shingles")
     sized = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    bucketed = buckets.join(sized.where("least < most").select("key", "size"), "key").checkpoint()
+    bucketed = buckets.join(sized.where("least < most").select("key", "size").checkpoint(), "key").checkpoint()
     typical = bucketed.groupBy("doc_id").agg(F.sum("size").alias("typical"))
     centres = bucketed.join(typical, "doc_id").groupBy("key").agg(F.max(F.struct("typical", (-F.col("doc_id")).alias("other"))).alias("top"))
     centres = centres.select("key", (-F.col("top.other")).alias("centre"))

@@ -9,6 +9,7 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
     rows = [row for row in cases.odd_rows() if len(row[1] or "") < 20000]
     r = random.Random(8)
     rows += [(2000 + i, prose(r, r.randrange(60, 200)), "en", f"s{i % 4}", 0) for i in range(150)]
+    rows += [(4000 + i, rows[-1 - i][1] + " more", "en", "s2", 0) for i in range(5)]
     rows += [(3000 + i, junk(r, 100), "en", "s1", 0) for i in range(15)]
     rows += [(9000, f"mail und.34@mail7.example.com and {prose(r, 80)}", "en", "s0", 1)] * 2
     docs = cases.table(spark, rows)
