@@ -178,27 +178,36 @@ def integrity_check(requests: DataFrame, results: DataFrame, errors: DataFrame)
     no_key = F.col("run_id").isNull() | F.col("id").isNull()
     odd_flag = F.coalesce(~F.col("is_valid").isin(0, 1), F.lit(False))
     ids = requests.groupBy("run_id", "id").agg(F.count("*").alias("copies"))
+    doubled = {
+        f"duplicate {name} id": rows.where(~no_key).groupBy("run_id", "id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+        for name, rows in (("result", results), ("error", errors))
+    }
     asked = (
         errors.where(F.col("request_id").isNotNull())
         .groupBy("run_id", F.col("request_id").alias("id"))
         .agg(F.count("*").alias("k"))
     )
     orphans = asked.join(ids, ["run_id", "id"], "left_anti")
-    return (
+    found = (
         row_rules(requests, {"request without key": no_key, "unknown request status": ~known})
         .unionByName(row_rules(results, {"result without key": no_key, "result flag not 0 or 1": odd_flag}))
         .unionByName(row_rules(errors, {"error without key": no_key}))
         .unionByName(per_run("duplicate request id", ids.where(F.col("copies") > 1), F.sum(F.col("copies") - 1)))
         .unionByName(per_run("error without its request", orphans, F.sum("k")))
     )
+    for name, copies in doubled.items():
+        found = found.unionByName(per_run(name, copies, F.sum(F.col("copies") - 1)))
+    return found
 
 
-def require_sound(issues: DataFrame, shown: int = 20) -> None:
-    """Raise with the issues if there are any; the message names the first few."""
-    rows = issues.orderBy("run_id", "issue").limit(shown).collect()
-    if rows:
-        lines = "\n".join(f"{row.run_id}: {row.issue} ({row.n})" for row in rows)
-        raise RuntimeError(f"integrity check failed:\n{lines}")
+def require_none(bad: DataFrame, what: str, path: str, shown: int = 20) -> None:
+    """Raise if there are rows. All of them are written to ``path``; the message says how many, and names a few."""
+    if bad.isEmpty():
+        return
+    bad.write.mode("overwrite").parquet(path)
+    kept = bad.sparkSession.read.schema(bad.schema).parquet(path)
+    lines = [" ".join(str(value) for value in row) for row in kept.orderBy(*kept.columns).limit(shown).collect()]
+    raise RuntimeError("\n".join([f"{what}: {kept.count()} rows, all of them in {path}", *lines]))
 
 
 def archive_once(finished: DataFrame, archived: DataFrame) -> DataFrame:

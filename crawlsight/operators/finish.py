@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import optional_table, write_reports, write_runs
-from .archive import archive_once, archive_verify, integrity_check, require_sound
+from .archive import archive_once, archive_verify, integrity_check, require_none
 from .runs import run_report
 
 MANIFEST = "schema string, run_id string, uri string"
@@ -26,15 +28,17 @@ def archive_finished(
     tables were counted back, so a broken attempt is simply done again.
     """
     spark = runs.sparkSession
-    due = archive_once(
+    # Written first: what is archived and what enters the manifest are the same runs, whatever ``runs`` says later.
+    attempt = f"{root}/attempts/{uuid.uuid4().hex}"
+    archive_once(
         runs.where(~F.col("drained")).select("schema", "run_id", "uri"), archived_runs(spark, root)
-    )
+    ).write.parquet(f"{attempt}/due")
+    due = spark.read.schema(MANIFEST).parquet(f"{attempt}/due")
     tables = {"requests": requests, "results": results, "errors": errors}
     keys = due.select("schema", "run_id")
     mine = {name: table.join(keys, "run_id") for name, table in tables.items()}
-    require_sound(
-        integrity_check(*mine.values()).where(F.col("issue") != "error without its request")
-    )
+    issues = integrity_check(*mine.values()).where(F.col("issue") != "error without its request")
+    require_none(issues, "integrity check failed", f"{attempt}/issues")
     checks = None
     for name, table in mine.items():
         write_runs(table, f"{root}/{name}")
@@ -43,9 +47,7 @@ def archive_finished(
         stored = archive.join(keys, ["schema", "run_id"], "left_semi")
         each = archive_verify(_row_counts(table, name), _row_counts(stored, name))
         checks = each if checks is None else checks.unionByName(each)
-    bad = checks.where(F.col("status") != "ok").limit(20).collect()
-    if bad:
-        raise RuntimeError("archive could not be verified: " + ", ".join(f"{r.path} {r.status}" for r in bad))
+    require_none(checks.where(F.col("status") != "ok"), "archive could not be verified", f"{attempt}/unverified")
     reports = run_report(runs.join(keys, ["schema", "run_id"], "left_semi"), *tables.values())
     write_reports(reports, f"{root}/reports")
     due.write.mode("append").parquet(f"{root}/manifest")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
@@ -18,10 +18,9 @@ def seconds_between(start: str, end: str):
 def admissible_runs(flow_runs: DataFrame, queues: DataFrame) -> DataFrame:
     """Scheduled runs that may start now: per queue the oldest, up to the free slots.
 
-    Ranks above the largest limit are cut before the shuffle; no queue can have
-    more free slots than that, so nothing is lost.
+    A queue without a limit (NULL) admits all its runs. Ranks are counted along time slices,
+    so a queue is never sorted in one task, whatever its limit. Runs without a time come first.
     """
-    top = queues.agg(F.max("concurrency_limit")).first()[0] or 0
     busy = (
         flow_runs.where(F.col("state") == "RUNNING").groupBy("queue").agg(F.count("*").alias("busy"))
     )
@@ -29,15 +28,18 @@ def admissible_runs(flow_runs: DataFrame, queues: DataFrame) -> DataFrame:
         queues.where(~F.col("is_paused"))
         .join(busy, "queue", "left")
         .select("queue", (F.col("concurrency_limit") - F.coalesce("busy", F.lit(0))).alias("slots"))
+        .where("slots IS NULL OR slots > 0")
     )
-    oldest = Window.partitionBy("queue").orderBy("scheduled_at", "run_id")
     waiting = (
         flow_runs.where(F.col("state") == "SCHEDULED")
-        .select("queue", "run_id", "scheduled_at")
-        .withColumn("rank", F.row_number().over(oldest))
-        .where(F.col("rank") <= top)
+        .select("queue", "run_id", "scheduled_at", F.lit(1).alias("one"))
+        .join(slots, "queue")
     )
-    return waiting.join(slots, "queue").where(F.col("rank") <= F.col("slots")).drop("slots")
+    ranked = running(
+        sliced(waiting, ["queue"], "scheduled_at", HISTORY_SLICE), sums={"rank": "one"}, ties=["run_id"]
+    )
+    ranked = unsliced(ranked).where("slots IS NULL OR rank <= slots")
+    return ranked.select("queue", "run_id", "scheduled_at", F.col("rank").cast("int").alias("rank"))
 
 
 def concurrency_audit(flow_runs: DataFrame, queues: DataFrame) -> DataFrame:

@@ -72,11 +72,26 @@ def interval_counts(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> Dat
     )
 
 
-def running_totals(intervals: DataFrame) -> DataFrame:
-    """State of each run at the end of every interval in which something happened.
+def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
+    """State of each run at the end of every interval from its first to its last activity, quiet ones included.
 
     The window holds one row per interval of a run, however many requests it has.
     """
+    counts = ("total", *REQUEST_STATUSES)
+    every = F.sequence("first", "last", F.expr(f"INTERVAL {seconds} SECONDS"))
+    grid = (
+        intervals.groupBy("run_id")
+        .agg(F.min("snapshot_at").alias("first"), F.max("snapshot_at").alias("last"))
+        .select("run_id", F.explode(every).alias("snapshot_at"))
+        .withColumns({name: F.lit(0).cast("long") for name in counts})
+    )
+    # A zero for each interval of the grid, instead of a join with it.
+    intervals = (
+        intervals.select("run_id", "snapshot_at", *counts)
+        .unionByName(grid)
+        .groupBy("run_id", "snapshot_at")
+        .agg(*[F.sum(name).alias(name) for name in counts])
+    )
     so_far = (
         Window.partitionBy("run_id")
         .orderBy("snapshot_at")
@@ -91,4 +106,4 @@ def running_totals(intervals: DataFrame) -> DataFrame:
 
 
 def progress_windows(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
-    return running_totals(interval_counts(requests, seconds))
+    return running_totals(interval_counts(requests, seconds), seconds)

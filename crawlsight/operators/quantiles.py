@@ -26,17 +26,21 @@ def quantile_name(p: float) -> str:
 
 
 def exact_quantiles(
-    rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+    rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], copies: str | None = None
 ) -> DataFrame:
     """Count, sum, min, max and interpolated quantiles of ``value`` per group.
 
-    Missing values are not counted. Quantiles interpolate between neighbours.
+    A row stands for one value, or for as many as its column ``copies`` says. Missing values are not counted. Quantiles interpolate between neighbours.
     """
     counts = (
         rows.where(F.col(value).isNotNull())
-        .select(F.struct(*keys).alias("_key"), F.col(value).cast("double").alias("_v"))
+        .select(
+            F.struct(*keys).alias("_key"),
+            F.col(value).cast("double").alias("_v"),
+            (F.col(copies) if copies else F.lit(1)).cast("long").alias("_copies"),
+        )
         .groupBy("_key", "_v")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum("_copies").alias("_n"))
         .withColumn("_slice", F.expr(VALUE_SLICE))
     )
     totals = counts.groupBy("_key", "_slice").agg(
@@ -79,7 +83,8 @@ def exact_quantiles(
         *[f"_key.{key} AS {key}" for key in keys],
         *stats,
         *[
-            f"_low{i} + (_high{i} - _low{i}) * ({at} - floor({at})) AS {quantile_name(p)}"
+            # Equal neighbours need no step between them; infinite ones have none.
+            f"IF(_low{i} = _high{i}, _low{i}, _low{i} + (_high{i} - _low{i}) * ({at} - floor({at}))) AS {quantile_name(p)}"
             for i, (p, at) in enumerate(zip(probs, position))
         ],
     )

@@ -83,6 +83,36 @@ def unsliced(rows: DataFrame) -> DataFrame:
     return rows.drop("_key", "_at", "_slice")
 
 
+def frame_sums(
+    points: DataFrame, keys: Sequence[str], amounts: Sequence[str], seconds: int, ts: str = "ts"
+) -> DataFrame:
+    """Sums of ``amounts`` over [ts - seconds, ts] at every point, for numbers of any size.
+
+    ``points`` holds one row per key and time. Slices are as wide as the frame, so a frame
+    is the end of one slice and the beginning of the next. Both are sums from the slice's
+    edge; nothing is subtracted, so no value outside of a frame has a part in it.
+    """
+    kinds = {field.name: field.dataType.simpleString() for field in points.schema.fields}
+    zeros = "".join(f", CAST(0 AS {kinds[name]}) AS {name}" for name in amounts)
+    own = "".join(f", {name}" for name in amounts)
+    probe = f", struct(unix_micros({ts}) - {seconds} * 1000000L AS _at, -1 AS _side{zeros})" if seconds else ""
+    both = points.selectExpr(
+        f"struct({', '.join(keys)}) AS _key", f"{ts} AS _anchor", f"inline(array(struct(unix_micros({ts}) AS _at, 1 AS _side{own}){probe}))"
+    ).withColumn("_slice", F.expr(f"floor(_at / {max(seconds, 1) * 1_000_000})"))
+    # At one moment the mark comes before the probe, so that the frame's edge is inside.
+    inside = "OVER (PARTITION BY _key, _slice ORDER BY {} ROWS UNBOUNDED PRECEDING)"
+    begun, left = inside.format("_at, _side"), inside.format("_at DESC, _side DESC")
+    if not seconds:
+        begun = "OVER (PARTITION BY _key, _at)"
+    sums = [f"IF(_side = 1, sum({name}) {begun}, sum({name}) {left}) AS _part_{name}" for name in amounts]
+    return (
+        both.selectExpr("_key", "_anchor", *sums)
+        .groupBy("_key", "_anchor")
+        .agg(*[F.sum(f"_part_{name}").alias(f"{name}_since") for name in amounts])
+        .selectExpr(*[f"_key.{key} AS {key}" for key in keys], f"_anchor AS {ts}", *[f"{name}_since" for name in amounts])
+    )
+
+
 def since(
     points: DataFrame,
     keys: Sequence[str],

@@ -175,8 +175,12 @@ def span_tree(spans: DataFrame) -> DataFrame:
     return times.join(span_depths(spans), ["trace_id", "span_id"], "left")
 
 
-def span_depths(spans: DataFrame, max_rounds: int = 32) -> DataFrame:
-    """(trace_id, span_id, depth). The usual tree is three deep: two rounds, one check."""
+def span_depths(spans: DataFrame) -> DataFrame:
+    """(trace_id, span_id, depth). The usual tree is three deep: two rounds, one check.
+
+    Each round finishes some spans of every tree that is not done. If a round finishes none, what is
+    left hangs on parents that form a cycle; such spans have no depth (NULL).
+    """
     ensure_checkpoint_dir(spans.sparkSession)
     step = _climb(
         spans.select(
@@ -186,11 +190,14 @@ def span_depths(spans: DataFrame, max_rounds: int = 32) -> DataFrame:
             F.when(F.col("parent_id").isNull(), 0).otherwise(1).alias("depth"),
         )
     )
-    for _ in range(max_rounds):
+    before = None
+    while True:
         step = _climb(step).checkpoint()
-        if step.where(F.col("up").isNotNull()).isEmpty():
-            return step.select("trace_id", "span_id", "depth")
-    raise ValueError("span parents form a cycle")
+        left = step.where(F.col("up").isNotNull()).count()
+        if left in (0, before):
+            depth = F.when(F.col("up").isNull(), F.col("depth"))
+            return step.select("trace_id", "span_id", depth.alias("depth"))
+        before = left
 
 
 def _climb(step: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scans import running, since, sliced, unsliced
+from .scans import frame_sums, running, since, sliced, unsliced
 
 KEY = ("resource",)
 COMPARE = {
@@ -63,7 +63,12 @@ def trigger_reactive(
     keys: Sequence[str] = KEY,
 ) -> DataFrame:
     """Fires when the events of a moment lift the count within the frame to the threshold."""
-    counted = since(_moments(trigger_match(events, expects, match), keys), keys, ["n"], within)
+    return trigger_counted(trigger_match(events, expects, match), threshold, within, keys)
+
+
+def trigger_counted(expected: DataFrame, threshold: int, within: int, keys: Sequence[str] = KEY) -> DataFrame:
+    """As ``trigger_reactive``, of the expected events alone (keys, ts)."""
+    counted = since(_moments(expected, keys), keys, ["n"], within)
     reached = F.col("n_since") >= threshold
     before = F.col("n_since") - F.col("n") >= threshold
     return counted.where(reached & ~before).select(
@@ -217,18 +222,18 @@ def trigger_metric(
     """Fires when the mean over the lookback has breached the threshold without a break
     for ``firing_for`` seconds; tested at every point of the metric.
 
-    Values are summed as decimals of a millionth, so that running sums subtract exactly.
+    Means are of doubles, of any size. An infinite value makes the means of its own frames
+    infinite; a mean that is not a number (NaN among the values, or both infinities) breaches nothing.
     """
     points = (
         metrics.where((F.col("metric") == metric) & F.col("value").isNotNull())
         .groupBy(*keys, "ts")
-        .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(20,6)")).alias("s"))
-    )
-    framed = since(points, keys, ["n", "s"], lookback)
-    mean = F.col("s_since").cast("double") / F.col("n_since")
-    tested = framed.select(*keys, "ts", mean.alias("mean")).withColumn(
-        "breach", COMPARE[compare](F.col("mean"), F.lit(float(threshold)))
+        .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("double")).alias("s"))
     )
+    framed = frame_sums(points, keys, ["n", "s"], lookback)
+    mean = F.col("s_since") / F.col("n_since")
+    breach = ~F.isnan("mean") & COMPARE[compare](F.col("mean"), F.lit(float(threshold)))
+    tested = framed.select(*keys, "ts", mean.alias("mean")).withColumn("breach", breach)
     stepped = running(sliced(tested, keys), previous={"prev_breach": "breach", "prev_ts": "ts"})
     began = F.col("breach") & ~F.coalesce("prev_breach", F.lit(False))
     islands = running(

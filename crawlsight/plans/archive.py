@@ -218,6 +218,12 @@ UNION ALL SELECT run_id, 'unknown request status', count(*) FROM requests
 UNION ALL SELECT run_id, 'result without key', count(*) FROM results WHERE run_id IS NULL OR id IS NULL GROUP BY 1
 UNION ALL SELECT run_id, 'result flag not 0 or 1', count(*) FROM results WHERE is_valid NOT IN (0, 1) GROUP BY 1
 UNION ALL SELECT run_id, 'error without key', count(*) FROM errors WHERE run_id IS NULL OR id IS NULL GROUP BY 1
+UNION ALL SELECT run_id, 'duplicate result id', CAST(sum(copies - 1) AS BIGINT) FROM (
+  SELECT run_id, count(*) AS copies FROM results WHERE run_id IS NOT NULL AND id IS NOT NULL GROUP BY run_id, id) r
+  WHERE copies > 1 GROUP BY 1
+UNION ALL SELECT run_id, 'duplicate error id', CAST(sum(copies - 1) AS BIGINT) FROM (
+  SELECT run_id, count(*) AS copies FROM errors WHERE run_id IS NOT NULL AND id IS NOT NULL GROUP BY run_id, id) r
+  WHERE copies > 1 GROUP BY 1
 UNION ALL SELECT run_id, 'error without its request', count(*) FROM errors e
   WHERE request_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ids i WHERE i.run_id = e.run_id AND i.id = e.request_id)
   GROUP BY 1""",

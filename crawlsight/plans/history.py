@@ -17,7 +17,7 @@ waiting AS (SELECT queue, run_id, scheduled_at,
   FROM flow_runs WHERE state = 'SCHEDULED')
 SELECT w.queue, w.run_id, w.scheduled_at, CAST(w.rank AS INTEGER) AS rank
 FROM waiting w JOIN queues q ON w.queue = q.queue LEFT JOIN busy b ON b.queue = w.queue
-WHERE NOT q.is_paused AND w.rank <= q.concurrency_limit - coalesce(b.busy, 0)""",
+WHERE NOT q.is_paused AND (q.concurrency_limit IS NULL OR w.rank <= q.concurrency_limit - coalesce(b.busy, 0))""",
 )
 def _(t):
     return history.admissible_runs(t("flow_runs"), t("queues"))

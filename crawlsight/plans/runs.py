@@ -404,17 +404,20 @@ def _(t):
     return rate.withColumn("requests_per_minute", F.round("requests_per_minute", 9))
 
 
-@query(
-    "progress_windows",
-    ("requests",),
-    f"""WITH w AS (
+PROGRESS_WINDOWS = f"""WITH w AS (
   SELECT run_id, time_bucket(INTERVAL '300 seconds', ts) + INTERVAL '300 seconds' AS snapshot_at,
-    {PROGRESS_COUNTS} FROM requests GROUP BY 1, 2)
-SELECT run_id, snapshot_at, completed AS completed_in_interval,
-  CAST(sum(total) OVER s AS BIGINT) AS total, CAST(sum(completed) OVER s AS BIGINT) AS completed,
-  CAST(sum(pending) OVER s AS BIGINT) AS pending, CAST(sum(in_progress) OVER s AS BIGINT) AS in_progress,
-  CAST(sum(failed) OVER s AS BIGINT) AS failed
-FROM w WINDOW s AS (PARTITION BY run_id ORDER BY snapshot_at)""",
-)
+    {PROGRESS_COUNTS} FROM requests GROUP BY 1, 2),
+g AS (SELECT run_id, unnest(generate_series(min(snapshot_at), max(snapshot_at), INTERVAL 300 SECONDS)) AS snapshot_at
+  FROM w GROUP BY 1)
+SELECT g.run_id, g.snapshot_at, CAST(coalesce(completed, 0) AS BIGINT) AS completed_in_interval,
+  CAST(sum(coalesce(total, 0)) OVER s AS BIGINT) AS total, CAST(sum(coalesce(completed, 0)) OVER s AS BIGINT) AS completed,
+  CAST(sum(coalesce(pending, 0)) OVER s AS BIGINT) AS pending,
+  CAST(sum(coalesce(in_progress, 0)) OVER s AS BIGINT) AS in_progress,
+  CAST(sum(coalesce(failed, 0)) OVER s AS BIGINT) AS failed
+FROM g LEFT JOIN w ON w.run_id IS NOT DISTINCT FROM g.run_id AND w.snapshot_at = g.snapshot_at
+WINDOW s AS (PARTITION BY g.run_id ORDER BY g.snapshot_at)"""
+
+
+@query("progress_windows", ("requests",), PROGRESS_WINDOWS)
 def _(t):
     return progress.progress_windows(t("requests"))

@@ -1,7 +1,4 @@
-"""Streaming queries: each drains the present files and returns what its sink holds.
-
-The checks keep the windows that the final watermark has closed.
-"""
+"""Streaming queries: each drains the present files and returns what its sink holds, open windows included."""
 
 from __future__ import annotations
 
@@ -13,70 +10,52 @@ from ..sources.derive import derive
 from ..sources.tables import read_stream
 from ..streaming import archive as archive_streaming
 from ..streaming import windows
-from ..streaming.drain import drained_table
+from ..streaming.drain import drained_latest
 from .archive import KEYED, OBJECTS
-from .registry import query
-from .runs import PROGRESS_COUNTS
-
-WATERMARK = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM {table})"
-
+from .registry import ORACLES, query
+from .runs import PROGRESS_WINDOWS
+from .triggers import HOUR
 
 def stream(t, name: str):
     return derive(t.spark, t.folder, name, read_stream)
 
 
-@query(
-    "progress_stream",
-    ("requests",),
-    f"""WITH w AS (
-  SELECT run_id, time_bucket(INTERVAL '300 seconds', ts) + INTERVAL '300 seconds' AS snapshot_at,
-    {PROGRESS_COUNTS} FROM requests GROUP BY 1, 2)
-SELECT run_id, snapshot_at, completed AS completed_in_interval,
-  CAST(sum(total) OVER s AS BIGINT) AS total, CAST(sum(completed) OVER s AS BIGINT) AS completed,
-  CAST(sum(pending) OVER s AS BIGINT) AS pending, CAST(sum(in_progress) OVER s AS BIGINT) AS in_progress,
-  CAST(sum(failed) OVER s AS BIGINT) AS failed
-FROM w WHERE snapshot_at <= {WATERMARK.format(table="requests")}
-WINDOW s AS (PARTITION BY run_id ORDER BY snapshot_at)""",
-)
+@query("progress_stream", ("requests",), PROGRESS_WINDOWS)
 def _(t):
-    intervals = drained_table(windows.progress_stream(stream(t, "requests")), "progress")
+    intervals = drained_latest(
+        windows.progress_stream(stream(t, "requests")), "progress", ["run_id", "snapshot_at"]
+    )
     return progress.running_totals(intervals)
 
 
 @query(
     "telemetry_stream",
     ("metrics",),
-    f"""WITH w AS (SELECT metric, time_bucket(INTERVAL '1 hour', ts) AS window_start, count(value) AS count,
-    sum(value) AS sum, min(value) AS min, max(value) AS max, arg_max(value, ts) AS last, list_sort(list(value)) AS v
-  FROM metrics GROUP BY 1, 2)
-SELECT metric, window_start, window_start + INTERVAL 1 HOUR AS window_end, count, round(sum, 6) AS sum, min, max,
-  CASE WHEN metric IN ('worker.active', 'queue.pending') THEN last END AS last,
-  v[CAST(ceil(count * 0.5) AS BIGINT)] AS p50, v[CAST(ceil(count * 0.9) AS BIGINT)] AS p90,
-  v[CAST(ceil(count * 0.99) AS BIGINT)] AS p99
-FROM w WHERE window_start + INTERVAL 1 HOUR <= {WATERMARK.format(table="metrics")}""",
+    """WITH w AS (SELECT metric, scraper, run_id, time_bucket(INTERVAL '1 hour', ts) AS window_start, count(value) AS count,
+    sum(value) AS sum, min(value) AS min, max(value) AS max, arg_max(value, struct_pack(a := ts, b := value)) AS last,
+    quantile_cont(value, [0.5, 0.9, 0.99]) AS q
+  FROM metrics WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4)
+SELECT metric, scraper, run_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count,
+  round(sum, 6) AS sum, min, max, CASE WHEN metric IN ('worker.active', 'queue.pending') THEN last END AS last,
+  round(q[1], 9) AS p50, round(q[2], 9) AS p90, round(q[3], 9) AS p99 FROM w""",
 )
 def _(t):
-    drained = drained_table(windows.telemetry_stream(stream(t, "metrics")), "telemetry")
-    return drained.withColumn("sum", F.round("sum", 6))
+    keys = [*windows.SERIES, "window_start", "window_end", "value"]
+    values = drained_latest(windows.telemetry_stream(stream(t, "metrics")), "telemetry", keys)
+    stats = windows.telemetry_windows(values)
+    return stats.withColumns({"sum": F.round("sum", 6), **{p: F.round(p, 9) for p in ("p50", "p90", "p99")}})
 
 
-@query(
-    "trigger_stream",
-    ("trigger_events",),
-    f"""WITH s AS (SELECT resource, unnest([
-    time_bucket(INTERVAL '2 hours', ts), time_bucket(INTERVAL '2 hours', ts) - INTERVAL 2 HOURS,
-    time_bucket(INTERVAL '2 hours', ts) - INTERVAL 4 HOURS]) AS window_start
-  FROM trigger_events WHERE event IN ('error', 'view'))
-SELECT resource, window_start, window_start + INTERVAL 6 HOURS AS fired_at, count(*) AS events
-FROM s WHERE window_start + INTERVAL 6 HOURS <=
-  {WATERMARK.format(table="trigger_events")}
-GROUP BY 1, 2 HAVING count(*) >= 3""",
-)
+@query("trigger_stream", (), ORACLES["trigger_reactive"])
 def _(t):
-    fired = windows.trigger_stream(
-        stream(t, "trigger_events"), ["error", "view"], 3, "6 hours", "2 hours"
+    return windows.trigger_stream(
+        stream(t, "trigger_events"),
+        fresh_dir(t.spark, "triggers"),
+        fresh_dir(t.spark, "triggers-checkpoint"),
+        ["error", "view"],
+        3,
+        6 * HOUR,
     )
-    return drained_table(fired, "triggers")
 
 
 @query(

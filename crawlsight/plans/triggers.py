@@ -127,11 +127,11 @@ def _(t):
 @query(
     "trigger_metric",
     ("metrics",),
-    """WITH p AS (SELECT run_id, ts, count(*) AS n, sum(CAST(value AS DECIMAL(20, 6))) AS s FROM metrics
-  WHERE metric = 'event_loop.lag' GROUP BY 1, 2),
-f AS (SELECT run_id, ts, CAST(sum(s) OVER w AS DOUBLE) / sum(n) OVER w AS mean FROM p
+    """WITH p AS (SELECT run_id, ts, count(*) AS n, sum(value) AS s FROM metrics
+  WHERE metric = 'event_loop.lag' AND value IS NOT NULL GROUP BY 1, 2),
+f AS (SELECT run_id, ts, sum(s) OVER w / sum(n) OVER w AS mean FROM p
   WINDOW w AS (PARTITION BY run_id ORDER BY ts RANGE BETWEEN INTERVAL 43200 SECONDS PRECEDING AND CURRENT ROW)),
-b AS (SELECT *, mean > 0.05 AS breach, lag(mean > 0.05) OVER w AS prev_breach, lag(ts) OVER w AS prev_ts FROM f
+b AS (SELECT *, mean > 0.05 AND NOT isnan(mean) AS breach, lag(mean > 0.05 AND NOT isnan(mean)) OVER w AS prev_breach, lag(ts) OVER w AS prev_ts FROM f
   WINDOW w AS (PARTITION BY run_id ORDER BY ts)),
 i AS (SELECT *, max(CASE WHEN breach AND NOT coalesce(prev_breach, false) THEN ts END)
   OVER (PARTITION BY run_id ORDER BY ts) AS since FROM b)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -18,13 +19,19 @@ SCALE_SETTINGS = {
 }
 
 
+def heap_megabytes() -> int:
+    """Half of this machine's memory, 16 GB at most; the rest is for Python and the file cache."""
+    memory = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return min(16384, memory // 2**21)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "crawlsight"):
     """A single-machine session for tests and the bench."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", f"{heap_megabytes()}m")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SCALE_SETTINGS.items():

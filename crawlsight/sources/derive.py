@@ -208,17 +208,11 @@ FROM (
     CASE WHEN p_size % 3 = 0 THEN '' ELSE 'Scraper' END AS class_name
   FROM {part}) p
 LEFT JOIN (
-  SELECT l_partkey, max(c0) || max(c1) || max(c2) || max(c3) || max(c4) AS courts_text
-  FROM (
-    SELECT l_partkey,
-      CASE WHEN n_regionkey = 0 AND far THEN lower(n_name) || ',' ELSE '' END AS c0,
-      CASE WHEN n_regionkey = 1 AND far THEN lower(n_name) || ',' ELSE '' END AS c1,
-      CASE WHEN n_regionkey = 2 AND far THEN lower(n_name) || ',' ELSE '' END AS c2,
-      CASE WHEN n_regionkey = 3 AND far THEN lower(n_name) || ',' ELSE '' END AS c3,
-      CASE WHEN n_regionkey = 4 AND far THEN lower(n_name) || ',' ELSE '' END AS c4
-    FROM (SELECT l_partkey, l_suppkey, l_returnflag = 'R' AND l_quantity > 35 AS far FROM {lineitem}) l
-    JOIN {supplier} ON l_suppkey = s_suppkey
-    JOIN {nation} ON s_nationkey = n_nationkey) y
+  SELECT l_partkey, string_agg(DISTINCT lower(n_name), ',') AS courts_text
+  FROM {lineitem}
+  JOIN {supplier} ON l_suppkey = s_suppkey
+  JOIN {nation} ON s_nationkey = n_nationkey
+  WHERE l_returnflag = 'R' AND l_quantity > 35
   GROUP BY l_partkey) c ON p_partkey = l_partkey""",
     ),
 }

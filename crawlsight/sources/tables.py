@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-_SCHEMAS: dict[str, StructType] = {}
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A named table. Its schema is read from a footer once per process and path."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A named table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -32,10 +26,11 @@ def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def optional_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` where none exists.
 
-    Only a missing path is forgiven; an unreadable table still fails.
+    Only a missing path is forgiven; an unreadable table still fails. As the schema is given,
+    a folder that a first write has left without a finished file reads as an empty table.
     """
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..session import fresh_dir
+from ..sources.tables import optional_table
 
 
 def drain(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -35,3 +37,21 @@ def drained_table(stream: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(spark, name)
     to_parquet(stream, path, fresh_dir(spark, f"{name}-checkpoint"))
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def drained_latest(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """Drain an aggregation in update mode; the newest state of every group, open windows included.
+
+    Each batch writes the groups that it changed to a folder of its own, so a replayed batch replaces
+    what it wrote before.
+    """
+    spark = stream.sparkSession
+    path = fresh_dir(spark, name)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    drain(stream.writeStream.outputMode("update").foreachBatch(keep), fresh_dir(spark, f"{name}-checkpoint"))
+    states = optional_table(spark, path, f"{stream.schema.toDDL()}, batch_id long")
+    newest = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
+    return states.withColumn("_age", F.row_number().over(newest)).where("_age = 1").drop("_age", "batch_id")

@@ -1,20 +1,26 @@
 """Windowed statistics of streams: progress, telemetry, triggers.
 
-All use append mode: a window is written once, when the watermark has passed its
-end. Events later than the watermark are dropped by Spark, earlier ones counted.
+Progress and telemetry are aggregations with a watermark: in update mode a sink has the newest state
+of all windows (``drained_latest``), in append mode those that the watermark has passed. Rows later than
+the watermark are dropped by Spark, earlier ones counted.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import progress, telemetry
-from ..operators.triggers import KEY, is_expected
+from ..operators.quantiles import exact_quantiles
+from ..operators.triggers import KEY, seconds_before, trigger_counted, trigger_match
+from ..sources.tables import optional_table
+from .drain import for_each_batch
 
 LATENESS = "10 minutes"
+SERIES = ("metric", "scraper", "run_id")
 
 
 def progress_stream(
@@ -24,63 +30,92 @@ def progress_stream(
     return progress.interval_counts(requests.withWatermark("ts", lateness), seconds)
 
 
-def telemetry_stream(
-    metrics: DataFrame,
-    lateness: str = LATENESS,
-    window: str = "1 hour",
-    probs: Sequence[float] = telemetry.QUANTILES,
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """Count, sum, range, last value and quantiles per metric and window.
+def telemetry_stream(metrics: DataFrame, lateness: str = LATENESS, window: str = "1 hour") -> DataFrame:
+    """Copies and last time of each value per series (metric, scraper, run) and window.
 
-    The quantiles are real values whose rank is off by at most 1/accuracy of the
-    group; up to ``accuracy`` points they are exact. State stays bounded that way.
+    ``telemetry_windows`` turns the sink into statistics. The state holds equal values once.
     """
-    last = F.max_by("value", F.struct("ts", "value"))
-    grouped = (
-        metrics.withWatermark("ts", lateness)
-        .groupBy("metric", F.window("ts", window).alias("w"))
-        .agg(
-            F.count("value").alias("count"),
-            F.sum("value").alias("sum"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            last.alias("last"),
-            F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q"),
-        )
+    return (
+        metrics.where(F.col("value").isNotNull())
+        .withWatermark("ts", lateness)
+        .groupBy(*SERIES, F.window("ts", window).alias("w"), "value")
+        .agg(F.count("*").alias("copies"), F.max("ts").alias("last_at"))
+        .select(*SERIES, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "value", "copies", "last_at")
     )
-    return grouped.select(
-        "metric",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        "count",
-        "sum",
-        "min",
-        "max",
-        F.when(F.col("metric").isin(*telemetry.GAUGES), F.col("last")).alias("last"),
-        *[F.col("q")[i].alias(telemetry.quantile_name(p)) for i, p in enumerate(probs)],
+
+
+def telemetry_windows(values: DataFrame, probs: Sequence[float] = telemetry.QUANTILES) -> DataFrame:
+    """Count, sum, range, exact quantiles and the last value of gauges, per series and window."""
+    keys = [*SERIES, "window_start", "window_end"]
+    stats = exact_quantiles(values, keys, "value", probs, "copies")
+    last = (
+        values.where(F.col("metric").isin(*telemetry.GAUGES))
+        .groupBy(*keys)
+        .agg(F.max_by("value", F.struct("last_at", "value")).alias("last"))
     )
+    # Scraper and run may be NULL.
+    same = [F.col(f"s.{key}").eqNullSafe(F.col(f"l.{key}")) for key in keys]
+    return stats.alias("s").join(last.alias("l"), same, "left").select("s.*", "last")
 
 
 def trigger_stream(
     events: DataFrame,
+    root: str,
+    checkpoint: str,
     expects: Sequence[str],
     threshold: int,
-    within: str,
-    slide: str,
-    lateness: str = LATENESS,
+    within: int,
+    lateness: int = 600,
     match: Mapping[str, str | Sequence[str]] | None = None,
     keys: Sequence[str] = KEY,
 ) -> DataFrame:
-    """Sliding windows per key that hold at least ``threshold`` expected events.
+    """The firings of ``trigger_reactive``, while events arrive; drains what is there and returns them.
 
-    Other events are counted as zero instead of being filtered out, so that they too
-    move the watermark: a window closes in time even if its own events are rare.
+    A batch closes the time up to ``lateness`` seconds before the newest event of any kind. It stores its
+    expected events, and writes the firings of the time it has closed, for which it reads the events of
+    ``within`` seconds before that as well. Events of closed time come too late and are left out. What the
+    newest batch has not closed yet is evaluated when the result is read. Each batch owns one
+    folder per table and looks only at earlier batches, so it can be repeated.
     """
-    return (
-        events.withWatermark("ts", lateness)
-        .groupBy(*keys, F.window("ts", within, slide).alias("w"))
-        .agg(F.count_if(is_expected(expects, match)).alias("events"))
-        .where(F.col("events") >= threshold)
-        .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("fired_at"), "events")
-    )
+    spark = events.sparkSession
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema if f.name in keys)
+    stored_schema = f"{names}, ts timestamp, batch_id long"
+    fired_schema = f"{names}, fired_at timestamp, events long, batch_id long"
+    clock_schema = "newest timestamp, closed timestamp, batch_id long"
+
+    def clock(batch_id: int | None) -> tuple:
+        """Newest and closed time of the batches before ``batch_id``, or of all."""
+        rows = optional_table(spark, f"{root}/clock", clock_schema)
+        if batch_id is not None:
+            rows = rows.where(F.col("batch_id") < batch_id)
+        return tuple(rows.agg(F.max("newest"), F.max("closed")).first())
+
+    def firings(stored: DataFrame, after: dt.datetime | None) -> DataFrame:
+        """Firings later than ``after``."""
+        if after is not None:
+            stored = stored.where(F.col("ts") >= F.lit(after) - seconds_before(within))
+        found = trigger_counted(stored, threshold, within, keys)
+        return found if after is None else found.where(F.col("fired_at") > F.lit(after))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        newest_before, closed_before = clock(batch_id)
+        newest = batch.agg(F.max("ts")).first()[0]
+        newest = max((t for t in (newest, newest_before) if t is not None), default=None)
+        if newest is None:
+            return
+        closed = newest - dt.timedelta(seconds=lateness)
+        closed = closed if closed_before is None else max(closed, closed_before)
+        fresh = trigger_match(batch, expects, match).select(*keys, "ts").where(F.col("ts").isNotNull())
+        if closed_before is not None:
+            fresh = fresh.where(F.col("ts") > F.lit(closed_before))
+        fresh.write.mode("overwrite").parquet(f"{root}/events/batch_id={batch_id}")
+        stored = optional_table(spark, f"{root}/events", stored_schema).where(F.col("batch_id") <= batch_id)
+        due = firings(stored, closed_before).where(F.col("fired_at") <= F.lit(closed))
+        due.write.mode("overwrite").parquet(f"{root}/fired/batch_id={batch_id}")
+        times = spark.createDataFrame([(newest, closed)], "newest timestamp, closed timestamp")
+        times.write.mode("overwrite").parquet(f"{root}/clock/batch_id={batch_id}")
+
+    for_each_batch(events, handle, checkpoint)
+    _, closed = clock(None)
+    fired = optional_table(spark, f"{root}/fired", fired_schema).drop("batch_id")
+    return fired.unionByName(firings(optional_table(spark, f"{root}/events", stored_schema), closed))

@@ -85,27 +85,32 @@ def test_verify(spark):
     assert found == {"a": "ok", "b": "size_mismatch", "c": "missing", "z": "unexpected"}
 
 
-def test_integrity(spark):
+def test_integrity(spark, tmp_path):
     requests = spark.createDataFrame(
         [("r", 1, "s", "completed", None), ("r", 1, "s", "completed", None), ("r", None, "s", "odd", None)],
         schemas.REQUESTS,
     )
-    results = spark.createDataFrame([("r", 1, "t", 7), ("r", 2, "t", None)], schemas.RESULTS)
+    results = spark.createDataFrame([("r", 1, "t", 7), ("r", 2, "t", None), ("r", 2, "t", 1)], schemas.RESULTS)
     errors = spark.createDataFrame(
-        [("r", 1, 1, "t", "c", "m", "u"), ("r", 2, 8, "t", "c", "m", "u"), ("r", 3, None, "t", "c", "m", "u")],
+        [("r", 1, 1, "t", "c", "m", "u")] * 3 + [("r", 2, 8, "t", "c", "m", "u"), ("r", 3, None, "t", "c", "m", "u")],
         schemas.ERRORS,
     )
     issues = archive.integrity_check(requests, results, errors)
     assert {(r.issue, r.n) for r in issues.collect()} == {
         ("duplicate request id", 1),
+        ("duplicate result id", 1),
+        ("duplicate error id", 2),
         ("request without key", 1),
         ("unknown request status", 1),
         ("result flag not 0 or 1", 1),
         ("error without its request", 1),
     }
-    with pytest.raises(RuntimeError, match="duplicate request id"):
-        archive.require_sound(issues)
-    archive.require_sound(issues.where(F.lit(False)))
+    where = str(tmp_path / "issues")
+    with pytest.raises(RuntimeError, match="unsound: 7 rows.*\n.*duplicate") as raised:
+        archive.require_none(issues, "unsound", where, shown=2)
+    assert where in str(raised.value) and len(str(raised.value).splitlines()) == 3
+    assert spark.read.parquet(where).count() == 7
+    archive.require_none(issues.where(F.lit(False)), "unsound", where)
 
 
 def test_seeds(spark):

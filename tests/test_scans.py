@@ -229,6 +229,22 @@ def test_concurrency(spark):
     assert tuple(history.concurrency_audit(flow, queues).first()) == ("q", 1, 2, 1)
 
 
+def test_metric_trigger_with_numbers_of_any_size(spark):
+    inf, nan = float("inf"), float("nan")
+    at = lambda i: START + dt.timedelta(seconds=10 * i)
+    series = {
+        "tiny": [4e-7] * 9, "huge": [1e15, 1e300] * 4, "inf": [inf] * 9, "nan": [nan] * 9, "both": [inf, -inf] * 4,
+        "one": [0.0] * 3 + [inf] + [0.0] * 12, "below": [-inf] * 9,
+    }
+    rows = [(at(i), "lag", v, run, "x", "p", "q", "1") for run, values in series.items() for i, v in enumerate(values)]
+    metrics = spark.createDataFrame(rows, schemas.METRICS)
+    fired = lambda compare, limit: {
+        r.run_id: r.fired_at for r in triggers.trigger_metric(metrics, "lag", compare, limit, 20, 20).collect()
+    }
+    assert fired(">", 1e-7) == {"tiny": at(2), "huge": at(2), "inf": at(2), "one": at(5)}
+    assert fired("<", -1.0) == {"below": at(2)}
+
+
 def test_admissible(spark):
     flow = spark.createDataFrame(
         [run_row(0, "q", 0, None, "RUNNING")]
@@ -239,6 +255,9 @@ def test_admissible(spark):
     queues = spark.createDataFrame([("q", 4, False), ("paused", 9, True)], schemas.QUEUES)
     found = history.admissible_runs(flow, queues).orderBy("rank").collect()
     assert [(r.run_id, r["rank"]) for r in found] == [(8, 1), (7, 2), (6, 3)]
+    unlimited = spark.createDataFrame([("q", None, False), ("paused", None, True)], schemas.QUEUES)
+    found = history.admissible_runs(flow, unlimited).orderBy("rank").collect()
+    assert [r.run_id for r in found] == [8, 7, 6, 5, 4, 3, 2, 1]
 
 
 def test_drained(spark):
@@ -293,8 +312,9 @@ def test_span_tree_any_depth_and_orphans(spark):
     assert [found[i][0] for i in range(40)] == list(range(40))
     assert (found[100], found[101], found[500]) == ((0, 2.0), (1, 2.0), (0, 1.0))
     cycle = spark.createDataFrame([span(1, 2), span(2, 1)], schemas.SPANS)
-    with pytest.raises(ValueError):
-        telemetry.span_depths(cycle, max_rounds=3)
+    hanging = cycle.unionByName(spark.createDataFrame([span(3, 2), span(4, 3), span(10, None), span(11, 10)], schemas.SPANS))
+    found = {r.span_id: r.depth for r in telemetry.span_depths(hanging).collect()}
+    assert found == {1: None, 2: None, 3: None, 4: None, 10: 0, 11: 1}
 
 
 def test_sampling(spark):

@@ -5,11 +5,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from crawlsight.operators import progress
+from crawlsight.operators import progress, triggers
 from crawlsight.sources import schemas
 from crawlsight.streaming import archive as archive_streaming
 from crawlsight.streaming import windows
-from crawlsight.streaming.drain import to_parquet
+from crawlsight.streaming.drain import drained_latest, to_parquet
 
 START = dt.datetime(2024, 1, 1)
 
@@ -42,6 +42,9 @@ def test_progress_with_late_rows_equals_batch(spark, tmp_path):
     to_parquet(windows.progress_stream(read(spark, folder, schemas.REQUESTS)), sink, checkpoint)
     closed = batch.agg(F.max("ts") - F.expr("INTERVAL 10 MINUTES")).first()[0]
     expected = progress.progress_windows(batch).where(F.col("snapshot_at") <= F.lit(closed))
+    stream = windows.progress_stream(read(spark, folder, schemas.REQUESTS))
+    whole = progress.running_totals(drained_latest(stream, "progress", ["run_id", "snapshot_at"]))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, progress.progress_windows(batch).collect()))
     found = progress.running_totals(spark.read.parquet(sink))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
     # A restart from the checkpoint finds nothing new and writes nothing twice.
@@ -66,30 +69,47 @@ def test_archive_over_several_batches(spark, tmp_path):
     assert objects.select("batch_id").distinct().count() >= 1
 
 
-def test_telemetry_and_triggers_close_windows(spark, tmp_path):
-    rows = [
-        (START + dt.timedelta(minutes=i), "event_loop.lag", float(i % 5), "r", "x", "p", "q", "1")
-        for i in range(180)
-    ]
+def test_telemetry_has_open_windows_and_exact_quantiles(spark, tmp_path):
+    rng = random.Random(4)
+    values = [round(rng.random() * 1000, 3) for _ in range(50_000)]
+    rows = [(START, "worker.active", v, "r", "x", "p", "q", "1") for v in values]
+    rows += [(START + dt.timedelta(minutes=i), "worker.active", float(i), run, "x", "p", "q", "1") for i in range(90) for run in "st"]
     folder = str(tmp_path / "metrics")
-    write_batches(spark, folder, [rows], schemas.METRICS)
-    sink = str(tmp_path / "telemetry")
-    to_parquet(
-        windows.telemetry_stream(read(spark, folder, schemas.METRICS)), sink, str(tmp_path / "c1")
-    )
-    found = spark.read.parquet(sink).orderBy("window_start").collect()
-    assert [r["count"] for r in found] == [60, 60]
-    assert all(r["last"] is None and r.p50 == 2.0 and r.max == 4.0 for r in found)
-
-    # The window is closed by events the trigger does not wait for.
-    events = [
-        (i, START + dt.timedelta(minutes=i), 1, "error" if i < 30 else "view", "{}") for i in range(240)
-    ]
+    write_batches(spark, folder, [rows[:20_000], rows[20_000:]], schemas.METRICS)
+    stream = windows.telemetry_stream(read(spark, folder, schemas.METRICS))
+    found = windows.telemetry_windows(drained_latest(stream, "t", [*windows.SERIES, "window_start", "value"])).collect()
+    found = {(r.run_id, (r.window_start - START).seconds // 3600): r for r in found}
+    values.sort()
+    assert found["r", 0]["count"] == 50_000
+    assert abs(found["r", 0].p50 - (values[24_999] + values[25_000]) / 2) < 1e-9
+    for run in "st":
+        assert [(found[run, h]["count"], found[run, h]["last"]) for h in (0, 1)] == [(60, 59.0), (30, 89.0)]
+
+
+def test_trigger_stream_equals_batch(spark, tmp_path):
+    """Frames of six hours that no aligned window has, one burst, late rows, events that do not match, a replay."""
+    at = lambda hours: START + dt.timedelta(hours=hours)
+    first = [(i, at(h), 1, "error", "{}") for i, h in enumerate((1.9, 4.0, 7.8))]
+    burst = [(10 + i, at(20), 2, "error", "{}") for i in range(3)] + [(20, at(1), 3, "other", "{}")]
+    rng = random.Random(9)
+    busy = [(100 + i, at(30 + rng.random() * 40), 4 + i % 3, rng.choice(["error", "other"]), "{}") for i in range(300)]
+    busy.sort(key=lambda r: r[1] + dt.timedelta(seconds=rng.uniform(0, 500)))
+    batches = [first[:1], first[1:] + burst, *(busy[i : i + 60] for i in range(0, 300, 60))]
     folder = str(tmp_path / "events")
-    write_batches(spark, folder, [events], schemas.EVENTS)
-    stream = read(spark, folder, schemas.EVENTS)
-    fired = windows.trigger_stream(stream, ["error"], 20, "1 hour", "30 minutes", "0 seconds")
-    sink = str(tmp_path / "fired")
-    to_parquet(fired, sink, str(tmp_path / "c2"))
-    got = spark.read.parquet(sink).orderBy("fired_at").collect()
-    assert [((r.fired_at - START).total_seconds() / 60, r.events) for r in got] == [(30, 30), (60, 30)]
+    write_batches(spark, folder, batches, schemas.EVENTS)
+    whole = spark.createDataFrame([r for b in batches for r in b], schemas.EVENTS)
+    expected = sorted(map(tuple, triggers.trigger_reactive(whole, ["error"], 3, 6 * 3600).collect()))
+    assert (1, at(7.8), 3) in expected and [r for r in expected if r[0] == 2] == [(2, at(20), 3)]
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "checkpoint")
+    for _ in range(2):
+        stream = read(spark, folder, schemas.EVENTS)
+        found = windows.trigger_stream(stream, root, checkpoint, ["error"], 3, 6 * 3600)
+        assert sorted(map(tuple, found.collect())) == expected
+    stored = spark.read.parquet(f"{root}/events")
+    assert stored.count() == whole.where("event = 'error'").count()
+
+
+def test_table_of_a_crashed_first_write(spark, tmp_path):
+    """A folder without a finished file is an empty table, so the stream can start again."""
+    (tmp_path / "objects" / "batch_id=0" / "_temporary" / "0").mkdir(parents=True)
+    assert archive_streaming.stored_objects(spark, str(tmp_path)).collect() == []
