@@ -328,19 +328,18 @@ def without_repeats(
     placed = "key long, c1 long, c2 long, doc_id long, version long, at long, n long"
     found = few.mapInArrow(_extract(window, False, False), placed).join(answers, ["key", "c1", "c2"])
     # All windows of a later copy are shared; of the first copy, those in runs: begin, end, begin, end, ..
-    later = found.where("doc_id > least").select("doc_id", "version", F.col("at").alias("low"), (F.col("at") + F.col("n") + window - 1).alias("high"))
-    pairs = F.expr("transform(sequence(0, size(runs) - 2, 2), i -> struct(at + runs[i] AS low, at + runs[i + 1] AS high))")
-    first = (
-        found.where("doc_id = least AND size(runs) > 0")
-        .select("doc_id", "version", F.explode(pairs).alias("span"))
-        .select("doc_id", "version", "span.low", (F.col("span.high") + window - 1).alias("high"))
+    pairs = F.expr(
+        "CASE WHEN doc_id > least THEN array(struct(at AS low, at + n AS high)) WHEN size(runs) > 0 THEN "
+        "transform(sequence(0, size(runs) - 2, 2), i -> struct(at + runs[i] AS low, at + runs[i + 1] AS high)) END"
     )
+    judged = found.select("doc_id", "version", F.explode(pairs).alias("span"))
+    judged = judged.select("doc_id", "version", "span.low", (F.col("span.high") + window - 1).alias("high"))
     many = with_texts(spots.join(crowded, "key", "left_semi")).mapInArrow(_extract(window, False, True), placed)
     leasts = many.groupBy("c1", "c2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     hashed = many.join(leasts, ["c1", "c2"]).where("doc_id > least")
     hashed = hashed.select("doc_id", "version", F.col("at").alias("low"), (F.col("at") + window).alias("high"))
 
-    spans = later.unionByName(first).unionByName(hashed)
+    spans = judged.unionByName(hashed)
     spans = spans.groupBy("doc_id", "version").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     whole = rows.join(spans, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
     return whole.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")
