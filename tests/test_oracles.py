@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from crawlsight.plans import catalog
 from tests.compare import connect, differences
 
 CHECKS = contract.oracle_sql()
@@ -13,7 +14,7 @@ def db(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, small, db, name):
     frame = contract.queries()[name](spark, small)
     if name in CHECKS:
