@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +85,15 @@ def trigger_proactive(
     within: int,
     as_of: dt.datetime,
     keys: Sequence[str] = KEY,
+    match: Mapping[str, str | Sequence[str]] | None = None,
 ) -> DataFrame:
     """Fires at the deadline of an after-event that fewer expected events follow than asked for.
 
-    The count of (t, t + within] is the difference of two running counts, taken by
+    ``match`` holds for after-events and expected ones alike. The count of (t, t + within] is the difference of two running counts, taken by
     probe rows at both ends; events are never paired with each other.
     """
+    if match:
+        events = events.where(is_expected((), match))
     if not afters:
         return _idle_windows(events, expects, threshold, within, as_of, keys)
     # One pass: what a moment counts, and the two probes of a moment that starts a wait.
@@ -142,6 +146,19 @@ def _idle_windows(
     )
 
 
+def as_events(firings: Mapping[str, DataFrame], keys: Sequence[str] = KEY) -> DataFrame:
+    """Firings of any triggers as events with the children's names.
+
+    ``trigger_compound`` and ``trigger_sequence`` over them are triggers over triggers: their children may
+    have thresholds, frames, matches, or be compound themselves.
+    """
+    named = [
+        fired.select(*keys, F.col("fired_at").cast("timestamp").alias("ts"), F.lit(name).alias("event"), F.lit(None).cast("string").alias("props"))
+        for name, fired in firings.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
 def trigger_compound(
     events: DataFrame,
     children: Sequence[Sequence[str]],

@@ -285,10 +285,7 @@ def _(t):
     return runs.run_report(t("runs"), t("requests"), t("results"), t("errors"))
 
 
-@query(
-    "run_summary",
-    ("runs", "requests", "results", "errors"),
-    f"""WITH {STATUS}, {STEPS}, {TYPES}, {TOP}
+SUMMARY = f"""WITH {STATUS}, {STEPS}, {TYPES}, {TOP}
 SELECT r.run_id, coalesce(a.x, '') AS requests_by_status, coalesce(b.x, '') AS errors_by_continuation,
   coalesce(c.x, '') AS results_by_type, coalesce(b.total, 0) AS total, coalesce(d.x, '') AS by_type,
   coalesce(e.x, '') AS rows
@@ -305,11 +302,16 @@ LEFT JOIN (SELECT run_id, string_agg(error_type || '=' || n::VARCHAR, '; ' ORDER
     FROM (SELECT run_id, error_type, count(*) AS n FROM errors GROUP BY 1, 2) y GROUP BY 1) d
   ON d.run_id = r.run_id
 LEFT JOIN (SELECT run_id, string_agg(error_type || ' ' || error_class || ' ' || coalesce(message, '-') || ' ' ||
-    request_url, '; ' ORDER BY rank) AS x FROM top_errors GROUP BY 1) e ON e.run_id = r.run_id""",
-)
+    request_url, '; ' ORDER BY rank) AS x FROM top_errors GROUP BY 1) e ON e.run_id = r.run_id"""
+
+
+@query("run_summary", ("runs", "requests", "results", "errors"), SUMMARY)
 def _(t):
+    return printed_summary(runs.run_summary(t("runs"), t("requests"), t("results"), t("errors")))
+
+
+def printed_summary(summary):
     """The nested summary, printed as text so that both sides can be compared."""
-    summary = runs.run_summary(t("runs"), t("requests"), t("results"), t("errors"))
 
     def printed(name, show):
         return F.array_join(F.transform(name, show), "; ").alias(name)
@@ -353,17 +355,13 @@ def _(t):
 
 @query(
     "optional_table",
-    ("requests", "results"),
-    """SELECT 'documents' AS name, count(*) AS n FROM documents
-UNION ALL SELECT 'absent_results' AS name, 0 AS n""",
+    ("runs", "requests", "results", "errors"),
+    SUMMARY.replace("FROM results", "FROM (SELECT * FROM results WHERE false) none_yet"),
 )
 def _(t):
-    """A table that is there and one that is not; the missing one counts as empty."""
-    there = optional_table(t.spark, f"{t.folder}/documents.parquet", "doc_id bigint")
-    missing = optional_table(t.spark, f"{t.folder}/absent_results.parquet", schemas.RESULTS)
-    return there.agg(F.lit("documents").alias("name"), F.count("*").alias("n")).union(
-        missing.agg(F.lit("absent_results").alias("name"), F.count("*").alias("n"))
-    )
+    """The summary of runs whose results table does not exist: their other parts are there."""
+    absent = optional_table(t.spark, f"{t.folder}/absent_results.parquet", schemas.RESULTS)
+    return printed_summary(runs.run_summary(t("runs"), t("requests"), absent, t("errors")))
 
 
 PROGRESS_COUNTS = """count(*) AS total, count(*) FILTER (status = 'completed') AS completed,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sla, triggers
-from .registry import query
+from .registry import ORACLES, QUERIES, query
 
 HOUR = 3600
 DAY = 24 * HOUR
@@ -76,7 +76,7 @@ def _(t):
     return matched.select("event_id", "resource", "event", "ts")
 
 
-def compound_sql(need: int, seconds: int, names: tuple[str, ...]) -> str:
+def compound_sql(need: int, seconds: int, names: tuple[str, ...], head: str = "", table: str = "trigger_events") -> str:
     flags = ", ".join(f"max(ts) FILTER (event = '{n}') AS c{i}" for i, n in enumerate(names))
     before = ", ".join(
         f"max(c{i}) OVER (PARTITION BY resource ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m{i}"
@@ -86,7 +86,7 @@ def compound_sql(need: int, seconds: int, names: tuple[str, ...]) -> str:
     old = " + ".join(f"CAST({h} AS INTEGER)" for h in held)
     now = " + ".join(f"CAST({h} OR c{i} IS NOT NULL AS INTEGER)" for i, h in enumerate(held))
     listed = ", ".join(f"'{n}'" for n in names)
-    return f"""WITH m AS (SELECT resource, ts, {flags} FROM trigger_events WHERE event IN ({listed}) GROUP BY 1, 2),
+    return f"""WITH {head}m AS (SELECT resource, ts, {flags} FROM {table} WHERE event IN ({listed}) GROUP BY 1, 2),
 s AS (SELECT *, {before} FROM m)
 SELECT resource, ts AS fired_at, {now} AS active FROM s WHERE {old} < {need} AND {now} >= {need}"""
 
@@ -124,6 +124,56 @@ def _(t):
     return triggers.trigger_sequence(t("trigger_events"), [["view"], ["click"], ["purchase"]], DAY)
 
 
+def proactive_matched(t):
+    events = t("trigger_events")
+    labels = {"k": ["1", "2", "3", "5", "8", "13"]}
+    return triggers.trigger_proactive(events, ["signup"], ["purchase"], 2, 2 * DAY, latest(events, "ts"), match=labels)
+
+
+@query(
+    "trigger_proactive_match",
+    EVENTS,
+    """WITH t AS (SELECT * FROM trigger_events WHERE json_extract_string(props, '$.k') IN ('1', '2', '3', '5', '8', '13')),
+a AS (SELECT DISTINCT resource, ts FROM t WHERE event = 'signup'),
+e AS (SELECT resource, ts FROM t WHERE event = 'purchase'),
+c AS (SELECT a.resource, a.ts AS after_at, count(e.ts) AS events FROM a LEFT JOIN e ON a.resource = e.resource
+  AND e.ts > a.ts AND e.ts <= a.ts + INTERVAL 172800 SECONDS GROUP BY 1, 2)
+SELECT resource, after_at, events, after_at + INTERVAL 172800 SECONDS AS fired_at FROM c
+WHERE events < 2 AND after_at + INTERVAL 172800 SECONDS <= (SELECT max(ts) FROM trigger_events)""",
+)
+def _(t):
+    return proactive_matched(t)
+
+
+PARTS = {"burst": "trigger_reactive", "unpaid": "trigger_proactive", "order": "trigger_sequence"}
+FIRED = "fired AS ({}), ".format(
+    " UNION ALL ".join(f"SELECT resource, fired_at AS ts, '{name}' AS event FROM ({ORACLES[sql]}) child_{name}" for name, sql in PARTS.items())
+)
+
+
+def parts(t):
+    """Three children of different kinds: a threshold in a frame, a missing follow-up, an order of events."""
+    return triggers.as_events({name: QUERIES[made](t.spark, t.folder) for name, made in PARTS.items()})
+
+
+@query("trigger_composite", (), compound_sql(2, 2 * DAY, tuple(PARTS), FIRED, "fired"))
+def _(t):
+    return triggers.trigger_compound(parts(t), [[name] for name in PARTS], 2, 2 * DAY)
+
+
+@query(
+    "trigger_composite_sequence",
+    (),
+    f"""WITH {FIRED}m AS (SELECT resource, ts, bool_or(event = 'burst') AS c0, bool_or(event = 'order') AS c1 FROM fired
+  WHERE event IN ('burst', 'order') GROUP BY 1, 2),
+a AS (SELECT *, CASE WHEN c1 THEN max(CASE WHEN c0 THEN ts END) OVER (PARTITION BY resource ORDER BY ts
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS s1 FROM m)
+SELECT resource, ts AS fired_at, s1 AS started_at FROM a WHERE s1 >= ts - INTERVAL {2 * DAY} SECONDS""",
+)
+def _(t):
+    return triggers.trigger_sequence(parts(t), [["burst"], ["order"]], 2 * DAY)
+
+
 @query(
     "trigger_metric",
     ("metrics",),
