@@ -46,6 +46,10 @@ THRESHOLDS = {"lag": 0.15, "cpu": 0.15, "client": 0.2, "lock": 0.15, "gate": 0.2
 QUANTILES = (0.5, 0.9, 0.99)
 
 
+# The phases whose CPU time is spent on the loop.
+BLOCKING_PHASES = ("compress", "continuation")
+
+
 def metric_histograms(
     metrics: DataFrame, attributes: Sequence[str], probs: Sequence[float] = QUANTILES
 ) -> DataFrame:
@@ -54,10 +58,12 @@ def metric_histograms(
     return exact_quantiles(points, ["metric", *attributes], "value", probs)
 
 
-def metric_buckets(metrics: DataFrame, bounds: Sequence[float] = BUCKET_BOUNDS) -> DataFrame:
-    """Cumulative counts per upper bound; the last bound is open (NULL)."""
+def metric_buckets(
+    metrics: DataFrame, bounds: Sequence[float] = BUCKET_BOUNDS, attributes: Sequence[str] = ()
+) -> DataFrame:
+    """Cumulative counts per upper bound and attribute set; the last bound is open (NULL)."""
     points = metrics.where(F.col("metric").isin(*HISTOGRAMS))
-    wide = points.groupBy("metric").agg(
+    wide = points.groupBy("metric", *attributes).agg(
         *[F.count_if(F.col("value") <= bound).alias(f"b{i}") for i, bound in enumerate(bounds)],
         F.count("value").alias("b_open"),
     )
@@ -66,7 +72,7 @@ def metric_buckets(metrics: DataFrame, bounds: Sequence[float] = BUCKET_BOUNDS)
         for i, bound in enumerate(bounds)
     ]
     edges.append(F.struct(F.lit(None).cast("double").alias("bound"), F.col("b_open").alias("n")))
-    return wide.select("metric", F.inline(F.array(*edges)))
+    return wide.select("metric", *attributes, F.inline(F.array(*edges)))
 
 
 def gauge_last(metrics: DataFrame) -> DataFrame:
@@ -251,7 +257,7 @@ def bottleneck_diagnosis(
 ) -> DataFrame:
     """What limits each run, by the p99 of five signals and four ordered rules.
 
-    A signal without data counts as low.
+    CPU time is that of the phases which block the loop. A signal without data counts as low.
     """
     signal = {
         "event_loop.lag": "lag",
@@ -261,9 +267,10 @@ def bottleneck_diagnosis(
         "transport.resolve": "client",
     }
     names = F.create_map(*[F.lit(x) for pair in signal.items() for x in pair])
+    blocking = (F.col("metric") == "request.cpu_time") & F.col("phase").isin(*BLOCKING_PHASES)
     points = (
-        metrics.select("run_id", F.col("metric").alias("name"), "value")
-        .where(F.col("name").isin("event_loop.lag", "request.cpu_time", "db.lock.wait"))
+        metrics.where(F.col("metric").isin("event_loop.lag", "db.lock.wait") | blocking)
+        .select("run_id", F.col("metric").alias("name"), "value")
         .unionByName(
             spans.select("run_id", "name", F.col("seconds").alias("value")).where(
                 F.col("name").isin("rate_limiter.gate", "transport.resolve")

@@ -31,11 +31,11 @@ def _(t):
 @query(
     "telemetry_stream",
     ("metrics",),
-    """WITH w AS (SELECT metric, scraper, run_id, time_bucket(INTERVAL '1 hour', ts) AS window_start, count(value) AS count,
+    """WITH w AS (SELECT metric, scraper, run_id, step, phase, kind, time_bucket(INTERVAL '1 hour', ts) AS window_start, count(value) AS count,
     sum(value) AS sum, min(value) AS min, max(value) AS max, arg_max(value, struct_pack(a := ts, b := value)) AS last,
     quantile_cont(value, [0.5, 0.9, 0.99]) AS q
-  FROM metrics WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4)
-SELECT metric, scraper, run_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count,
+  FROM metrics WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7)
+SELECT metric, scraper, run_id, step, phase, kind, window_start, window_start + INTERVAL 1 HOUR AS window_end, count,
   round(sum, 6) AS sum, min, max, CASE WHEN metric IN ('worker.active', 'queue.pending') THEN last END AS last,
   round(q[1], 9) AS p50, round(q[2], 9) AS p90, round(q[3], 9) AS p99 FROM w""",
 )

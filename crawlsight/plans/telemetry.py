@@ -32,6 +32,28 @@ def _(t):
     return rounded(telemetry.metric_histograms(t("metrics"), ["scraper", "pool"]))
 
 
+@query(
+    "metric_phases",
+    ("metrics",),
+    f"""SELECT metric, scraper, step, phase, kind, {VALUE_STATS} FROM metrics WHERE metric IN ({HISTOGRAMS})
+GROUP BY ALL""",
+)
+def _(t):
+    """Histograms by every attribute of a metric of its own."""
+    return rounded(telemetry.metric_histograms(t("metrics"), ["scraper", "step", "phase", "kind"]))
+
+
+@query(
+    "metric_buckets_by_phase",
+    ("metrics",),
+    f"""SELECT m.metric, m.phase, m.kind, b.bound, count(*) FILTER (b.bound IS NULL OR m.value <= b.bound) AS n
+FROM metrics m, (SELECT unnest([{', '.join(map(str, telemetry.BUCKET_BOUNDS))}, NULL]::DOUBLE[]) AS bound) b
+WHERE m.metric IN ({HISTOGRAMS}) GROUP BY 1, 2, 3, 4""",
+)
+def _(t):
+    return telemetry.metric_buckets(t("metrics"), attributes=["phase", "kind"])
+
+
 @query(
     "metric_buckets",
     ("metrics",),
@@ -165,6 +187,7 @@ def _(t):
     ("metrics", "spans"),
     """WITH p AS (
   SELECT run_id, metric AS name, value FROM metrics
+    WHERE metric <> 'request.cpu_time' OR phase IN ('compress', 'continuation')
   UNION ALL SELECT run_id, name, seconds FROM spans WHERE run_id IS NOT NULL),
 q AS (SELECT run_id, coalesce(quantile_cont(value, 0.99) FILTER (name = 'event_loop.lag'), 0) AS lag,
     coalesce(quantile_cont(value, 0.99) FILTER (name = 'request.cpu_time'), 0) AS cpu,

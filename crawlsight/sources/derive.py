@@ -146,7 +146,15 @@ SELECT CAST(ts AS TIMESTAMP) AS ts,
   CASE WHEN user_id % 4 = 0 THEN 'browser-pool' ELSE 'scraper-pool' END AS pool,
   CASE WHEN user_id % 3 = 0 THEN 'runloop' WHEN user_id % 3 = 1 THEN 'thread' ELSE 'process' END AS run_pool,
   CASE WHEN user_id % 5 = 0 THEN '' WHEN user_id % 5 = 4 THEN NULL
-       WHEN user_id % 5 < 3 THEN '10' ELSE '20' END AS max_workers
+       WHEN user_id % 5 < 3 THEN '10' ELSE '20' END AS max_workers,
+  CASE WHEN event_id % 10 IN (0, 8, 9) OR event_id % 10 IN (3, 4) AND event_id % 7 = 0 THEN NULL
+       ELSE event_type END AS step,
+  CASE WHEN event_id % 10 = 1 AND value < 20 THEN 'total' WHEN event_id % 10 = 1 AND value < 40 THEN 'rate_limiter.gate'
+       WHEN event_id % 10 = 1 AND value < 80 THEN 'transport.resolve' WHEN event_id % 10 = 1 THEN 'continuation'
+       WHEN event_id % 10 = 2 AND event_id % 3 = 0 THEN 'compress' WHEN event_id % 10 = 2 AND event_id % 3 = 1
+       THEN 'continuation' WHEN event_id % 10 = 2 THEN 'parse' END AS phase,
+  CASE WHEN event_id % 10 IN (5, 7) AND event_id % 4 = 1 THEN 'train' WHEN event_id % 10 IN (5, 7) THEN 'recompress' END
+    AS kind
 FROM {{events}}""",
     ),
     "trigger_events": (

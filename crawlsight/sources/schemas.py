@@ -30,7 +30,7 @@ SPANS = (
 )
 METRICS = (
     "ts timestamp, metric string, value double, run_id string, scraper string, pool string, "
-    "run_pool string, max_workers string"
+    "run_pool string, max_workers string, step string, phase string, kind string"
 )
 EVENTS = "event_id bigint, ts timestamp, resource bigint, event string, props string"
 

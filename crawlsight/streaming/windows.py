@@ -20,7 +20,7 @@ from ..sources.tables import optional_table
 from .drain import for_each_batch
 
 LATENESS = "10 minutes"
-SERIES = ("metric", "scraper", "run_id")
+SERIES = ("metric", "scraper", "run_id", "step", "phase", "kind")
 
 
 def progress_stream(
@@ -31,7 +31,7 @@ def progress_stream(
 
 
 def telemetry_stream(metrics: DataFrame, lateness: str = LATENESS, window: str = "1 hour") -> DataFrame:
-    """Copies and last time of each value per series (metric, scraper, run) and window.
+    """Copies and last time of each value per series (metric and its attributes) and window.
 
     ``telemetry_windows`` turns the sink into statistics. The state holds equal values once.
     """
@@ -53,7 +53,7 @@ def telemetry_windows(values: DataFrame, probs: Sequence[float] = telemetry.QUAN
         .groupBy(*keys)
         .agg(F.max_by("value", F.struct("last_at", "value")).alias("last"))
     )
-    # Scraper and run may be NULL.
+    # Attributes may be NULL.
     same = [F.col(f"s.{key}").eqNullSafe(F.col(f"l.{key}")) for key in keys]
     return stats.alias("s").join(last.alias("l"), same, "left").select("s.*", "last")
 

@@ -181,7 +181,7 @@ def test_sequence(frame, events):
 def test_metric_trigger(spark):
     rng = random.Random(2)
     values = {s: rng.choice([1, 1, 5, 9]) for s in sorted(rng.sample(range(0, 4000), 300))}
-    rows = [(at(s), "lag", float(v), "r", "x", "p", "q", "1") for s, v in values.items()]
+    rows = [(at(s), "lag", float(v), "r", "x", "p", "q", "1", None, "compress", None) for s, v in values.items()]
     metrics = spark.createDataFrame(rows, schemas.METRICS)
     expected, start, done = [], None, False
     for s in sorted(values):
@@ -236,7 +236,7 @@ def test_metric_trigger_with_numbers_of_any_size(spark):
         "tiny": [4e-7] * 9, "huge": [1e15, 1e300] * 4, "inf": [inf] * 9, "nan": [nan] * 9, "both": [inf, -inf] * 4,
         "one": [0.0] * 3 + [inf] + [0.0] * 12, "below": [-inf] * 9,
     }
-    rows = [(at(i), "lag", v, run, "x", "p", "q", "1") for run, values in series.items() for i, v in enumerate(values)]
+    rows = [(at(i), "lag", v, run, "x", "p", "q", "1", None, "compress", None) for run, values in series.items() for i, v in enumerate(values)]
     metrics = spark.createDataFrame(rows, schemas.METRICS)
     fired = lambda compare, limit: {
         r.run_id: r.fired_at for r in triggers.trigger_metric(metrics, "lag", compare, limit, 20, 20).collect()
@@ -342,7 +342,7 @@ def test_sampling(spark):
 )
 def test_diagnosis(spark, signals, label):
     metrics = spark.createDataFrame(
-        [(START, m, float(v), "r", "x", "p", "q", "1") for m, v in signals.items() if m != "rate_limiter.gate"],
+        [(START, m, float(v), "r", "x", "p", "q", "1", None, "compress", None) for m, v in signals.items() if m != "rate_limiter.gate"],
         schemas.METRICS,
     )
     spans = spark.createDataFrame(

@@ -72,8 +72,8 @@ def test_archive_over_several_batches(spark, tmp_path):
 def test_telemetry_has_open_windows_and_exact_quantiles(spark, tmp_path):
     rng = random.Random(4)
     values = [round(rng.random() * 1000, 3) for _ in range(50_000)]
-    rows = [(START, "worker.active", v, "r", "x", "p", "q", "1") for v in values]
-    rows += [(START + dt.timedelta(minutes=i), "worker.active", float(i), run, "x", "p", "q", "1") for i in range(90) for run in "st"]
+    rows = [(START, "worker.active", v, "r", "x", "p", "q", "1", None, "compress", None) for v in values]
+    rows += [(START + dt.timedelta(minutes=i), "worker.active", float(i), run, "x", "p", "q", "1", None, "compress", None) for i in range(90) for run in "st"]
     folder = str(tmp_path / "metrics")
     write_batches(spark, folder, [rows[:20_000], rows[20_000:]], schemas.METRICS)
     stream = windows.telemetry_stream(read(spark, folder, schemas.METRICS))
