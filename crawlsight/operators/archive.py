@@ -56,11 +56,12 @@ def downloads_skipped(candidates: DataFrame, pointers: DataFrame) -> DataFrame:
 
 def objects_of(downloads: DataFrame) -> DataFrame:
     """One row per object: equal bytes with equal extension and prefix are one."""
-    return (
-        with_keys(downloads)
-        .groupBy("content_key")
-        .agg(F.max("size").alias("size"), F.min("seq").alias("first_seq"))
-    )
+    return keyed_objects(with_keys(downloads))
+
+
+def keyed_objects(keyed: DataFrame) -> DataFrame:
+    """As ``objects_of``, of downloads that have their keys."""
+    return keyed.groupBy("content_key").agg(F.max("size").alias("size"), F.min("seq").alias("first_seq"))
 
 
 def content_upsert(downloads: DataFrame, objects: DataFrame) -> DataFrame:
@@ -70,19 +71,30 @@ def content_upsert(downloads: DataFrame, objects: DataFrame) -> DataFrame:
 
 def content_to_write(downloads: DataFrame, objects: DataFrame) -> DataFrame:
     """The bytes behind :func:`content_upsert`: for each new object its first copy."""
-    first = content_upsert(downloads, objects).select(
-        "content_key", F.col("first_seq").alias("seq")
-    )
-    return (
-        with_keys(downloads)
-        .join(first, ["content_key", "seq"], "left_semi")
-        .select("content_key", "size", "content", F.col("seq").alias("first_seq"))
+    return keyed_to_write(with_keys(downloads), objects)
+
+
+def keyed_to_write(keyed: DataFrame, objects: DataFrame) -> DataFrame:
+    """As ``content_to_write``, of downloads that have their keys.
+
+    Winners are found on keys alone. The join that fetches their bytes moves the bytes of all downloads, unless
+    the winners are few enough to be broadcast.
+    """
+    first = keyed_objects(keyed).join(objects.select("content_key"), "content_key", "left_anti")
+    first = first.select("content_key", F.col("first_seq").alias("seq"))
+    return keyed.join(first, ["content_key", "seq"], "left_semi").select(
+        "content_key", "size", "content", F.col("seq").alias("first_seq")
     )
 
 
 def pointers_of(downloads: DataFrame, base: str = FILE_BASE) -> DataFrame:
     """The pointer each dedup key ends up with, and the sequence number that set it."""
-    keyed = with_keys(downloads.where(keys.has_key(F.col("deduplication_key")))).select(
+    return keyed_pointers(with_keys(downloads.where(keys.has_key(F.col("deduplication_key")))), base)
+
+
+def keyed_pointers(keyed: DataFrame, base: str = FILE_BASE) -> DataFrame:
+    """As ``pointers_of``, of downloads that have their keys."""
+    keyed = keyed.where(keys.has_key(F.col("deduplication_key"))).select(
         "prefix",
         keys.content_sha(F.col("deduplication_key")).alias("dedup_sha"),
         F.concat(F.lit(base), F.col("content_key")).alias("file_url"),

@@ -39,10 +39,15 @@ def archive_batch(root: str, base: str = archive.FILE_BASE) -> Callable[[DataFra
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         earlier = stored_objects(spark, root).where(F.col("batch_id") < batch_id)
-        new = archive.content_to_write(batch, earlier)
-        new.write.mode("overwrite").parquet(f"{root}/objects/batch_id={batch_id}")
-        pointers = archive.pointers_of(batch, base)
-        pointers.write.mode("overwrite").parquet(f"{root}/pointers/batch_id={batch_id}")
+        # Read and hashed once for all that follows.
+        keyed = archive.with_keys(batch).persist()
+        try:
+            new = archive.keyed_to_write(keyed, earlier)
+            new.write.mode("overwrite").parquet(f"{root}/objects/batch_id={batch_id}")
+            pointers = archive.keyed_pointers(keyed, base)
+            pointers.write.mode("overwrite").parquet(f"{root}/pointers/batch_id={batch_id}")
+        finally:
+            keyed.unpersist()
 
     return handle
 
