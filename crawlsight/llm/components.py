@@ -8,17 +8,27 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """``rows`` with the minimum of their node.
+
+    The minima lie by node already; joined by another key, both sides are shuffled for the join, and the rows
+    of a node with very many neighbours can be split over several tasks.
+    """
+    minima = least.select((-F.col("u")).alias("key"), "m")
+    return rows.withColumn("key", -F.col("u")).join(minima, "key").drop("key")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    return _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of these."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    tied = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    tied = _with_least(edges, least).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
