@@ -207,31 +207,23 @@ def span_depths(spans: DataFrame) -> DataFrame:
 
 
 def _climb(step: DataFrame) -> DataFrame:
-    """Replace each span's ancestor by that ancestor's own.
-
-    Roots have no ancestor to look up. The flag keeps them from matching, and
-    their own id in the key keeps them from meeting in one task.
-    """
+    """Replace each span's ancestor by that ancestor's own; spans without one are done and only looked up."""
     above = step.select(
         "trace_id",
-        F.col("span_id").alias("_up"),
-        F.lit(False).alias("_root"),
+        F.col("span_id").alias("up"),
         F.col("up").alias("next_up"),
         F.col("depth").alias("more"),
         F.lit(True).alias("found"),
     )
-    asked = step.withColumn("_up", F.coalesce("up", "span_id")).withColumn("_root", F.col("up").isNull())
-    looked = F.col("up").isNotNull() & F.coalesce("found", F.lit(False))
-    orphan = F.col("up").isNotNull() & ~F.coalesce("found", F.lit(False))
-    return asked.join(above, ["trace_id", "_up", "_root"], "left").select(
+    asked = step.where(F.col("up").isNotNull()).join(above, ["trace_id", "up"], "left")
+    # A parent that is not in the data: its child is a root.
+    climbed = asked.select(
         "trace_id",
         "span_id",
-        F.when(looked, F.col("next_up")).alias("up"),
-        F.when(looked, F.col("depth") + F.col("more"))
-        .when(orphan, F.col("depth") - 1)
-        .otherwise(F.col("depth"))
-        .alias("depth"),
+        F.col("next_up").alias("up"),
+        F.when(F.col("found"), F.col("depth") + F.col("more")).otherwise(F.col("depth") - 1).alias("depth"),
     )
+    return step.where(F.col("up").isNull()).unionByName(climbed)
 
 
 def sample_ratio(setting: str | None) -> float:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -51,16 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors are one process, may fall back to a temporary folder.
+    driver and executors are one process, may fall back to a temporary folder,
+    which goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        # local-cluster[..] is several processes, and so a cluster.
+        if not context.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="crawlsight-"))
+        folder = tempfile.mkdtemp(prefix="crawlsight-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
