@@ -227,7 +227,7 @@ class Rounds:
             else:
                 phase = max((p for p in self.phases if p.begin <= turn * self.window), key=lambda p: p.begin)
                 known = self._got(phase, turn * self.window)
-            if len(self._known) > 20000:
+            if len(self._known) * len(self.totals) > 500_000:
                 self._known.clear()
             self._known[turn] = known
         return known
