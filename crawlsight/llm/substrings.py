@@ -27,7 +27,7 @@ from .words import Texts, U, Words, mixed, numbers, pieces, runs
 
 # Windows in one segment at most: bounds a segment where words repeat without end.
 LONGEST = 64
-# Segments of one shard, about.
+# Segments of one shard, about, and of one anchor at most: what a task holds in memory.
 SHARD = 20000
 
 
@@ -288,7 +288,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeats(
-    docs: DataFrame, window: int = 50, gram: int = 10, most: int = 4096, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, window: int = 50, gram: int = 10, most: int = SHARD, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words that stay, joined by one space).
 
