@@ -100,6 +100,8 @@ def _extract(window: int, content: bool, single: bool):
     """Arrow batches of (doc_id, version, text, spots) to segments (or, ``single``, to windows) with two hashes, and their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # With content, a task sends a segment again only for a smaller document.
+        least: dict[tuple[int, int], int] = {}
         for batch in pieces(batches, "text", 1 << 20):
             texts = Texts.of(batch.column("text"))
             words = Words.of(texts)
@@ -112,6 +114,14 @@ def _extract(window: int, content: bool, single: bool):
                 owner, key, at, n = np.repeat(owner, n), np.repeat(key, n), _spread(at, n), np.ones(int(n.sum()), np.int64)
             begin, size = words.first[:-1][owner] + at, n + window - 1
             c1, c2 = _digests(hashes, begin, size)
+            if content:
+                docs = batch.column("doc_id").to_numpy()[owner].tolist()
+                fresh = np.zeros(len(owner), bool)
+                for i, (digest, doc) in enumerate(zip(c1.tolist(), docs)):
+                    if doc < least.get((digest, key[i]), doc + 1):
+                        least[digest, key[i]] = doc
+                        fresh[i] = True
+                owner, key, begin, size, c1, c2 = (x[fresh] for x in (owner, key, begin, size, c1, c2))
             rows = pa.array(owner)
             columns = {
                 "key": pa.array(key),
@@ -319,9 +329,12 @@ def without_repeats(
 
     few = with_texts(spots.join(crowded, "key", "left_anti"))
     contents = few.mapInArrow(_extract(window, True, False), "key long, c1 long, c2 long, doc_id long, content string")
-    contents = contents.groupBy("key", "c1", "c2", "content").agg(F.min("doc_id").alias("least"))
+    # Dealt by shard once; the aggregation and the search both find their rows together.
     answers = (
         contents.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+        .repartition("shard")
+        .groupBy("shard", "key", "c1", "c2", "content")
+        .agg(F.min("doc_id").alias("least"))
         .groupBy("shard")
         .applyInArrow(_shard(window), "key long, c1 long, c2 long, least long, runs array<long>")
     )
