@@ -38,8 +38,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in training sequences."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of all documents in training sequences, by the targets of the mixture."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), weights=mixing.targets(docs))
 
 
 STAGES = [("quality", good), ("near_copies", distinct), ("private", unnamed), ("mixture", mixed), ("packing", packed)]

@@ -67,6 +67,18 @@ def pattern(shares: DataFrame, period: int) -> DataFrame:
     return rows.withColumn("turn", F.row_number().over(by_slot) - 1)
 
 
+def targets(docs: DataFrame, exponent: float = 0.7, text: str = "text", source: str = "source") -> DataFrame:
+    """source, weight: the default target of each source, its characters to the power ``exponent``. NULL sources are ''."""
+    name = F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")
+    rows = docs.select(name, F.coalesce(F.length(text), F.lit(0)).cast("long").alias("size"))
+    return rows.groupBy("source").agg(lifted(F.sum("size"), exponent).alias("weight"))
+
+
+def lifted(total: Column, exponent: float) -> Column:
+    """The weight of so many characters; a source without any has one too."""
+    return F.pow(total + 1, exponent)
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -118,7 +130,7 @@ def _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_
 
     queues = named(sources).groupBy("queue").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
     if weights is None:
-        weight = F.pow(F.col("total") + 1, exponent)
+        weight = lifted(F.col("total"), exponent)
     else:
         named = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map()
         weight = F.coalesce(named[F.col("queue")].cast("double"), F.lit(0.0)) + 1e-12

@@ -318,7 +318,7 @@ def pack(
     tokenizer: str,
     window: int = 4096,
     end: int = 2,
-    weights: dict[str, float] | None = None,
+    weights: dict[str, float] | DataFrame | None = None,
     most_queues: int = 256,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -327,8 +327,9 @@ def pack(
     """One row per piece of a document: PIECES.
 
     ``tokenizer`` is the path of a tokenizer file that every executor has; each document ends with
-    the id ``end``. ``weights`` are the target proportions of sources in every window; without it
-    they are the sources' shares of all tokens, so that all queues end together. Every id lies in
+    the id ``end``. ``weights`` are the target proportions of sources in every window until a queue has
+    ended, by name or as rows (source, weight); without it they are the sources' shares of all tokens, so
+    that all queues end together. Every id lies in
     exactly one piece; the pieces of a sequence fill it without gaps; all sequences have ``window``
     tokens but the last few, which have powers of two.
 
@@ -349,12 +350,22 @@ def pack(
     own = parts.groupBy("source").agg(F.sum("total").alias("total")).orderBy(F.desc("total"), "source").limit(most_queues)
     parts = parts.join(F.broadcast(own.select("source", F.col("source").alias("queue"))), "source", "left")
     parts = parts.withColumn("queue", F.coalesce("queue", F.lit(OTHERS)))
-    totals = {r.queue: r.total for r in parts.groupBy("queue").agg(F.sum("total").alias("total")).orderBy("queue").collect()}
+    by_source = parts.groupBy("queue", "source").agg(F.sum("total").alias("total"))
+    if weights is None:
+        by_source = by_source.withColumn("weight", F.col("total"))
+    else:
+        if isinstance(weights, dict):
+            weights = spark.createDataFrame(list(weights.items()), "source string, weight double")
+        # Looked up by source, so that the shared queue weighs what its sources weigh together.
+        by_source = by_source.join(weights.select("source", "weight"), "source", "left").fillna(0.0, "weight")
+    found = by_source.groupBy("queue").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight")).orderBy("queue").collect()
+    totals = {r.queue: r.total for r in found}
 
     if weights is None:
         shares = list(totals.values())
     else:
-        shares = [max(1, round(weights.get(queue, 0) * 10**9)) for queue in totals]
+        whole = sum(r.weight for r in found) or 1.0
+        shares = [max(1, round(r.weight / whole * 10**12)) for r in found]
     rounds = Rounds(list(totals.values()), shares, window)
     earlier = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.select("source", "part", "queue", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 from tests.llm import cases
@@ -28,6 +29,24 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
     assert len(rows) > counts[0] > counts[1] == counts[2] == counts[3] > 0
 
 
+def test_windows_hold_the_targets_of_the_mixture(spark):
+    r = random.Random(3)
+    sizes = {"s0": 120, "s1": 20, "s2": 6, None: 2}
+    rows = [(i, prose(r, 400), "en", s, 0) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    chars = Counter()
+    for _, text, _, source, _ in rows:
+        chars[source or ""] += len(text)
+    whole = sum((n + 1) ** 0.7 for n in chars.values())
+    got, ends = defaultdict(Counter), Counter()
+    for x in corpus_pipeline.packed(spark, cases.table(spark, rows), "").collect():
+        got[x.sequence_id][x.queue] += x.length
+        ends[x.queue] = max(ends[x.queue], x.sequence_id)
+    assert set(ends) == set(chars) and min(ends.values()) >= 2
+    for sequence in range(min(ends.values())):
+        for queue, n in chars.items():
+            assert abs(got[sequence][queue] - 4096 * (n + 1) ** 0.7 / whole) < 2 * len(chars)
+
+
 def test_empty_table(spark):
     docs = cases.empty(spark)
     for _, stage in corpus_pipeline.STAGES:
