@@ -7,6 +7,8 @@ document's sentences never leave its row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,15 +65,26 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc",)),
     ("CC-BY-ND-4.0", ("cc-by-nd",)),
 )
-# A sentence ends at a line end, or at one of these marks before white space.
+# A sentence ends at one of these marks before white space, or at a line without letters and digits.
 ENDS, OTHER = r"[.!?:;][ \t\r\n]+", r"[^a-z0-9\n]+"
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text, in order. NULL: none."""
-    lines = F.regexp_replace(F.lower(text), ENDS, "\n")
-    plain = F.split(F.regexp_replace(lines, OTHER, " "), "\n")
-    return F.coalesce(F.transform(plain, lambda s: F.trim(s)), F.array().cast("array<string>"))
+def normalised(text: Column) -> Column:
+    """Words by single spaces; a line end within a sentence is one line feed, the end of a sentence two or more."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), ENDS, "\n\n"), OTHER, " ")
+    return F.trim(F.regexp_replace(plain, " ?\n ?", "\n"))
+
+
+def recognised(text: Column, known: list[str]) -> Column:
+    """The ``known`` sentences in a text, in order, the longest first where several begin. NULL: none.
+
+    They may be wrapped at any words. They begin and end with a sentence or a line, so that a notice on a
+    line of its own needs no mark, nor does the line before a wrapped sentence.
+    """
+    # Longest first, as an alternative that is tried first wins.
+    each = "|".join("[ \n]".join(re.escape(w) for w in k.split(" ")) for k in sorted(known, key=lambda k: (-len(k), k)))
+    found = F.regexp_extract_all(normalised(text), F.lit(rf"(?<![^\n])(?:{each})(?![^\n])"), F.lit(0))
+    return F.coalesce(F.transform(found, lambda s: F.translate(s, "\n", " ")), F.array().cast("array<string>"))
 
 
 def _wrapped(ids: tuple[str, ...]) -> str:
@@ -95,7 +108,7 @@ def find_licenses(
     """
     known = SENTENCES if sentence_ids is None else sentence_ids
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    found = F.filter(sentences(F.col(text)), lambda s: s.isin(list(known)))
+    found = recognised(F.col(text), list(known))
     marked = docs.select(*keep, F.transform(found, lambda s: table[s]).alias("ids"))
     sequence = F.concat(
         F.lit(""), F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")

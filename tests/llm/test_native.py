@@ -81,6 +81,69 @@ def test_licences(spark):
     assert licenses.find_licenses(cases.empty(spark)).collect() == []
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Some One
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "GPL-3.0-or-later": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+""",
+}
+
+
+def test_wrapped_licences(spark):
+    texts = [w.replace("\n", end) for w in WRAPPED.values() for end in ("\n", "\r\n")]
+    lines = ["no mark before\nReleased under the MIT License\nnor after", "Released under the\n\nMIT License", "x Released under the MIT\nLicense"]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts + lines)]
+    found = licenses.find_licenses(cases.table(spark, rows)).orderBy("doc_id").collect()
+    assert [(r.n_recognised, r.licenses) for r in found[:8]] == [
+        (n, [name]) for name, n in zip(WRAPPED, (4, 4, 2, 4)) for _ in range(2)
+    ]
+    assert [r.licenses for r in found[8:]] == [["MIT"], [], []]
+
+
 @pytest.mark.parametrize("weights", [[1, 1, 1], [5, 3, 1], [90, 1, 9, 30], [1]])
 def test_pattern_stays_within_one_block(spark, weights):
     queues = spark.createDataFrame([(f"q{i}", float(w)) for i, w in enumerate(weights)], "queue string, w double")
