@@ -27,7 +27,8 @@ PATTERN = re.compile(
     (?P<email> (?<![A-Za-z0-9._%+-]) [A-Za-z0-9._%+-]+ @ (?:[A-Za-z0-9-]+\.)+ [A-Za-z]{2,} )
   | (?P<date>  (?<![0-9./-]) (?: [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{2}[./][0-9]{2}[./][0-9]{4} ) (?![0-9]|[./-][0-9]) )
   | (?P<ip>    (?<![0-9.]) [0-9]{1,3} (?:\.[0-9]{1,3}){3} (?!\.?[0-9]) )
-  | (?P<phone> (?<![0-9]) (?:\+[0-9]{1,3}[ .-]?)? (?: \([0-9]{3}\)[ ]? | (?<=[ .-])[0-9]{3}[ .-] ) [0-9]{3} [ .-] [0-9]{4} (?![0-9]) )
+  | (?P<phone> (?<![0-9]) (?:\+[0-9]{1,3}[ .-]?)? (?: \([0-9]{3}\)[ ]? | [0-9]{3}[ .-] ) [0-9]{3} [ .-] [0-9]{4} (?![0-9])
+             | (?<![A-Za-z0-9]) \+[1-9] (?: [ .-]?\(?[0-9]\)? ){6,14} (?![0-9]) )
   | (?P<ssn>   (?<![0-9-]) [0-9]{3}-[0-9]{2}-[0-9]{4} (?![0-9]|-[0-9]) )
   | (?P<card>  (?<![0-9]) (?: [0-9]{13,19} | [0-9]{4}(?:[ -][0-9]{4}){3} | [0-9]{4}[ -][0-9]{6}[ -][0-9]{5} ) (?![0-9]) )
     """,
@@ -35,6 +36,10 @@ PATTERN = re.compile(
 )
 
 
+# Country codes of one and two digits; all others have three.
+CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
+
+
 def permuted(value: int, size: int, key: bytes, kind: str) -> int:
     """A keyed permutation of 0 .. size - 1: a Feistel network over the next even number of bits, repeated until inside."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
@@ -97,13 +102,15 @@ def _card(text: str, key: bytes) -> str | None:
 
 
 def _phone(text: str, key: bytes) -> str:
-    """The last ten digits are permuted, the country code and the layout stay."""
-    at = len(text)
-    for _ in range(10):
-        at = max(i for i in range(at) if text[i].isdigit())
-    digits = _characters("".join(c for c in text[at:] if c.isdigit()), key, "phone")
-    fresh = iter(digits)
-    return text[:at] + "".join(next(fresh) if c.isdigit() else c for c in text[at:])
+    """The digits after the country code are permuted, the code and the layout stay."""
+    digits = "".join(c for c in text if c.isdigit())
+    code = 0
+    if text[0] == "+":
+        apart = re.match(r"[+]([0-9]{1,3})[ .(-]", text)
+        known = CODES.match(digits)
+        code = len(apart[1]) if apart else known.end() if known else 3
+    fresh = iter(digits[:code] + _characters(digits[code:], key, "phone"))
+    return "".join(next(fresh) if c.isdigit() else c for c in text)
 
 
 def _ip(text: str, key: bytes) -> str | None:

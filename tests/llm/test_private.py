@@ -56,6 +56,29 @@ def test_validity_is_kept_and_values_stay_linked():
     assert all(int(o) < 256 for i in range(200) for o in one(f"10.200.{i}.7").split("."))
 
 
+@pytest.mark.parametrize("before", ["", "line\n", "Tel:", "Tel: ", "(", "x,"])
+@pytest.mark.parametrize(
+    "number", ["555-123-4567", "555.123.4567", "(555) 123-4567", "+1 555 123 4567", "+15551234567", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+442079460958", "+49 30 123456", "+372 512 3456"]
+)
+def test_phone_numbers_are_found_wherever_they_stand(before, number):
+    new = one(f"{before}{number})\nend")
+    assert new.startswith(before) and new.endswith(")\nend")
+    new = new[len(before) : -5]
+    code = re.match(r"([+](1|44|49|372))?", number)[0]
+    assert new != number and new.startswith(code) and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", number)
+
+
+def test_a_phone_number_has_one_pseudonym_in_all_its_forms():
+    forms = ["555-123-4567", "+1 (555) 123-4567", "+1.555.123.4567", "+15551234567"]
+    assert len({re.sub("[^0-9]", "", one(f))[-10:] for f in forms}) == 1
+    assert one("+44 20 7946 0958").replace(" ", "") == one("+442079460958")
+
+
+@pytest.mark.parametrize("text", ["1555-123-4567", "555-123-45678", "+123456", "a+15551234567", "+1234567890123456", "2+5551234567"])
+def test_what_is_no_phone_number_stays(text):
+    assert one(text) == text
+
+
 def test_tables(spark):
     rows = cases.odd_rows() + [(900, "mail und.34@mail7.example.com and 97.51.17.173", "en", "s0", 1)] * 2
     docs = cases.table(spark, rows)
