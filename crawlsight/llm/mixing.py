@@ -1,15 +1,19 @@
-"""Mixing sources to target weights by Pfair scheduling.
-
-A source is a queue of blocks of equal size. In a period of ``period`` slots a source of weight
-k / period has k blocks. Its block i (from 0) may start at slot floor(i * period / k) and must have
-ended by slot ceil((i + 1) * period / k); earliest deadline first fills one slot after the other.
-At every slot each source is less than one block away from its share. The pattern of one period
-repeats, so every block's slot is known from its number alone, and no task ever walks the queues.
+"""Mixing sources to target weights by fair scheduling.
+
+A source is a queue of blocks of equal size, and every slot holds one block. A Huffman tree over the
+weights deals out the slots: of the first n slots of a node, its left child gets n * weight / (weight of
+the node), rounded to the nearest whole number, and the right child gets the others. So a queue's blocks
+before any slot, and the slot of any block, are known from numbers alone, and no task ever walks the
+queues. A node's error reaches a queue below in proportion to their weights. Weights in a Huffman tree
+grow like the Fibonacci numbers towards the root, so that a queue is off its share by less than half
+the sum of their inverses: 1.68 blocks, at every slot and for any weights.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,9 +25,59 @@ OTHERS = "\x00others"
 SLICE = 4096
 
 
+# Weights are whole numbers of this unit, so that products of two stay within 64 bits.
+UNIT = 1 << 30
+SCHEDULE = "queue string, share long, whole long, steps array<struct<own: long, whole: long, left: boolean>>"
+
+
+def schedule(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
+    """SCHEDULE: each queue's share of ``whole`` and its way to the root of the tree; a row per queue.
+
+    ``weights`` are in any proportion. The least share is one of UNIT; a queue of weight 0 has it.
+    """
+    total = sum(weights.values()) or 1.0
+    shares = {queue: max(1, round(weight / total * UNIT)) for queue, weight in sorted(weights.items())}
+    steps: dict[str, list[tuple[int, int, bool]]] = {queue: [] for queue in shares}
+    nodes = [(share, i, [queue]) for i, (queue, share) in enumerate(shares.items())]
+    heapq.heapify(nodes)
+    for i in range(len(nodes), 2 * len(nodes) - 1):
+        (a, _, left), (b, _, right) = heapq.heappop(nodes), heapq.heappop(nodes)
+        for own, queues in ((a, left), (b, right)):
+            for queue in queues:
+                steps[queue].append((own, a + b, queues is left))
+        heapq.heappush(nodes, (a + b, i, left + right))
+    whole = sum(shares.values())
+    return spark.createDataFrame([(queue, share, whole, steps[queue]) for queue, share in shares.items()], SCHEDULE)
+
+
+def _scaled(x: Column, times: Column, by: Column) -> tuple[Column, Column]:
+    """Floor and remainder of x * times / by, for large x."""
+    div = lambda a, b: F.call_function("div", a, b)
+    rest = (x % by) * times
+    return div(x, by) * times + div(rest, by), rest % by
+
+
+def slot_of(block: Column) -> Column:
+    """The slot of a block of the queue whose SCHEDULE is in the row."""
+
+    def up(place: Column, step: Column) -> Column:
+        low, rest = _scaled(place * 2 + 1, step["whole"], step["own"] * 2)
+        return low - F.when(step["left"] & (rest == 0), 1).otherwise(0).cast("long")
+
+    return F.aggregate("steps", block.cast("long"), up)
+
+
+def window_of(block: Column) -> tuple[Column, Column]:
+    """The first slot that a block may have and the first that it may not: 7/4 blocks around its queue's share."""
+    low, _ = _scaled(block * 4 - 3, F.col("whole"), F.col("share") * 4)
+    high, rest = _scaled(block * 4 + 7, F.col("whole"), F.col("share") * 4)
+    return F.greatest(F.lit(0).cast("long"), low), high + F.when(rest > 0, 1).otherwise(0)
+
+
 def slots_per_period(queues: DataFrame, weight: Column, period: int) -> DataFrame:
     """queue and k: how many of ``period`` slots each queue gets, one at least, all slots together.
 
+    For a pattern that is repeated, see ``pattern``; ``mix`` does without, as rounded shares drift off their targets.
     Shares are rounded by largest remainder. The table has a row per queue, far fewer than slots.
     """
     everything = Window.partitionBy(F.lit(1))
@@ -97,23 +151,23 @@ def mix(
     A queue's documents stand in random order (by hash of id and ``seed``); ``start`` is the number of
     characters before a document, ``block`` the block it starts in (``block`` characters each).
     Reading all documents by (slot, start) gives the mixture. ``weights`` names the target shares of
-    sources (one that is not named gets the least share); without it a source weighs its characters
+    sources (one that is not named has the least share, one of UNIT); without it a source weighs its characters
     to the power ``exponent``, which lifts small sources. The targets hold until the first queue has
-    ended; its later slots are skipped, and the others go on in proportion.
+    ended; its later slots are skipped, and the others go on in proportion. Before every slot, a queue
+    is off its target by less than 7/4 blocks: slot lies from ``release`` to before ``deadline``, by the
+    targets as given. ``period`` has no effect, as nothing is repeated.
 
     Every document is kept. The ``most_queues`` largest sources have a queue each, all others share
     one, so that the schedule is small whatever the number of sources. NULL sources are one source,
     NULL texts are empty, NULL ids are put in by the hash of NULL. Repeated rows stay and follow
     each other. An empty table gives no rows. Other columns do not matter unless ``keep`` names them.
     """
-    timed = _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_id, text, source)
+    timed = _timed(docs, keep, weights, exponent, block, most_queues, seed, doc_id, text, source)
     return timed.select("row.*", "queue", "start", "block", "slot", "release", "deadline")
 
 
-def _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_id, text, source) -> DataFrame:
+def _timed(docs, keep, weights, exponent, block, most_queues, seed, doc_id, text, source) -> DataFrame:
     """As ``mix``, with the kept columns in one column ``row``."""
-    if period < 2 * (most_queues + 1):
-        raise ValueError("a period needs two slots for each queue")
     rows = docs.select(
         F.struct(*keep).alias("row"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
@@ -133,8 +187,9 @@ def _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_
         weight = lifted(F.col("total"), exponent)
     else:
         named = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map()
-        weight = F.coalesce(named[F.col("queue")].cast("double"), F.lit(0.0)) + 1e-12
-    schedule = pattern(slots_per_period(queues, weight, period), period)
+        weight = F.coalesce(named[F.col("queue")].cast("double"), F.lit(0.0))
+    # A row per queue, at most ``most_queues`` and one.
+    told = {r.queue: r.weight for r in queues.select("queue", weight.alias("weight")).collect()}
 
     slices = queues.select("queue", F.greatest(F.lit(1), F.ceil(F.col("rows") / SLICE)).cast("long").alias("slices"))
     # As many rows as there are queues.
@@ -149,20 +204,10 @@ def _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_
         .withColumn("start", F.col("before") + F.col("within"))
         .withColumn("block", F.expr(f"start div {block}"))
     )
-    # ``period`` rows. A block's turn in its period is its number modulo the queue's slots per period.
-    sizes = schedule.select("queue", "k").distinct()
-    turned = placed.join(F.broadcast(sizes), "queue").withColumn("turn", (F.col("block") % F.col("k")).cast("int"))
-    timed = turned.join(
-        F.broadcast(schedule.select("queue", "turn", F.col("slot").alias("within_period"))), ["queue", "turn"]
-    )
+    timed = placed.join(F.broadcast(schedule(docs.sparkSession, told)), "queue")
+    release, deadline = window_of(F.col("block"))
     return timed.select(
-        "row",
-        "queue",
-        "start",
-        "block",
-        (F.expr("block div k") * period + F.col("within_period")).alias("slot"),
-        F.floor(F.col("block") * period / F.col("k")).alias("release"),
-        F.ceil((F.col("block") + 1) * period / F.col("k")).alias("deadline"),
+        "row", "queue", "start", "block", slot_of(F.col("block")).alias("slot"), release.alias("release"), deadline.alias("deadline")
     )
 
 
@@ -179,7 +224,7 @@ def mixed_order(
     source: str = "source",
 ) -> DataFrame:
     """``docs`` in the order of the mixture (see ``mix``), across and within partitions; columns as they were."""
-    timed = _timed(docs, ("*",), weights, exponent, block, period, most_queues, seed, doc_id, text, source)
+    timed = _timed(docs, ("*",), weights, exponent, block, most_queues, seed, doc_id, text, source)
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = timed.repartitionByRange(count, "slot", "start").sortWithinPartitions("slot", "start")
     return ordered.select("row.*")

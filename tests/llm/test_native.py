@@ -159,6 +159,36 @@ def test_pattern_stays_within_one_block(spark, weights):
         assert all(abs(n - (slot + 1) * k[q] / 60) < 1 for q, n in served.items())
 
 
+MANY = [0.9] + [0.1 / 256] * 256
+
+
+@pytest.mark.parametrize("weights", [MANY, [1, 1, 1], [5, 3, 1], [90, 1, 9, 30], [2**-i for i in range(20)], [i**-1.1 for i in range(1, 200)], [1]])
+def test_slots_keep_to_the_weights_given(spark, weights):
+    slots, whole = 5000, sum(weights)
+    share = {f"q{i}": w / whole for i, w in enumerate(weights)}
+    blocks = spark.createDataFrame([(q, i) for q, w in share.items() for i in range(int(w * slots) + 3)], "queue string, block long")
+    release, deadline = mixing.window_of(F.col("block"))
+    found = blocks.join(mixing.schedule(spark, {f"q{i}": float(w) for i, w in enumerate(weights)}), "queue")
+    found = found.select("queue", "block", mixing.slot_of(F.col("block")), release, deadline).collect()
+    assert all(low <= slot < high for _, _, slot, low, high in found)
+    taken = sorted((slot, queue, block) for queue, block, slot, _, _ in found if slot < slots)
+    assert [slot for slot, *_ in taken] == list(range(slots))
+    served = dict.fromkeys(share, 0)
+    for slot, queue, block in taken:
+        assert block == served[queue]
+        served[queue] += 1
+        if slot % 7 == 0 or slot > slots - 10:
+            assert all(abs(n - (slot + 1) * share[q]) < 1.75 for q, n in served.items())
+
+
+def test_a_named_source_gets_the_share_it_was_given(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("x" * 100).alias("text"), F.when(F.col("id") % 2 == 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 200)).alias("source"))
+    weights = {"big": 0.9} | {f"s{i}": 0.001 for i in range(1, 200, 2)}
+    found = mixing.mix(docs, weights=weights, block=100).where("slot < 2000").groupBy("queue").count().collect()
+    found = {r.queue: r["count"] for r in found}
+    assert abs(found.pop("big") - 1800) < 2 and len(found) == 100 and all(abs(n - 2) < 2 for n in found.values())
+
+
 @pytest.mark.parametrize("how", [{}, {"weights": {"s0": 0.7, "s1": 0.3}}, {"most_queues": 1}])
 def test_mixing_keeps_all_rows_in_their_windows(spark, how):
     rows = cases.odd_rows()
