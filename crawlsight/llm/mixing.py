@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
 
-# The queue of all sources beyond the ``most_queues`` largest; no source has a name like it.
+# The queue of all sources beyond the ``most_queues`` of most weight; no source has a name like it.
 OTHERS = "\x00others"
 # Documents in one slice of a queue, about: the unit that is sorted in one task.
 SLICE = 4096
@@ -157,8 +157,9 @@ def mix(
     is off its target by less than 7/4 blocks: slot lies from ``release`` to before ``deadline``, by the
     targets as given. ``period`` has no effect, as nothing is repeated.
 
-    Every document is kept. The ``most_queues`` largest sources have a queue each, all others share
-    one, so that the schedule is small whatever the number of sources. NULL sources are one source,
+    Every document is kept. The ``most_queues`` sources of most weight have a queue each. All others share
+    one, which weighs what they weigh together, so that the schedule is small whatever the number of
+    sources; within it they stand in random order, by their sizes and not by their weights. NULL sources are one source,
     NULL texts are empty, NULL ids are put in by the hash of NULL. Repeated rows stay and follow
     each other. An empty table gives no rows. Other columns do not matter unless ``keep`` names them.
     """
@@ -177,19 +178,22 @@ def _timed(docs, keep, weights, exponent, block, most_queues, seed, doc_id, text
     # One row per source, counted once for all that follows.
     ensure_checkpoint_dir(docs.sparkSession)
     sources = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("total")).checkpoint()
-    own = sources.orderBy(F.desc("total"), "source").limit(most_queues).select("source", F.col("source").alias("queue"))
+    if weights is None:
+        weight = lifted(F.col("total"), exponent)
+    else:
+        given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map()
+        weight = F.coalesce(given[F.col("source")].cast("double"), F.lit(0.0))
+    # Weighed by source, before some of them share a queue.
+    sources = sources.withColumn("weight", weight)
+    own = sources.orderBy(F.desc("weight"), F.desc("total"), "source").limit(most_queues)
+    own = own.select("source", F.col("source").alias("queue"))
     # At most ``most_queues`` rows, by the limit above.
     named = lambda table: table.join(F.broadcast(own), "source", "left").withColumn("queue", F.coalesce("queue", F.lit(OTHERS)))
     rows = named(rows)
 
-    queues = named(sources).groupBy("queue").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
-    if weights is None:
-        weight = lifted(F.col("total"), exponent)
-    else:
-        named = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map()
-        weight = F.coalesce(named[F.col("queue")].cast("double"), F.lit(0.0))
+    queues = named(sources).groupBy("queue").agg(*[F.sum(x).alias(x) for x in ("rows", "total", "weight")])
     # A row per queue, at most ``most_queues`` and one.
-    told = {r.queue: r.weight for r in queues.select("queue", weight.alias("weight")).collect()}
+    told = {r.queue: r.weight for r in queues.select("queue", "weight").collect()}
 
     slices = queues.select("queue", F.greatest(F.lit(1), F.ceil(F.col("rows") / SLICE)).cast("long").alias("slices"))
     # As many rows as there are queues.

@@ -334,7 +334,8 @@ def pack(
     tokens but the last few, which have powers of two.
 
     NULL and empty texts have the end id alone. NULL sources are one source. The ``most_queues``
-    sources with most tokens have a queue each, all others share one. Repeated rows are packed one by one,
+    sources of most weight have a queue each; all others share one, which weighs what they weigh together and
+    takes them one after the other. Repeated rows are packed one by one,
     a NULL id stays NULL, an empty table gives no rows, other columns do not matter.
     """
     spark = docs.sparkSession
@@ -346,19 +347,21 @@ def pack(
     )
     tokens = rows.mapInArrow(_tokens(tokenizer, end), TOKENS).checkpoint()
     parts = tokens.groupBy("source", "part").agg(F.sum("doc_tokens").alias("total")).checkpoint()
-    # At most ``most_queues`` rows, by the limit; so are the totals below, plus one.
-    own = parts.groupBy("source").agg(F.sum("total").alias("total")).orderBy(F.desc("total"), "source").limit(most_queues)
-    parts = parts.join(F.broadcast(own.select("source", F.col("source").alias("queue"))), "source", "left")
-    parts = parts.withColumn("queue", F.coalesce("queue", F.lit(OTHERS)))
-    by_source = parts.groupBy("queue", "source").agg(F.sum("total").alias("total"))
+    by_source = parts.groupBy("source").agg(F.sum("total").alias("total"))
     if weights is None:
         by_source = by_source.withColumn("weight", F.col("total"))
     else:
         if isinstance(weights, dict):
             weights = spark.createDataFrame(list(weights.items()), "source string, weight double")
-        # Looked up by source, so that the shared queue weighs what its sources weigh together.
+        # Weighed by source, before some of them share a queue.
         by_source = by_source.join(weights.select("source", "weight"), "source", "left").fillna(0.0, "weight")
-    found = by_source.groupBy("queue").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight")).orderBy("queue").collect()
+    # At most ``most_queues`` rows, by the limit; so are the totals below, plus one.
+    own = by_source.orderBy(F.desc("weight"), F.desc("total"), "source").limit(most_queues)
+    own = own.select("source", F.col("source").alias("queue"))
+    named = lambda table: table.join(F.broadcast(own), "source", "left").withColumn("queue", F.coalesce("queue", F.lit(OTHERS)))
+    parts = named(parts)
+    found = named(by_source).groupBy("queue").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight"))
+    found = found.orderBy("queue").collect()
     totals = {r.queue: r.total for r in found}
 
     if weights is None:

@@ -189,6 +189,18 @@ def test_a_named_source_gets_the_share_it_was_given(spark):
     assert abs(found.pop("big") - 1800) < 2 and len(found) == 100 and all(abs(n - 2) < 2 for n in found.values())
 
 
+def test_a_small_source_that_is_named_has_its_weight(spark):
+    # The largest sources are not named; the lifted one is the smallest, and two that share a queue weigh as two.
+    rows = [(i, "x" * 100, "en", s, 0) for i, s in enumerate(s for s, n in {"a": 900, "b": 800, "c": 400, "d": 400, "z": 300}.items() for _ in range(n))]
+    docs = cases.table(spark, rows)
+    weights = {"z": 0.5, "c": 0.25, "d": 0.25}
+    found = mixing.mix(docs, weights=weights, block=100, most_queues=2).where("slot < 400").groupBy("queue").count().collect()
+    found = {r.queue: r["count"] for r in found}
+    assert abs(found["z"] - 200) < 2 and abs(found["c"] - 100) < 2 and abs(found[mixing.OTHERS] - 100) < 2
+    told = mixing.mix(docs, exponent=0.0, block=100, most_queues=2).where("slot < 1000").groupBy("queue").count().collect()
+    assert abs({r.queue: r["count"] for r in told}[mixing.OTHERS] - 600) < 2
+
+
 @pytest.mark.parametrize("how", [{}, {"weights": {"s0": 0.7, "s1": 0.3}}, {"most_queues": 1}])
 def test_mixing_keeps_all_rows_in_their_windows(spark, how):
     rows = cases.odd_rows()

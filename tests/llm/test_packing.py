@@ -55,6 +55,16 @@ def test_odd_tables(spark, weights, most_queues):
     check_pieces(found, rows, 64)
 
 
+def test_a_small_source_that_is_named_has_its_weight(spark):
+    rows = [(i, "word " * 50, "en", s, 0) for i, s in enumerate(s for s, n in {"a": 90, "b": 80, "c": 40, "z": 30}.items() for _ in range(n))]
+    found = packing.pack(cases.table(spark, rows), PATH, window=64, weights={"z": 0.5, "c": 0.25, "a": 0.25}, most_queues=2)
+    got = Counter()
+    for x in found.where("sequence_id < 20").collect():
+        got[x.queue] += x.length
+    assert abs(got["z"] - 640) < 64 and sum(got.values()) == 20 * 64
+    assert abs(got["a"] - 320) < 64 and abs(got[packing.OTHERS] - 320) < 64
+
+
 def test_empty_table(spark):
     assert packing.pack(cases.empty(spark), PATH).collect() == []
 
