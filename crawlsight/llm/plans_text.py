@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, neighbours, packing, private, quality, substrings
+from . import alignment, dedup, neighbours, packing, private, quality, substrings
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,5 +43,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_neighbours": op2_neighbours, "op3_substrings": op3_substrings, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing}
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    byte_level, pieces = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(documents(spark, folder), byte_level, pieces)
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_neighbours": op2_neighbours, "op3_substrings": op3_substrings, "op4_near_copies": op4_near_copies, "op5_pseudonyms": op5_pseudonyms, "op6_packing": op6_packing, "op13_alignment": op13_alignment}
 ORACLES: dict[str, str] = {}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark import cloudpickle
 
-from . import dedup, neighbours, packing, plans_native, plans_text, private, quality, substrings, words
+from . import alignment, dedup, neighbours, packing, plans_native, plans_text, private, quality, substrings, words
 
 # Functions that run in tasks travel with the plan, so executors need not have this package installed.
-for module in (words, dedup, neighbours, packing, private, quality, substrings):
+for module in (words, alignment, dedup, neighbours, packing, private, quality, substrings):
     cloudpickle.register_pickle_by_value(module)
 
 QUERIES = plans_native.QUERIES | plans_text.QUERIES
