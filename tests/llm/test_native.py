@@ -17,7 +17,7 @@ def test_sql_checks(spark, small, name):
     assert differences(queries.QUERIES[name](spark, small), connect(small), queries.ORACLES[name]) == []
 
 
-NATIVE = ["op7_source_mix", "op8_fingerprints", "op9_host_reputation", "op10_license_rules"]
+NATIVE = ["op7_source_mix", "op8_fingerprints", "op9_host_reputation", "op10_license_rules", "op11_weak_rules"]
 
 
 @pytest.mark.parametrize("name", NATIVE)
