@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.schemas import REQUEST_STATUSES
 
 SNAPSHOT_SECONDS = 300  # Fixed value: time between two snapshots.
+COUNTS = ("total", *REQUEST_STATUSES, "results", "valid", "invalid", "errors")
+GAP = 1024  # Quiet intervals that are made at once.
+
+
+def run_status() -> Column:
+    """Where a run stands, by its counts: the origin asks the running process. The rule is ours.
+
+    ``waiting``: no request has been taken up; ``running``: some are open; ``settled``: none is.
+    """
+    opened = F.col("pending") + F.col("in_progress") > 0
+    return F.when(F.col("total") == F.col("pending"), "waiting").when(opened, "running").otherwise("settled")
 
 
 def status_counts() -> list:
@@ -34,7 +45,7 @@ def throughput_per_minute(requests: DataFrame) -> DataFrame:
 def progress_snapshot(
     runs: DataFrame, requests: DataFrame, results: DataFrame, errors: DataFrame
 ) -> DataFrame:
-    """Queue, result and error counts and the throughput of every run."""
+    """Status, queue, result and error counts and the throughput of every run."""
     done = F.col("status") == "completed"
     first = F.min(F.when(done, F.unix_micros("ts")))
     last = F.max(F.when(done, F.unix_micros("ts")))
@@ -49,7 +60,6 @@ def progress_snapshot(
         F.count_if(~valid).alias("invalid"),
     )
     failed = errors.groupBy("run_id").agg(F.count("*").alias("errors"))
-    counts = ["total", *REQUEST_STATUSES, "results", "valid", "invalid", "errors"]
     return (
         runs.select("run_id")
         .join(queue, "run_id", "left")
@@ -57,53 +67,92 @@ def progress_snapshot(
         .join(failed, "run_id", "left")
         .select(
             "run_id",
-            *[F.coalesce(name, F.lit(0)).alias(name) for name in counts],
+            *[F.coalesce(name, F.lit(0)).alias(name) for name in COUNTS],
             "requests_per_minute",
         )
+        .withColumn("status", run_status())
     )
 
 
-def interval_counts(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
-    """Requests per run, interval and state; works on batches and on streams."""
+def activity(requests: DataFrame, results: DataFrame | None = None, errors: DataFrame | None = None) -> DataFrame:
+    """What happened when, as one table or one stream: run_id, ts, kind, state.
+
+    One union means one watermark: a stream's interval is closed when all three sources have passed it.
+    """
+    rows = requests.select("run_id", "ts", F.lit("request").alias("kind"), F.col("status").alias("state"))
+    if results is not None:
+        state = F.when(F.coalesce(F.col("is_valid") != 0, F.lit(False)), "valid").otherwise("invalid")
+        rows = rows.unionByName(results.select("run_id", "ts", F.lit("result").alias("kind"), state.alias("state")))
+    if errors is not None:
+        nothing = F.lit(None).cast("string").alias("state")
+        rows = rows.unionByName(errors.select("run_id", "ts", F.lit("error").alias("kind"), nothing))
+    return rows
+
+
+def interval_counts(happened: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
+    """Counts per run and interval of :func:`activity`, and its first and last completed request; of batches and of streams."""
+
+    def of(kind: str, state: str | None = None):
+        test = F.col("kind") == kind
+        return F.count_if(F.coalesce(test if state is None else test & (F.col("state") == state), F.lit(False)))
+
+    completed = F.when((F.col("kind") == "request") & (F.col("state") == "completed"), F.col("ts"))
     return (
-        requests.groupBy("run_id", F.window("ts", f"{seconds} seconds").alias("w"))
-        .agg(*status_counts())
-        .select("run_id", F.col("w.end").alias("snapshot_at"), "total", *REQUEST_STATUSES)
+        happened.groupBy("run_id", F.window("ts", f"{seconds} seconds").alias("w"))
+        .agg(
+            of("request").alias("total"),
+            *[of("request", name).alias(name) for name in REQUEST_STATUSES],
+            of("result").alias("results"),
+            of("result", "valid").alias("valid"),
+            of("result", "invalid").alias("invalid"),
+            of("error").alias("errors"),
+            F.min(completed).alias("first_done"),
+            F.max(completed).alias("last_done"),
+        )
+        .select("run_id", F.col("w.end").alias("snapshot_at"), *COUNTS, "first_done", "last_done")
     )
 
 
 def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
     """State of each run at the end of every interval from its first to its last activity, quiet ones included.
 
-    The window holds one row per interval of a run, however many requests it has.
+    The window holds one row per interval of a run in which something happened, however much. A quiet interval
+    repeats the snapshot before it: those rows are made after the sums, and never shuffled.
     """
-    counts = ("total", *REQUEST_STATUSES)
-    every = F.sequence("first", "last", F.expr(f"INTERVAL {seconds} SECONDS"))
-    grid = (
-        intervals.groupBy("run_id")
-        .agg(F.min("snapshot_at").alias("first"), F.max("snapshot_at").alias("last"))
-        .select("run_id", F.explode(every).alias("snapshot_at"))
-        .withColumns({name: F.lit(0).cast("long") for name in counts})
-    )
-    # A zero for each interval of the grid, instead of a join with it.
-    intervals = (
-        intervals.select("run_id", "snapshot_at", *counts)
-        .unionByName(grid)
-        .groupBy("run_id", "snapshot_at")
-        .agg(*[F.sum(name).alias(name) for name in counts])
+    along = Window.partitionBy("run_id").orderBy("snapshot_at")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.lit(seconds * 1_000_000)
+    until_next = (F.unix_micros(F.lead("snapshot_at").over(along)) - F.unix_micros("snapshot_at")) / step
+    minutes = (F.unix_micros(F.max("last_done").over(so_far)) - F.unix_micros(F.min("first_done").over(so_far))) / 60_000_000
+    summed = intervals.select(
+        "run_id",
+        "snapshot_at",
+        F.col("completed").alias("done_here"),
+        *[F.sum(name).over(so_far).alias(name) for name in COUNTS],
+        minutes.alias("minutes"),
+        F.coalesce(until_next.cast("long"), F.lit(1)).alias("until_next"),
     )
-    so_far = (
-        Window.partitionBy("run_id")
-        .orderBy("snapshot_at")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = summed.withColumns(
+        {"requests_per_minute": F.try_divide(F.col("completed"), F.col("minutes")), "status": run_status(), "at": F.unix_micros("snapshot_at")}
     )
-    return intervals.select(
+    # The rows are few here and many below: a run with long gaps is dealt out to all tasks first.
+    told = told.repartition(int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id", "at")
+    # In two steps, so that a gap of years is no array of all its intervals.
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("until_next") - 1) / GAP))
+    inside = F.sequence(F.col("block") * GAP, F.least((F.col("block") + 1) * GAP, F.col("until_next")) - 1)
+    every = told.withColumn("block", F.explode(blocks)).withColumn("quiet", F.explode(inside))
+    return every.select(
         "run_id",
-        "snapshot_at",
-        F.col("completed").alias("completed_in_interval"),
-        *[F.sum(name).over(so_far).alias(name) for name in ("total", *REQUEST_STATUSES)],
+        F.timestamp_micros(F.col("at") + F.col("quiet") * step).alias("snapshot_at"),
+        F.when(F.col("quiet") == 0, F.col("done_here")).otherwise(0).alias("completed_in_interval"),
+        *COUNTS,
+        "requests_per_minute",
+        "status",
     )
 
 
-def progress_windows(requests: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
-    return running_totals(interval_counts(requests, seconds), seconds)
+def progress_windows(
+    requests: DataFrame, results: DataFrame | None = None, errors: DataFrame | None = None, seconds: int = SNAPSHOT_SECONDS
+) -> DataFrame:
+    """Whole snapshots at the end of every interval: status, counts of requests, results and errors, rate so far."""
+    return running_totals(interval_counts(activity(requests, results, errors), seconds), seconds)

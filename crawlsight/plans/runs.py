@@ -369,6 +369,13 @@ PROGRESS_COUNTS = """count(*) AS total, count(*) FILTER (status = 'completed') A
   count(*) FILTER (status = 'failed') AS failed"""
 
 
+STATUS_OF = """CASE WHEN {total} = {pending} THEN 'waiting' WHEN {pending} + {in_progress} > 0 THEN 'running' ELSE 'settled' END"""
+
+
+def rounded_rate(snapshots):
+    return snapshots.withColumn("requests_per_minute", F.round("requests_per_minute", 9))
+
+
 @query(
     "progress_snapshot",
     ("runs", "requests", "results", "errors"),
@@ -381,13 +388,14 @@ SELECT r.run_id, coalesce(total, 0) AS total, coalesce(completed, 0) AS complete
   coalesce(pending, 0) AS pending, coalesce(in_progress, 0) AS in_progress, coalesce(failed, 0) AS failed,
   coalesce(results, 0) AS results, coalesce(valid, 0) AS valid,
   coalesce(results, 0) - coalesce(valid, 0) AS invalid, coalesce(errors, 0) AS errors,
+  {STATUS_OF.format(total="coalesce(total, 0)", pending="coalesce(pending, 0)", in_progress="coalesce(in_progress, 0)")} AS status,
   round(completed / nullif((epoch_us(last_ts) - epoch_us(first_ts)) / 60000000.0, 0), 9) AS requests_per_minute
 FROM runs r LEFT JOIN q ON q.run_id = r.run_id LEFT JOIN v ON v.run_id = r.run_id
 LEFT JOIN e ON e.run_id = r.run_id""",
 )
 def _(t):
     snapshot = progress.progress_snapshot(t("runs"), t("requests"), t("results"), t("errors"))
-    return snapshot.withColumn("requests_per_minute", F.round("requests_per_minute", 9))
+    return rounded_rate(snapshot)
 
 
 @query(
@@ -402,20 +410,31 @@ def _(t):
     return rate.withColumn("requests_per_minute", F.round("requests_per_minute", 9))
 
 
-PROGRESS_WINDOWS = f"""WITH w AS (
+PROGRESS_TABLES = ("requests", "timed_results", "timed_errors")
+PROGRESS_WINDOWS = f"""WITH a AS (
+  SELECT run_id, ts, 'request' AS kind, status FROM requests
+  UNION ALL SELECT run_id, ts, CASE WHEN is_valid <> 0 THEN 'valid' ELSE 'invalid' END, NULL FROM timed_results
+  UNION ALL SELECT run_id, ts, 'error', NULL FROM timed_errors),
+w AS (
   SELECT run_id, time_bucket(INTERVAL '300 seconds', ts) + INTERVAL '300 seconds' AS snapshot_at,
-    {PROGRESS_COUNTS} FROM requests GROUP BY 1, 2),
+    {PROGRESS_COUNTS.replace("count(*) AS total", "count(*) FILTER (kind = 'request') AS total")},
+    count(*) FILTER (kind IN ('valid', 'invalid')) AS results, count(*) FILTER (kind = 'valid') AS valid,
+    count(*) FILTER (kind = 'invalid') AS invalid, count(*) FILTER (kind = 'error') AS errors,
+    min(epoch_us(ts)) FILTER (status = 'completed') AS first_us, max(epoch_us(ts)) FILTER (status = 'completed') AS last_us
+  FROM a GROUP BY 1, 2),
 g AS (SELECT run_id, unnest(generate_series(min(snapshot_at), max(snapshot_at), INTERVAL 300 SECONDS)) AS snapshot_at
-  FROM w GROUP BY 1)
-SELECT g.run_id, g.snapshot_at, CAST(coalesce(completed, 0) AS BIGINT) AS completed_in_interval,
-  CAST(sum(coalesce(total, 0)) OVER s AS BIGINT) AS total, CAST(sum(coalesce(completed, 0)) OVER s AS BIGINT) AS completed,
-  CAST(sum(coalesce(pending, 0)) OVER s AS BIGINT) AS pending,
-  CAST(sum(coalesce(in_progress, 0)) OVER s AS BIGINT) AS in_progress,
-  CAST(sum(coalesce(failed, 0)) OVER s AS BIGINT) AS failed
-FROM g LEFT JOIN w ON w.run_id IS NOT DISTINCT FROM g.run_id AND w.snapshot_at = g.snapshot_at
-WINDOW s AS (PARTITION BY g.run_id ORDER BY g.snapshot_at)"""
-
-
-@query("progress_windows", ("requests",), PROGRESS_WINDOWS)
+  FROM w GROUP BY 1),
+f AS (SELECT g.run_id, g.snapshot_at, CAST(coalesce(completed, 0) AS BIGINT) AS completed_in_interval,
+    {", ".join(f"CAST(sum(coalesce({c}, 0)) OVER s AS BIGINT) AS {c}_" for c in progress.COUNTS)},
+    min(first_us) OVER s AS first_us, max(last_us) OVER s AS last_us
+  FROM g LEFT JOIN w ON w.run_id IS NOT DISTINCT FROM g.run_id AND w.snapshot_at = g.snapshot_at
+  WINDOW s AS (PARTITION BY g.run_id ORDER BY g.snapshot_at))
+SELECT run_id, snapshot_at, {STATUS_OF.format(total="total_", pending="pending_", in_progress="in_progress_")} AS status, completed_in_interval,
+  {", ".join(f"{c}_ AS {c}" for c in progress.COUNTS)},
+  round(completed_ / nullif((last_us - first_us) / 60000000.0, 0), 9) AS requests_per_minute
+FROM f"""
+
+
+@query("progress_windows", PROGRESS_TABLES, PROGRESS_WINDOWS)
 def _(t):
-    return progress.progress_windows(t("requests"))
+    return rounded_rate(progress.progress_windows(*t(*PROGRESS_TABLES)))

@@ -13,19 +13,19 @@ from ..streaming import windows
 from ..streaming.drain import drained_latest
 from .archive import KEYED, OBJECTS
 from .registry import ORACLES, query
-from .runs import PROGRESS_WINDOWS
+from .runs import PROGRESS_TABLES, PROGRESS_WINDOWS, rounded_rate
 from .triggers import HOUR
 
 def stream(t, name: str):
     return derive(t.spark, t.folder, name, read_stream)
 
 
-@query("progress_stream", ("requests",), PROGRESS_WINDOWS)
+@query("progress_stream", PROGRESS_TABLES, PROGRESS_WINDOWS)
 def _(t):
     intervals = drained_latest(
-        windows.progress_stream(stream(t, "requests")), "progress", ["run_id", "snapshot_at"]
+        windows.progress_stream(*(stream(t, name) for name in PROGRESS_TABLES)), "progress", ["run_id", "snapshot_at"]
     )
-    return progress.running_totals(intervals)
+    return rounded_rate(progress.running_totals(intervals))
 
 
 @query(

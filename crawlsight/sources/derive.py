@@ -46,6 +46,20 @@ SELECT 'run-' || CAST(CASE WHEN d.doc_id % 3 = 0 THEN 0
          ELSE CAST(floor(d.doc_id / 10) AS BIGINT) END AS STRING) AS run_id,
   d.doc_id AS id, d.source AS result_type, l.quality AS is_valid
 FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id""",
+    ),
+    # Results and errors with the time at which they came in, for snapshots along time.
+    "timed_results": (
+        ("events",),
+        f"""
+SELECT 'run-' || CAST({_HOT_USER} AS STRING) AS run_id, event_id AS id,
+  CASE WHEN event_id % 11 = 0 THEN NULL WHEN value > 20 THEN 1 ELSE 0 END AS is_valid, CAST(ts AS TIMESTAMP) AS ts
+FROM {{events}} WHERE event_id % 4 <> 0""",
+    ),
+    "timed_errors": (
+        ("events",),
+        f"""
+SELECT 'run-' || CAST({_HOT_USER} AS STRING) AS run_id, event_id AS id, CAST(ts AS TIMESTAMP) AS ts
+FROM {{events}} WHERE event_type = 'error' OR value > 150""",
     ),
     "runs": (
         ("events",),

@@ -24,10 +24,15 @@ SERIES = ("metric", "scraper", "run_id", "step", "phase", "kind")
 
 
 def progress_stream(
-    requests: DataFrame, lateness: str = LATENESS, seconds: int = progress.SNAPSHOT_SECONDS
+    requests: DataFrame,
+    results: DataFrame | None = None,
+    errors: DataFrame | None = None,
+    lateness: str = LATENESS,
+    seconds: int = progress.SNAPSHOT_SECONDS,
 ) -> DataFrame:
-    """Requests per run, interval and state. ``running_totals`` turns the sink into snapshots."""
-    return progress.interval_counts(requests.withWatermark("ts", lateness), seconds)
+    """Counts per run and interval of up to three streams under one watermark. ``running_totals`` turns the sink into snapshots."""
+    happened = progress.activity(requests, results, errors)
+    return progress.interval_counts(happened.withWatermark("ts", lateness), seconds)
 
 
 def telemetry_stream(metrics: DataFrame, lateness: str = LATENESS, window: str = "1 hour") -> DataFrame:

@@ -53,6 +53,32 @@ def test_progress_with_late_rows_equals_batch(spark, tmp_path):
     assert again.count() == found.count()
 
 
+def test_snapshots_of_three_streams_equal_batch(spark, tmp_path):
+    """Requests, results and errors under one watermark, with a gap of a month between them."""
+    batch, folder = requests(spark, tmp_path, 500)
+    late = START + dt.timedelta(days=30)
+    results = [(None if i % 9 == 0 else f"q{i % 2}", i % 3 if i % 5 else None, START + dt.timedelta(seconds=41 * i)) for i in range(150)]
+    errors = [("q1", START + dt.timedelta(seconds=77 * i)) for i in range(40)] + [("r", late), ("q0", late)]
+    kinds = {"results": (results, "run_id string, is_valid int, ts timestamp"), "errors": (errors, "run_id string, ts timestamp")}
+    batches, streams = [batch], [read(spark, folder, schemas.REQUESTS)]
+    for name, (rows, schema) in kinds.items():
+        write_batches(spark, str(tmp_path / name), [rows[:30], rows[30:]], schema)
+        batches.append(spark.createDataFrame(rows, schema))
+        streams.append(read(spark, str(tmp_path / name), schema))
+    # The errors a month later move the watermark past everything; the others keep the lateness of their own.
+    stream = windows.progress_stream(*streams, lateness="60 days")
+    found = progress.running_totals(drained_latest(stream, "progress", ["run_id", "snapshot_at"]))
+    expected = progress.progress_windows(*batches).collect()
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected))
+    last = max((r for r in expected if r.run_id == "r"), key=lambda r: r.snapshot_at)
+    assert last.errors == 1 and last.results == 0 and last.total == batch.count() and last.status == "settled"
+    assert sum(r.run_id == "r" for r in expected) > 30 * 288
+    plan = progress.progress_windows(*batches)._jdf.queryExecution().toString()
+    # Exchanges for the intervals, the window and the dealing out; none after the quiet intervals are made.
+    final = plan[plan.index("== Physical Plan ==") :]
+    assert final.count("Exchange") <= 3 and final.rindex("Generate") < final.index("Exchange")
+
+
 def test_archive_over_several_batches(spark, tmp_path):
     rows = [
         ("p/", f"http://h/{i}.pdf", f"k{i % 7}", None, f"text {i % 13}", i) for i in range(60)
