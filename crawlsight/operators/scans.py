@@ -6,8 +6,13 @@ carries each slice's outcome on to the slices after it. That second window sees
 one row per slice of a key, so its size follows the length of the history and
 not the number of rows.
 
-Input must hold at most one row per key, time and tie-breaking columns: add up
-equal ones first. That also bounds a slice by the clock's resolution.
+A slice in which very much happens is cut again where the data are. Sampled rows are its splitters: those
+whose hash says so, one in ``SLICE_ROWS``, but no more than the ``SPLITTERS`` of least hash. A row's part is the
+number of splitters up to it, which it finds by binary search. So every part has about ``SLICE_ROWS`` rows (or
+one in ``SPLITTERS`` of the table) even if all rows are of one key and one second, and splitters, the only
+thing that is broadcast, are bounded whatever the input.
+
+Input must hold at most one row per key, time and tie-breaking columns: add up equal ones first.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 300  # for dense event streams
+SLICE_ROWS = 50_000
+SPLITTERS = 65_536
 NO_TIME = -(2**62)
 HISTORY_SLICE = 86_400  # for run histories, which span years
 
@@ -39,6 +46,24 @@ def sliced(
     )
 
 
+def parted(rows: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """Sliced rows with ``_part``: which part of its slice a row lies in, in order of time and ``ties``.
+
+    Splitters follow from values alone, so a repeated task cuts as the first one did. Rows of one
+    moment are told apart by ``ties`` only; without any they share a part.
+    """
+    place = f"struct({', '.join(['_at', *ties])})"
+    drawn = rows.select("_key", "_slice", F.expr(place).alias("_place"), F.xxhash64("_key", F.expr(place)).alias("_drawn"))
+    drawn = drawn.where(F.pmod("_drawn", F.lit(SLICE_ROWS)) == 0).orderBy("_drawn").limit(SPLITTERS)
+    splitters = drawn.groupBy("_key", "_slice").agg(F.sort_array(F.collect_set("_place")).alias("_splitters"))
+    # A step of the search looks half as far as the one before; a slice has fewer than 2 ** 20 splitters.
+    steps = ", ".join(str(1 << i) for i in reversed(range(20)))
+    search = f"""aggregate(array({steps}), 0,
+        (found, hop) -> IF(found + hop <= size(_splitters) AND get(_splitters, found + hop - 1) <= {place}, found + hop, found))"""
+    found = rows.join(F.broadcast(splitters), ["_key", "_slice"], "left")
+    return found.withColumn("_part", F.expr(f"IF(_splitters IS NULL, 0, {search})")).select(*rows.columns, "_part")
+
+
 def running(
     rows: DataFrame,
     sums: Mapping[str, str] | None = None,
@@ -49,24 +74,27 @@ def running(
     """Add running columns to sliced rows, in order of time and ``ties``.
 
     ``sums`` run up to and including the row, ``maxes`` over the rows before it,
-    ``previous`` is the value on the row before it. All map new to old names.
+    ``previous`` is the value on the row before it. All map new to old names. The parts stay
+    with the rows, for further scans of them.
     """
     sums, maxes, previous = dict(sums or {}), dict(maxes or {}), dict(previous or {})
+    if "_part" not in rows.columns:
+        rows = parted(rows, ties)
     order = ", ".join(["_at", *ties])
     latest = f"struct({order})" if ties else "_at"
     outcome = [f"sum({old}) AS _t_{new}" for new, old in sums.items()]
     outcome += [f"max({old}) AS _t_{new}" for new, old in maxes.items()]
     outcome += [f"max_by({old}, {latest}) AS _t_{new}" for new, old in previous.items()]
-    totals = rows.groupBy("_key", "_slice").agg(*map(F.expr, outcome))
+    totals = rows.groupBy("_key", "_slice", "_part").agg(*map(F.expr, outcome))
 
-    along = "OVER (PARTITION BY _key ORDER BY _slice{})"
+    along = "OVER (PARTITION BY _key ORDER BY _slice, _part{})"
     before = along.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     carried = [f"sum(_t_{new}) {before} AS _c_{new}" for new in sums]
     carried += [f"max(_t_{new}) {before} AS _c_{new}" for new in maxes]
     carried += [f"lag(_t_{new}) {along.format('')} AS _c_{new}" for new in previous]
-    joined = rows.join(totals.selectExpr("_key", "_slice", *carried), ["_key", "_slice"])
+    joined = rows.join(totals.selectExpr("_key", "_slice", "_part", *carried), ["_key", "_slice", "_part"])
 
-    inside = f"OVER (PARTITION BY _key, _slice ORDER BY {order}{{}})"
+    inside = f"OVER (PARTITION BY _key, _slice, _part ORDER BY {order}{{}})"
     up_to = inside.format(" ROWS UNBOUNDED PRECEDING")
     earlier = inside.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     here = inside.format("")
@@ -80,7 +108,7 @@ def running(
 
 
 def unsliced(rows: DataFrame) -> DataFrame:
-    return rows.drop("_key", "_at", "_slice")
+    return rows.drop("_key", "_at", "_slice", "_part")
 
 
 def frame_sums(

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlsight.operators import history, sla, telemetry, triggers
 from crawlsight.operators.quantiles import exact_quantiles
+from crawlsight.operators import scans
 from crawlsight.operators.scans import running, since, sliced, unsliced
 from crawlsight.sources import schemas
 
@@ -350,3 +352,34 @@ def test_diagnosis(spark, signals, label):
         schemas.SPANS,
     )
     assert telemetry.bottleneck_diagnosis(metrics, spans).first().diagnosis == label
+
+
+def test_a_million_moments_of_one_second_are_split(spark):
+    """One key, one second: many tasks' worth of parts, and the values of a plain window."""
+    rows = spark.range(1_000_000).selectExpr("'k' AS key", "timestamp_micros(1704067200000000 + (id * 7919) % 1000000) AS ts", "id % 10 AS v")
+    parts = scans.parted(scans.sliced(rows, ["key"])).groupBy("_slice", "_part").count().collect()
+    assert len({r._slice for r in parts}) == 1
+    assert len(parts) > 8 and max(r["count"] for r in parts) < 10 * scans.SLICE_ROWS
+    scanned = unsliced(running(sliced(rows, ["key"]), sums={"total": "v"}, maxes={"top": "v"}, previous={"last": "v"}))
+    plain = spark.sql(
+        """SELECT key, ts, v, sum(v) OVER (PARTITION BY key ORDER BY ts ROWS UNBOUNDED PRECEDING) AS total,
+           max(v) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top,
+           lag(v) OVER (PARTITION BY key ORDER BY ts) AS last FROM {rows}""", rows=rows)
+    digest = F.sum(F.xxhash64("key", "ts", "v", "total", "top", "last").cast("decimal(38,0)"))
+    assert scanned.select(plain.columns).agg(digest).first() == plain.agg(digest).first()
+    plan = scanned._jdf.queryExecution().toString()
+    final = plan[plan.index("== Physical Plan ==") :]
+    # No window over a whole key but the one over the totals of parts.
+    assert final.count("_slice#") and not re.search(r"Window \[[^]]*\], \[_key#\d+\], \[_at#", final)
+
+
+def test_ties_of_one_moment_are_split(spark, monkeypatch):
+    monkeypatch.setattr(scans, "SLICE_ROWS", 50)
+    rows = spark.range(2000).selectExpr("id % 3 AS key", "timestamp_seconds(id % 2) AS ts", "id AS run", "id % 7 AS v")
+    parted = scans.parted(scans.sliced(rows, ["key"]), ["run"])
+    assert max(r["count"] for r in parted.groupBy("_key", "_slice", "_part").count().collect()) < 500
+    found = unsliced(running(sliced(rows, ["key"]), sums={"total": "v"}, previous={"last": "v"}, ties=["run"]))
+    plain = spark.sql(
+        """SELECT key, ts, run, v, sum(v) OVER (PARTITION BY key ORDER BY ts, run ROWS UNBOUNDED PRECEDING) AS total,
+           lag(v) OVER (PARTITION BY key ORDER BY ts, run) AS last FROM {rows}""", rows=rows)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
