@@ -251,7 +251,9 @@ def trigger_metric(
     mean = F.col("s_since") / F.col("n_since")
     breach = ~F.isnan("mean") & COMPARE[compare](F.col("mean"), F.lit(float(threshold)))
     tested = framed.select(*keys, "ts", mean.alias("mean")).withColumn("breach", breach)
-    stepped = running(sliced(tested, keys), previous={"prev_breach": "breach", "prev_ts": "ts"})
+    stepped = running(
+        sliced(tested, keys), previous={"prev_breach": "breach", "prev_ts": "ts"}, places=sliced(points.select(*keys, "ts"), keys)
+    )
     began = F.col("breach") & ~F.coalesce("prev_breach", F.lit(False))
     islands = running(
         stepped.withColumn("own_start", F.when(began, F.col("ts"))), maxes={"past_start": "own_start"}

@@ -383,3 +383,34 @@ def test_ties_of_one_moment_are_split(spark, monkeypatch):
         """SELECT key, ts, run, v, sum(v) OVER (PARTITION BY key ORDER BY ts, run ROWS UNBOUNDED PRECEDING) AS total,
            lag(v) OVER (PARTITION BY key ORDER BY ts, run) AS last FROM {rows}""", rows=rows)
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+@pytest.mark.parametrize("seconds", [60, 61, 90, 3600, 86_400 * 30])
+@pytest.mark.parametrize("blocks", [2, 5, 1000])
+def test_frames_of_any_length(spark, seconds, blocks):
+    r = random.Random(seconds + blocks)
+    spread = seconds * 4
+    moments = sorted({(r.choice(["a", "b", None]), START + dt.timedelta(microseconds=r.randrange(spread * 1_000_000))) for _ in range(300)}, key=str)
+    # Both ends of a frame belong to it.
+    moments += [("c", START + dt.timedelta(seconds=seconds * i)) for i in range(4)]
+    rows = [(k, t, r.randrange(100)) for k, t in moments]
+    points = spark.createDataFrame(rows, "key string, ts timestamp, v long")
+    found = {(x.key, x.ts): x.v_since for x in scans.frame_sums(points, ["key"], ["v"], seconds, blocks=blocks).collect()}
+    assert len(found) == len(rows)
+    for k, t, _ in rows:
+        assert found[k, t] == sum(v for k2, u, v in rows if k2 == k and t - dt.timedelta(seconds=seconds) <= u <= t)
+
+
+def test_a_long_frame_over_a_hot_series_is_split(spark):
+    """Thirty days of lookback, one series: no block of a task has more than a few hundredths of the rows."""
+    rows = spark.range(60_000).selectExpr("'k' AS key", "timestamp_micros(1704067200000000 + id * 86400000) AS ts", "CAST(id % 9 AS double) AS v")
+    lookback = 86_400 * 30
+    block = lookback * 1_000_000 // scans.FRAME_BLOCKS
+    assert max(r["count"] for r in rows.groupBy(F.floor(F.unix_micros("ts") / block)).count().collect()) < 600
+    found = scans.frame_sums(rows, ["key"], ["v"], lookback).agg(F.sum(F.xxhash64("ts", "v_since").cast("decimal(38,0)"))).first()
+    plain = spark.sql(
+        "SELECT ts, sum(v) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW) AS v_since FROM {rows}", rows=rows
+    )
+    assert found == plain.agg(F.sum(F.xxhash64("ts", "v_since").cast("decimal(38,0)"))).first()
+    plan = scans.frame_sums(rows, ["key"], ["v"], lookback)._jdf.queryExecution().toString()
+    assert not re.search(r"Window \[[^]]*\], \[_key#\d+\]", plan)
