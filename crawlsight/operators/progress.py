@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.steps import counted_out
 from ..sources.schemas import REQUEST_STATUSES
 
 SNAPSHOT_SECONDS = 300  # Fixed value: time between two snapshots.
 COUNTS = ("total", *REQUEST_STATUSES, "results", "valid", "invalid", "errors")
-GAP = 1024  # Quiet intervals that are made at once.
 
 
 def run_status() -> Column:
@@ -137,10 +137,7 @@ def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> Dat
     )
     # The rows are few here and many below: a run with long gaps is dealt out to all tasks first.
     told = told.repartition(int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id", "at")
-    # In two steps, so that a gap of years is no array of all its intervals.
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("until_next") - 1) / GAP))
-    inside = F.sequence(F.col("block") * GAP, F.least((F.col("block") + 1) * GAP, F.col("until_next")) - 1)
-    every = told.withColumn("block", F.explode(blocks)).withColumn("quiet", F.explode(inside))
+    every = counted_out(told, F.col("until_next"), "quiet")
     return every.select(
         "run_id",
         F.timestamp_micros(F.col("at") + F.col("quiet") * step).alias("snapshot_at"),

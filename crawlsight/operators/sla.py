@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.steps import counted_out
 from .scans import HISTORY_SLICE, running, sliced, unsliced
 from .triggers import trigger_match
 
@@ -165,35 +166,38 @@ def sla_severity_rollup(found: DataFrame) -> DataFrame:
 def schedule_expand(schedules: DataFrame, until: dt.datetime) -> DataFrame:
     """Expected run times of interval schedules up to ``until``, at most ``max_scheduled_runs`` each.
 
-    The cap is applied to the number of slots before any row is made.
+    A queue may have several schedules, told apart by ``schedule_id``; without that column it has one. The cap is
+    applied to the number of slots before any row is made.
     """
     passed = F.unix_micros(F.lit(until)) - F.unix_micros("anchor")
     step = F.col("interval_seconds") * 1_000_000
     slots = F.least(F.floor(passed / step) + 1, F.col("max_scheduled_runs"))
-    return (
-        schedules.withColumn("slots", slots)
-        .where(F.col("slots") > 0)
-        .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)))
-        .select(
-            "queue",
-            "slot",
-            F.timestamp_micros(F.unix_micros("anchor") + F.col("slot") * step).alias("expected_at"),
-        )
+    return counted_out(identified(schedules), slots, "slot").select(
+        "queue",
+        "schedule_id",
+        "slot",
+        F.timestamp_micros(F.unix_micros("anchor") + F.col("slot") * step).alias("expected_at"),
     )
 
 
+def identified(schedules: DataFrame) -> DataFrame:
+    return schedules if "schedule_id" in schedules.columns else schedules.withColumn("schedule_id", F.col("queue"))
+
+
 def missed_runs(schedules: DataFrame, flow_runs: DataFrame, until: dt.datetime) -> DataFrame:
-    """Expected times without a run before the next expected time.
+    """Expected times without a run before the next expected time of the same schedule.
 
-    A run's slot follows from its time and the schedule, so the match is on equal
-    (queue, slot) and needs no interval join.
+    A run's slot follows from its time and the schedule, so the match is on equal (schedule, slot) and needs no
+    interval join. A run stands for a slot of every schedule of its queue, or of the one that its ``schedule_id``
+    names where runs have that column.
     """
     step = F.col("interval_seconds") * 1_000_000
     slot = F.floor((F.unix_micros("scheduled_at") - F.unix_micros("anchor")) / step)
-    taken = (
-        flow_runs.select("queue", "scheduled_at")
-        .join(schedules.select("queue", "anchor", "interval_seconds"), "queue")
-        .select("queue", slot.alias("slot"))
-        .distinct()
-    )
-    return schedule_expand(schedules, until).join(taken, ["queue", "slot"], "left_anti")
+    known = identified(schedules).select("queue", "schedule_id", "anchor", "interval_seconds")
+    told = "schedule_id" in flow_runs.columns
+    runs = flow_runs.select("queue", "scheduled_at", *([F.col("schedule_id").alias("own")] if told else []))
+    taken = runs.join(known, "queue")
+    if told:
+        taken = taken.where(F.col("own").isNull() | (F.col("own") == F.col("schedule_id")))
+    taken = taken.select("queue", "schedule_id", slot.alias("slot")).distinct()
+    return schedule_expand(schedules, until).join(taken, ["queue", "schedule_id", "slot"], "left_anti")

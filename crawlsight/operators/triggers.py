@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.steps import counted_out
 from .scans import frame_sums, running, since, sliced, unsliced
 
 KEY = ("resource",)
@@ -35,16 +36,44 @@ def seconds_before(seconds: float) -> Column:
     return F.expr(f"INTERVAL '{seconds}' SECOND")
 
 
+def label_fits(value: Column, allowed: str | Sequence[str]) -> Column:
+    """Whether a label has one of the allowed values and none of the forbidden ones.
+
+    A value that ends with ``*`` stands for all that begin so, one that begins with ``!`` is forbidden. A label that is
+    missing fits nothing. Where only forbidden values are named, all others are allowed.
+    """
+    names = [allowed] if isinstance(allowed, str) else list(allowed)
+    wanted, unwanted = [n for n in names if not n.startswith("!")], [n[1:] for n in names if n.startswith("!")]
+
+    def any_of(values: Sequence[str]) -> Column:
+        exact = [n for n in values if not n.endswith("*")]
+        tests = [F.startswith(value, F.lit(n[:-1])) for n in values if n.endswith("*")] + ([value.isin(*exact)] if exact else [])
+        return reduce(operator.or_, tests, F.lit(False))
+
+    fits = any_of(wanted) if wanted else F.lit(True)
+    return F.coalesce(value.isNotNull() & fits & ~any_of(unwanted), F.lit(False))
+
+
+def label(name: str) -> Column:
+    """A label of the JSON map ``props``; NULL where it is missing."""
+    return F.try_element_at(F.from_json("props", "map<string,string>"), F.lit(name))
+
+
 def is_expected(expects: Sequence[str], match: Mapping[str, str | Sequence[str]] | None = None) -> Column:
-    """Event names (none: any event) and label equality; a label may allow several values."""
+    """Event names (none: any event) and labels (see :func:`label_fits`)."""
     test = F.col("event").isin(*expects) if expects else F.lit(True)
-    labels = F.from_json("props", "map<string,string>")
     for name, allowed in (match or {}).items():
-        values = [allowed] if isinstance(allowed, str) else list(allowed)
-        test = test & F.coalesce(F.try_element_at(labels, F.lit(name)).isin(*values), F.lit(False))
+        test = test & label_fits(label(name), allowed)
     return test
 
 
+def for_each(events: DataFrame, labels: Mapping[str, str]) -> DataFrame:
+    """Events with a column for each label, by column name, to be used as ``keys``: a trigger is then
+    evaluated separately for each combination of their values. Events that lack one of the labels are left out."""
+    found = events.withColumns({column: label(name) for column, name in labels.items()})
+    return found.where(reduce(operator.and_, (F.col(column).isNotNull() for column in labels), F.lit(True)))
+
+
 def trigger_match(
     events: DataFrame, expects: Sequence[str], match: Mapping[str, str | Sequence[str]] | None = None
 ) -> DataFrame:
@@ -136,7 +165,7 @@ def _idle_windows(
     counts = events.groupBy(*keys, slot.alias("slot")).agg(wanted.alias("n"))
     last = F.floor(F.unix_micros(F.lit(as_of)) / F.lit(width)) - 1
     known = counts.groupBy(*keys).agg(F.min("slot").alias("first")).where(F.col("first") <= last)
-    slots = known.select(*keys, F.explode(F.sequence(F.col("first"), last)).alias("slot"))
+    slots = counted_out(known, last - F.col("first") + 1, "_later").select(*keys, (F.col("first") + F.col("_later")).alias("slot"))
     end = F.timestamp_micros((F.col("slot") + 1) * F.lit(width))
     seen = F.coalesce("n", F.lit(0))
     return (

@@ -76,6 +76,22 @@ def _(t):
     return matched.select("event_id", "resource", "event", "ts")
 
 
+@query(
+    "trigger_for_each",
+    ("labelled_events",),
+    """WITH e AS (SELECT json_extract_string(props, '$.site') AS site, json_extract_string(props, '$.kind') AS kind, ts FROM labelled_events),
+m AS (SELECT site, kind, ts, count(*) AS n FROM e WHERE (site LIKE 'court-%' OR site = 'blog') AND site <> 'court-4' AND kind IS NOT NULL
+  GROUP BY 1, 2, 3),
+c AS (SELECT *, sum(n) OVER (PARTITION BY site, kind ORDER BY ts RANGE BETWEEN INTERVAL 21600 SECONDS PRECEDING
+  AND CURRENT ROW) AS k FROM m)
+SELECT site, kind, ts AS fired_at, CAST(k AS BIGINT) AS events FROM c WHERE k >= 3 AND k - n < 3""",
+)
+def _(t):
+    """Two labels as keys; one of them with a pattern, a value and a forbidden value."""
+    events = triggers.for_each(t("labelled_events"), {"site": "site", "kind": "kind"})
+    return triggers.trigger_reactive(events, [], 3, 6 * HOUR, {"site": ["court-*", "blog", "!court-4"]}, keys=("site", "kind"))
+
+
 def compound_sql(need: int, seconds: int, names: tuple[str, ...], head: str = "", table: str = "trigger_events") -> str:
     flags = ", ".join(f"max(ts) FILTER (event = '{n}') AS c{i}" for i, n in enumerate(names))
     before = ", ".join(
@@ -297,14 +313,14 @@ EXPANDED = f"""WITH z AS (SELECT max(scheduled_at) AS until FROM flow_runs),
 n AS (SELECT s.*, least(CAST(floor((epoch_us(z.until) - epoch_us(anchor)) / (interval_seconds * 1000000.0)) AS BIGINT)
     + 1, max_scheduled_runs) AS slots FROM schedules s, z),
 x AS (SELECT *, unnest(range(0, slots)) AS slot FROM n),
-expected AS (SELECT queue, slot, make_timestamp(epoch_us(anchor) + slot * interval_seconds * 1000000) AS expected_at
+expected AS (SELECT queue, schedule_id, slot, make_timestamp(epoch_us(anchor) + slot * interval_seconds * 1000000) AS expected_at
   FROM x)"""
 
 
 @query(
     "schedule_expand",
     ("flow_runs", "schedules"),
-    f"{EXPANDED} SELECT queue, slot, expected_at FROM expected",
+    f"{EXPANDED} SELECT queue, schedule_id, slot, expected_at FROM expected",
 )
 def _(t):
     return sla.schedule_expand(t("schedules"), latest(t("flow_runs"), "scheduled_at"))
@@ -313,10 +329,10 @@ def _(t):
 @query(
     "missed_runs",
     ("flow_runs", "schedules"),
-    f"""{EXPANDED}, taken AS (SELECT DISTINCT r.queue, CAST(floor((epoch_us(r.scheduled_at) - epoch_us(s.anchor))
+    f"""{EXPANDED}, taken AS (SELECT DISTINCT s.schedule_id, CAST(floor((epoch_us(r.scheduled_at) - epoch_us(s.anchor))
     / (s.interval_seconds * 1000000.0)) AS BIGINT) AS slot FROM flow_runs r JOIN schedules s ON r.queue = s.queue)
-SELECT queue, slot, expected_at FROM expected e
-WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.queue = e.queue AND t.slot = e.slot)""",
+SELECT queue, schedule_id, slot, expected_at FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.schedule_id = e.schedule_id AND t.slot = e.slot)""",
 )
 def _(t):
     runs = t("flow_runs")

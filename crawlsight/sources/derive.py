@@ -176,6 +176,16 @@ FROM {{events}}""",
         f"""
 SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, {_HOT_USER} AS resource, event_type AS event, props
 FROM {{events}}""",
+    ),
+    # Events with several labels, some without one of them.
+    "labelled_events": (
+        ("events",),
+        """
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, event_type AS event,
+  CASE WHEN event_id % 13 = 0 THEN props ELSE replace(props, '}}', ', "site": "' ||
+    CASE WHEN user_id % 3 = 0 THEN 'court-0' WHEN user_id % 7 = 0 THEN 'blog' ELSE 'court-' || CAST(user_id % 9 AS STRING) END
+    || '", "kind": "' || event_type || '"}}') END AS props
+FROM {events}""",
     ),
     # Requests to start a run, some with seeds, some with an empty list, some without.
     "seeds": (
@@ -198,13 +208,14 @@ SELECT p_partkey AS submission,
        ELSE 'part' || CAST(p_partkey AS STRING) END AS scraper_schema
 FROM {part}""",
     ),
-    # One interval schedule per queue, anchored at its first run.
+    # One interval schedule per queue, anchored at its first run; every other queue has a slower one beside it.
     "schedules": (
         ("flow_runs",),
         """
-SELECT queue, min(scheduled_at) AS anchor, CAST(86400 * (20 + count(*) % 10) AS BIGINT) AS interval_seconds,
-  CAST(40 + max(run_id) % 60 AS BIGINT) AS max_scheduled_runs
-FROM {flow_runs} GROUP BY queue""",
+SELECT queue, CAST(queue AS STRING) || CASE WHEN k = 1 THEN '/often' ELSE '/seldom' END AS schedule_id, anchor,
+  CAST(86400 * (20 + n % 10) * k AS BIGINT) AS interval_seconds, CAST(40 + last_id % 60 AS BIGINT) AS max_scheduled_runs
+FROM (SELECT queue, min(scheduled_at) AS anchor, count(*) AS n, max(run_id) AS last_id FROM {flow_runs} GROUP BY queue) q
+JOIN (SELECT 1 AS k UNION ALL SELECT 5 AS k) f ON k = 1 OR n % 2 = 0""",
     ),
     # Class names are put together from the part names; some modules are tests,
     # some classes are re-exports, some need a browser.

@@ -414,3 +414,43 @@ def test_a_long_frame_over_a_hot_series_is_split(spark):
     assert found == plain.agg(F.sum(F.xxhash64("ts", "v_since").cast("decimal(38,0)"))).first()
     plan = scans.frame_sums(rows, ["key"], ["v"], lookback)._jdf.queryExecution().toString()
     assert not re.search(r"Window \[[^]]*\], \[_key#\d+\]", plan)
+
+
+def test_two_schedules_on_a_queue(spark):
+    """An hourly and a daily schedule, four hourly runs on the first day, then nothing for three days."""
+    schedules = spark.createDataFrame(
+        [("q", "hourly", at(0), 3600, 999), ("q", "daily", at(0), 86_400, 999)],
+        "queue string, schedule_id string, anchor timestamp, interval_seconds bigint, max_scheduled_runs bigint",
+    )
+    flow = spark.createDataFrame([run_row(i, "q", 1, 2, scheduled=3600 * i) for i in range(4)], schemas.FLOW_RUNS)
+    missed = [(r.schedule_id, r.slot) for r in sla.missed_runs(schedules, flow, at(3 * 86_400)).collect()]
+    assert sorted(missed) == [("daily", i) for i in (1, 2, 3)] + [("hourly", i) for i in range(4, 73)]
+    # Runs that name their schedule stand for that one alone.
+    own = flow.withColumn("schedule_id", F.lit("hourly"))
+    missed = [(r.schedule_id, r.slot) for r in sla.missed_runs(schedules, own, at(86_400)).collect()]
+    assert ("daily", 0) in missed and ("hourly", 0) not in missed
+
+
+def test_rows_counted_out(spark):
+    from crawlsight.functions.steps import counted_out
+
+    rows = spark.createDataFrame([("a", 1), ("b", 1024), ("c", 3000), ("d", 0), ("e", None), ("f", -2)], "k string, n long")
+    found = counted_out(rows, F.col("n"), "i").groupBy("k").agg(F.count("*"), F.min("i"), F.max("i"), F.countDistinct("i"))
+    assert sorted(map(tuple, found.collect())) == [("a", 1, 0, 0, 1), ("b", 1024, 0, 1023, 1024), ("c", 3000, 0, 2999, 3000)]
+
+
+@pytest.mark.parametrize(
+    "allowed, fits",
+    [("a", ["a"]), (["a", "b"], ["a", "b"]), ("a*", ["a", "ab"]), ("!a", ["ab", "b"]), (["a*", "!ab"], ["a"]), (["b", "!a*"], ["b"]), ("*", ["a", "ab", "b"])],
+)
+def test_label_patterns(spark, allowed, fits):
+    rows = spark.createDataFrame([('{"l": "%s"}' % v,) for v in ("a", "ab", "b")] + [("{}",), (None,)], "props string")
+    found = rows.where(triggers.label_fits(triggers.label("l"), allowed)).select(triggers.label("l")).collect()
+    assert sorted(r[0] for r in found) == fits
+
+
+def test_for_each_label(spark):
+    rows = [(START + dt.timedelta(seconds=i), "e", '{"a": "%d", "b": "x"}' % (i % 2)) for i in range(6)] + [(START, "e", '{"a": "0"}'), (START, "e", None)]
+    events = triggers.for_each(spark.createDataFrame(rows, "ts timestamp, event string, props string"), {"a": "a", "b": "b"})
+    found = triggers.trigger_reactive(events, ["e"], 3, 100, keys=("a", "b")).collect()
+    assert sorted((r.a, r.b, r.events, (r.fired_at - START).seconds) for r in found) == [("0", "x", 3, 4), ("1", "x", 3, 5)]
