@@ -9,12 +9,12 @@ from ..session import fresh_dir
 from ..sources.derive import derive
 from ..sources.tables import read_stream
 from ..streaming import archive as archive_streaming
-from ..streaming import windows
+from ..streaming import timers, windows
 from ..streaming.drain import drained_latest
 from .archive import KEYED, OBJECTS
 from .registry import ORACLES, query
 from .runs import PROGRESS_TABLES, PROGRESS_WINDOWS, rounded_rate
-from .triggers import HOUR
+from .triggers import CHILDREN, DAY, HOUR
 
 def stream(t, name: str):
     return derive(t.spark, t.folder, name, read_stream)
@@ -58,6 +58,27 @@ def _(t):
     )
 
 
+def folders(t, name: str) -> tuple[str, str]:
+    return fresh_dir(t.spark, name), fresh_dir(t.spark, f"{name}-checkpoint")
+
+
+@query("trigger_stream_proactive", (), ORACLES["trigger_proactive"])
+def _(t):
+    events = stream(t, "trigger_events")
+    return timers.proactive_stream(events, *folders(t, "proactive"), ["signup"], ["purchase"], 2, 2 * DAY)
+
+
+@query("trigger_stream_compound", (), ORACLES["trigger_compound"])
+def _(t):
+    return timers.compound_stream(stream(t, "trigger_events"), *folders(t, "compound"), [[c] for c in CHILDREN], "all", 12 * HOUR)
+
+
+@query("trigger_stream_sequence", (), ORACLES["trigger_sequence"])
+def _(t):
+    steps = [["view"], ["click"], ["purchase"]]
+    return timers.sequence_stream(stream(t, "trigger_events"), *folders(t, "sequence"), steps, DAY)
+
+
 @query(
     "archive_stream",
     ("downloads",),

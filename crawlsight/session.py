@@ -75,6 +75,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored; nothing happens where none is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point ``DataFrame.checkpoint`` at the shared folder, once."""
     folder = shared_dir(spark)

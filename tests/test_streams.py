@@ -3,12 +3,13 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawlsight.operators import progress, triggers
 from crawlsight.sources import schemas
 from crawlsight.streaming import archive as archive_streaming
-from crawlsight.streaming import windows
+from crawlsight.streaming import timers, windows
 from crawlsight.streaming.drain import drained_latest, to_parquet
 
 START = dt.datetime(2024, 1, 1)
@@ -139,3 +140,70 @@ def test_table_of_a_crashed_first_write(spark, tmp_path):
     """A folder without a finished file is an empty table, so the stream can start again."""
     (tmp_path / "objects" / "batch_id=0" / "_temporary" / "0").mkdir(parents=True)
     assert archive_streaming.stored_objects(spark, str(tmp_path)).collect() == []
+
+
+def arriving(spark, tmp_path):
+    """Events over days in batches, shuffled by up to 500 s, with quiet keys; the whole table, and its folder."""
+    at = lambda hours: START + dt.timedelta(hours=hours)
+    rng = random.Random(12)
+    rows = [(i, at(rng.random() * 60), rng.randrange(4), rng.choice(["a", "b", "c", "other"]), "{}") for i in range(240)]
+    # A key that is heard of once, and one that is followed up in time by a single event.
+    rows += [(900, at(3), 77, "a", "{}"), (901, at(5), 78, "a", "{}"), (902, at(7), 78, "b", "{}")]
+    rows.sort(key=lambda r: r[1] + dt.timedelta(seconds=rng.uniform(0, 500)))
+    folder = str(tmp_path / "events")
+    write_batches(spark, folder, [rows[i : i + 50] for i in range(0, len(rows), 50)], schemas.EVENTS)
+    return spark.createDataFrame(rows, schemas.EVENTS), folder
+
+
+CASES = {
+    "proactive": (
+        lambda rows, as_of: triggers.trigger_proactive(rows, ["a"], ["b"], 2, 6 * 3600, as_of),
+        lambda stream, *where: timers.proactive_stream(stream, *where, ["a"], ["b"], 2, 6 * 3600),
+    ),
+    "compound": (
+        lambda rows, as_of: triggers.trigger_compound(rows, [["a"], ["b"], ["c"]], 3, 2 * 3600),
+        lambda stream, *where: timers.compound_stream(stream, *where, [["a"], ["b"], ["c"]], 3, 2 * 3600),
+    ),
+    "sequence": (
+        lambda rows, as_of: triggers.trigger_sequence(rows, [["a"], ["b"], ["c"]], 5 * 3600),
+        lambda stream, *where: timers.sequence_stream(stream, *where, [["a"], ["b"], ["c"]], 5 * 3600),
+    ),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CASES))
+def test_triggers_with_timers_equal_batch(spark, tmp_path, name):
+    """Late rows, many batches, a second run from the same checkpoint; quiet keys fire as time passes."""
+    whole, folder = arriving(spark, tmp_path)
+    batch, streamed = CASES[name]
+    newest = whole.agg(F.max("ts")).first()[0]
+    expected = sorted(map(tuple, batch(whole, newest).collect()))
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "checkpoint")
+    for _ in range(2):
+        found = streamed(read(spark, folder, schemas.EVENTS), root, checkpoint)
+        assert expected and sorted(map(tuple, found.collect())) == expected
+    if name == "proactive":
+        # Written while the stream ran, although nothing more came for these keys.
+        fired = spark.read.parquet(f"{root}/fired")
+        assert {77, 78} <= {r.resource for r in fired.collect()}
+    # What is kept does not grow with the batches.
+    assert len(list((tmp_path / "root" / "open").glob("batch_id=*"))) <= 2
+
+
+def test_a_repeated_batch_of_timers_changes_nothing(spark, tmp_path):
+    """The newest batch is done again, as after a crash before its commit."""
+    whole, folder = arriving(spark, tmp_path)
+    batch, streamed = CASES["proactive"]
+    expected = sorted(map(tuple, batch(whole, whole.agg(F.max("ts")).first()[0]).collect()))
+    root, checkpoint = str(tmp_path / "root"), tmp_path / "checkpoint"
+    streamed(read(spark, folder, schemas.EVENTS), root, str(checkpoint))
+    last = max((int(p.name) for p in (checkpoint / "commits").iterdir() if p.name.isdigit()))
+    for left in (checkpoint / "commits").glob(f"*{last}*"):
+        left.unlink()
+    found = streamed(read(spark, folder, schemas.EVENTS), root, str(checkpoint))
+    assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_proactive_streams_need_an_after_event(spark, tmp_path):
+    with pytest.raises(ValueError):
+        timers.proactive_stream(spark.createDataFrame([], schemas.EVENTS), "r", "c", [], ["b"], 1, 60)
