@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import progress
+from ..operators import progress, telemetry
 from ..session import fresh_dir
 from ..sources.derive import derive
 from ..sources.tables import read_stream
@@ -16,6 +16,10 @@ from .registry import ORACLES, query
 from .runs import PROGRESS_TABLES, PROGRESS_WINDOWS, rounded_rate
 from .triggers import CHILDREN, DAY, HOUR
 
+#: The quantiles of telemetry, by column.
+RANKS = {f"p{round(p * 100)}": p for p in telemetry.QUANTILES}
+
+
 def stream(t, name: str):
     return derive(t.spark, t.folder, name, read_stream)
 
@@ -46,6 +50,35 @@ def _(t):
     return stats.withColumns({"sum": F.round("sum", 6), **{p: F.round(p, 9) for p in ("p50", "p90", "p99")}})
 
 
+@query(
+    "telemetry_stream_sketch",
+    ("metrics",),
+    """SELECT metric, scraper, run_id, step, phase, kind, time_bucket(INTERVAL '1 hour', ts) AS window_start,
+  time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(value) AS count, round(sum(value), 6) AS sum,
+  min(value) AS min, max(value) AS max,
+  CASE WHEN metric IN ('worker.active', 'queue.pending') THEN arg_max(value, struct_pack(a := ts, b := value)) END AS last, true AS near
+FROM metrics WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""",
+)
+def _(t):
+    """``near``: counted over all values, the ranks of the three quantiles are off by no more than is stated."""
+    keys = [*windows.SERIES, "window_start", "window_end"]
+    states = drained_latest(windows.telemetry_sketch_stream(stream(t, "metrics")), "telemetry-sketch", keys)
+    found = windows.sketched_quantiles(states)
+    values = t("metrics").where(F.col("value").isNotNull()).withColumn("window_start", F.window("ts", "1 hour")["start"])
+    counts = values.groupBy(*windows.SERIES, "window_start", "value").agg(F.count("*").alias("copies"))
+    series = [*windows.SERIES, "window_start"]
+    same = [F.col(f"v.{key}").eqNullSafe(F.col(f"f.{key}")) for key in series]
+    both = counts.alias("v").join(found.alias("f"), same)
+    below = [F.sum(F.when(F.col("v.value") < F.col(f"f.{p}"), F.col("v.copies")).otherwise(0)).alias(f"{p}_below") for p in RANKS]
+    up_to = [F.sum(F.when(F.col("v.value") <= F.col(f"f.{p}"), F.col("v.copies")).otherwise(0)).alias(f"{p}_up_to") for p in RANKS]
+    ranked = both.groupBy(*(F.col(f"f.{c}") for c in found.columns)).agg(*below, *up_to)
+    slack = F.col("count") * windows.SKETCH_ERROR
+    near = F.lit(True)
+    for name, p in RANKS.items():
+        near = near & (F.col(f"{name}_below") <= F.col("count") * p + slack) & (F.col(f"{name}_up_to") >= F.col("count") * p - slack)
+    return ranked.select(*keys, "count", F.round("sum", 6).alias("sum"), "min", "max", "last", near.alias("near"))
+
+
 @query("trigger_stream", (), ORACLES["trigger_reactive"])
 def _(t):
     return windows.trigger_stream(

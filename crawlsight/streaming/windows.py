@@ -20,6 +20,7 @@ from ..sources.tables import optional_table
 from .drain import for_each_batch
 
 LATENESS = "10 minutes"
+SKETCH, SKETCH_ERROR = 800, 0.01  # Size of a quantile sketch; what its ranks are off by at most (99 of 100 by a third of it).
 SERIES = ("metric", "scraper", "run_id", "step", "phase", "kind")
 
 
@@ -63,6 +64,39 @@ def telemetry_windows(values: DataFrame, probs: Sequence[float] = telemetry.QUAN
     return stats.alias("s").join(last.alias("l"), same, "left").select("s.*", "last")
 
 
+def telemetry_sketch_stream(
+    metrics: DataFrame, lateness: str = LATENESS, window: str = "1 hour", accuracy: int = SKETCH
+) -> DataFrame:
+    """Count, sum, range, last value and a quantile sketch per series and window.
+
+    The state of a series is one sketch of a size that ``accuracy`` fixes (about 16 KB by default) however many
+    different values it sees; ``telemetry_stream`` keeps them all and is exact. Values that are no number are in the
+    count and sum but not in the sketch. ``sketched_quantiles`` reads the sink.
+    """
+    return (
+        metrics.where(F.col("value").isNotNull())
+        .withWatermark("ts", lateness)
+        .groupBy(*SERIES, F.window("ts", window).alias("w"))
+        .agg(
+            F.count("*").alias("count"),
+            F.sum("value").alias("sum"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            F.max_by("value", F.struct("ts", "value")).alias("last"),
+            F.kll_sketch_agg_double(F.col("value").cast("double"), accuracy).alias("sketch"),
+        )
+        .select(*SERIES, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "count", "sum", "min", "max", "last", "sketch")
+    )
+
+
+def sketched_quantiles(windows: DataFrame, probs: Sequence[float] = telemetry.QUANTILES) -> DataFrame:
+    """The sink of ``telemetry_sketch_stream`` with quantiles in place of sketches: observed values whose rank is off by at
+    most ``SKETCH_ERROR`` of the count. NULL where a window has no number. Only gauges have a last value."""
+    found = F.when(F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, probs))))
+    told = windows.withColumn("_q", found).withColumn("last", F.when(F.col("metric").isin(*telemetry.GAUGES), F.col("last")))
+    return told.select("*", *[F.col("_q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probs)]).drop("_q", "sketch")
+
+
 def trigger_stream(
     events: DataFrame,
     root: str,

@@ -207,3 +207,25 @@ def test_a_repeated_batch_of_timers_changes_nothing(spark, tmp_path):
 def test_proactive_streams_need_an_after_event(spark, tmp_path):
     with pytest.raises(ValueError):
         timers.proactive_stream(spark.createDataFrame([], schemas.EVENTS), "r", "c", [], ["b"], 1, 60)
+
+
+def test_sketches_do_not_grow_with_distinct_values(spark, tmp_path):
+    """50,000 different values in several batches: ranks within the stated error, a state of bounded size."""
+    rng = random.Random(8)
+    values = [rng.random() * 1000 for _ in range(50_000)]
+    row = lambda i, v, run: (START + dt.timedelta(milliseconds=i), "worker.active", v, run, "x", "p", "q", "1", None, "compress", None)
+    rows = [row(i, v, "r") for i, v in enumerate(values)] + [row(i, float(i), "few") for i in range(9)] + [row(1, None, "none"), row(1, float("nan"), "nan")]
+    folder = str(tmp_path / "metrics")
+    write_batches(spark, folder, [rows[i : i + 20_000] for i in range(0, len(rows), 20_000)], schemas.METRICS)
+    stream = windows.telemetry_sketch_stream(read(spark, folder, schemas.METRICS))
+    states = drained_latest(stream, "sketch", [*windows.SERIES, "window_start"])
+    sizes = {r.run_id: r.n for r in states.select("run_id", F.length("sketch").alias("n")).collect()}
+    assert sizes["r"] < 25_000 and set(sizes) == {"r", "few", "nan"}
+    found = {r.run_id: r for r in windows.sketched_quantiles(states).collect()}
+    ordered = sorted(values)
+    for name, p in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99)):
+        q = found["r"][name]
+        assert q in values and abs(sum(v <= q for v in ordered) / 50_000 - p) < windows.SKETCH_ERROR
+    assert found["r"]["count"] == 50_000 and found["r"]["last"] == values[-1]
+    assert (found["few"].p50, found["few"].min, found["few"].max) == (4.0, 0.0, 8.0)
+    assert found["nan"].p50 is None and found["nan"]["count"] == 1
