@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..operators import archive
-from ..session import fresh_dir
-from ..sources.tables import write_runs
+from ..session import delete_dir, fresh_dir
+from ..sources.tables import list_objects, write_runs
 from .registry import query
 
 EXTENSION = """lower(regexp_extract(regexp_extract(regexp_replace(regexp_replace(regexp_extract({url},
@@ -193,6 +193,25 @@ def _(t):
     return archive.archive_verify(manifest, listing(t))
 
 
+@query(
+    "archive_verify_listing",
+    ("downloads",),
+    f"WITH {KEYED} SELECT min(substr(sha, 1, 2)) AS shard, 'missing' AS status FROM keyed",
+)
+def _(t):
+    """An archive is written, listed, and loses its first shard; the files that are listed again show which."""
+    objects = archive.objects_of(t("downloads"))
+    root = fresh_dir(t.spark, "archive-objects")
+    shard = F.regexp_extract("content_key", "([0-9a-f]{2})/[0-9a-f]{2}/[^/]*$", 1).alias("shard")
+    objects.select("*", shard).repartition("shard").write.partitionBy("shard").parquet(f"{root}/objects")
+    list_objects(t.spark, f"{root}/objects").write.parquet(f"{root}/manifest")
+    manifest = t.spark.read.schema("path string, size long").parquet(f"{root}/manifest")
+    lost = objects.agg(F.min(shard)).first()[0]
+    delete_dir(t.spark, f"{root}/objects/shard={lost}")
+    found = archive.archive_differences(manifest, list_objects(t.spark, f"{root}/objects"))
+    return found.select(F.regexp_extract("path", "shard=([0-9a-f]{2})", 1).alias("shard"), "status").distinct()
+
+
 @query(
     "dangling_pointers",
     TABLES,

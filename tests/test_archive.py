@@ -1,5 +1,7 @@
 """Archive plan, upserts and checks on hand tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,24 @@ def test_replayed_batch_changes_nothing(spark, first, tmp_path):
     assert len(before[0]) == 5 and len(before[1]) == 3
     one = [r for r in before[1] if r[2].endswith(".gif")]
     assert len(one) == 1
+
+
+def test_verification_by_digests(spark):
+    """Equal to the comparison of all rows; a whole archive compares no row."""
+    rng = random.Random(3)
+    stored = [(f"a/{i:04d}", rng.randrange(1000)) for i in range(3000)]
+    wanted = list(stored)
+    for i in (5, 900, 2999):
+        wanted[i] = (wanted[i][0], wanted[i][1] + 1)
+    wanted = wanted[:100] + wanted[101:] + [("only/here", 7), ("no/size", None)] + [wanted[50]]
+    schema = "path string, size long"
+    manifest, listing = spark.createDataFrame(wanted, schema), spark.createDataFrame(stored, schema)
+    found = sorted(map(tuple, archive.archive_differences(manifest, listing, shards=64).collect()), key=str)
+    expected = archive.archive_verify(manifest, listing).where("status <> 'ok'")
+    # The row that repeats is told by its shard's digest, and is no difference of paths and sizes.
+    assert found == sorted(map(tuple, expected.collect()), key=str) and len(found) == 6
+    assert archive.archive_differences(listing, listing.repartition(7)).collect() == []
+    assert archive.archive_differences(listing.limit(0), listing.limit(0)).collect() == []
+    assert archive.archive_differences(listing, listing.limit(0)).count() == 3000
+    plan = archive.archive_differences(manifest, listing)._jdf.queryExecution().toString()
+    assert plan.count("BroadcastExchange") == 2

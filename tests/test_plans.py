@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 from crawlsight.plans import catalog
 from crawlsight.sources.tables import write_runs
 
-SINKS = {"progress_stream", "telemetry_stream", "telemetry_stream_sketch", "trigger_stream", "trigger_stream_proactive", "trigger_stream_compound", "trigger_stream_sequence", "archive_stream", "archive_write"}
+SINKS = {"progress_stream", "telemetry_stream", "telemetry_stream_sketch", "trigger_stream", "trigger_stream_proactive", "trigger_stream_compound", "trigger_stream_sequence", "archive_stream", "archive_verify_listing", "archive_write"}
 
 
 def plan(frame, run=False):
