@@ -303,7 +303,8 @@ def _(t):
     requests = t("requests").join(t("runs").select("run_id", "schema"), "run_id")
     path = fresh_dir(t.spark, "archive-requests")
     write_runs(requests, path)
-    stored = t.spark.read.parquet(path)
+    # The schema is given: a run's folder may look like a number.
+    stored = t.spark.read.schema(requests.schema).parquet(path)
     return stored.groupBy("schema", "run_id").agg(
         F.count("*").alias("requests"), F.sum("id").alias("id_sum")
     )

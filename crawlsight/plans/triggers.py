@@ -15,8 +15,8 @@ SECONDS = "(epoch_us({end}) - epoch_us({start})) / 1000000.0::DOUBLE"
 
 
 def latest(table, column):
-    """The newest time of a table, as a plain value."""
-    return table.agg(F.max(column)).first()[0]
+    """The newest time of a table, as a subquery of one row: no job runs while the plan is made."""
+    return table.agg(F.max(column)).scalar()
 
 
 @query(
