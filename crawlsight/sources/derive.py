@@ -212,10 +212,13 @@ FROM {part}""",
     "schedules": (
         ("flow_runs",),
         """
-SELECT queue, CAST(queue AS STRING) || CASE WHEN k = 1 THEN '/often' ELSE '/seldom' END AS schedule_id, anchor,
-  CAST(86400 * (20 + n % 10) * k AS BIGINT) AS interval_seconds, CAST(40 + last_id % 60 AS BIGINT) AS max_scheduled_runs
-FROM (SELECT queue, min(scheduled_at) AS anchor, count(*) AS n, max(run_id) AS last_id FROM {flow_runs} GROUP BY queue) q
-JOIN (SELECT 1 AS k UNION ALL SELECT 5 AS k) f ON k = 1 OR n % 2 = 0""",
+SELECT queue, CAST(queue AS STRING) || '/often' AS schedule_id, min(scheduled_at) AS anchor,
+  CAST(86400 * (20 + count(*) % 10) AS BIGINT) AS interval_seconds, CAST(40 + max(run_id) % 60 AS BIGINT) AS max_scheduled_runs
+FROM {flow_runs} GROUP BY queue
+UNION ALL
+SELECT queue, CAST(queue AS STRING) || '/seldom' AS schedule_id, min(scheduled_at) AS anchor,
+  CAST(86400 * 5 * (20 + count(*) % 10) AS BIGINT) AS interval_seconds, CAST(40 + max(run_id) % 60 AS BIGINT) AS max_scheduled_runs
+FROM {flow_runs} GROUP BY queue HAVING count(*) % 2 = 0""",
     ),
     # Class names are put together from the part names; some modules are tests,
     # some classes are re-exports, some need a browser.
