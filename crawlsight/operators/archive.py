@@ -1,21 +1,27 @@
 """Content-addressed archive: keys, dedup pointers, idempotent upserts, verification.
 
-Only keys, sizes and sequence numbers are shuffled. The stored bytes stay where
-they were read, except in the one join that picks the copy to write.
+Only keys, sizes and sequence numbers are shuffled. Bytes that lie in files are fetched by place
+and stay in the task that reads them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys
+from ..session import ensure_checkpoint_dir
 from ..sources.schemas import REQUEST_STATUSES
 
 FILE_BASE = "s3://files/"
 
 VERIFY_SHARDS = 4096  # Digests that a verification compares first.
 
+# Rows of a file that one mark tells about, a bit each in words of 64.
+MARKED_ROWS = 4096
+# Marks that are broadcast at a time: about 50 MB, for 268 million rows.
+MOST_MARKS = 65536
+
 
 def with_keys(downloads: DataFrame) -> DataFrame:
     """Add hash, extension, object key and size; one pass over the bytes, no shuffle."""
@@ -72,7 +78,10 @@ def content_upsert(downloads: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def content_to_write(downloads: DataFrame, objects: DataFrame) -> DataFrame:
-    """The bytes behind :func:`content_upsert`: for each new object its first copy."""
+    """The bytes behind :func:`content_upsert`: for each new object its first copy.
+
+    For downloads of any origin; :func:`content_by_place` moves less where they lie in files.
+    """
     return keyed_to_write(with_keys(downloads), objects)
 
 
@@ -89,6 +98,58 @@ def keyed_to_write(keyed: DataFrame, objects: DataFrame) -> DataFrame:
     )
 
 
+def content_by_place(downloads: DataFrame, objects: DataFrame, most_marks: int = MOST_MARKS) -> DataFrame:
+    """As ``content_to_write``, for downloads with their ``file_path`` and ``row_index`` (see ``sources.tables.placed``).
+
+    The first scan hashes the bytes and finds the winners' places; only keys and places are shuffled. The places become
+    bits, one mark for ``MARKED_ROWS`` rows of a file, and the second scan keeps the rows whose bit is set: no byte of
+    a download is shuffled, neither of winners nor of losers. Marks are broadcast, ``most_marks`` at a time. Where
+    there are more, each portion has a scan of its own, which opens that portion's files alone.
+    Of two rows with equal key and ``seq``, the first by file and row is written. The first scan runs at once.
+    """
+    first = with_keys(downloads).groupBy("content_key").agg(F.min(F.struct("seq", "file_path", "row_index")).alias("first"))
+    new = first.join(objects.select("content_key"), "content_key", "left_anti").select("first.file_path", "first.row_index")
+    ensure_checkpoint_dir(downloads.sparkSession)
+    marks = _portions(place_marks(new), most_marks).checkpoint()
+    # A row per portion.
+    portions = marks.groupBy("portion").agg(F.min("file_path").alias("low"), F.max("file_path").alias("high")).collect()
+    part = F.expr(f"row_index div {MARKED_ROWS}")
+    word = F.get("words", F.expr(f"int(row_index % {MARKED_ROWS} div 64)"))
+    kept = downloads.where(F.lit(False))
+    for portion in sorted(portions):
+        chosen = F.broadcast(marks.where(F.col("portion") == portion.portion).drop("portion"))
+        rows = downloads.where(F.col("file_path").between(portion.low, portion.high)).withColumn("part", part)
+        marked = rows.join(chosen, ["file_path", "part"]).where(F.getbit(word, F.expr("int(row_index % 64)")) == 1)
+        kept = kept.unionByName(marked.select(*downloads.columns))
+    return with_keys(kept).select("content_key", "size", "content", F.col("seq").alias("first_seq"))
+
+
+def place_marks(places: DataFrame) -> DataFrame:
+    """file_path, part, words: a bit for each of the ``places`` (file_path, row_index)."""
+    bit = F.expr("shiftleft(1L, int(row_index % 64))")
+    words = places.groupBy(
+        "file_path",
+        F.expr(f"row_index div {MARKED_ROWS}").alias("part"),
+        F.expr(f"int(row_index % {MARKED_ROWS} div 64)").alias("word"),
+    ).agg(F.bit_or(bit).alias("bits"))
+    # At most 64 words meet in a group.
+    marked = words.groupBy("file_path", "part").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("by_word"))
+    every = F.sequence(F.lit(0), F.lit(MARKED_ROWS // 64 - 1))
+    filled = F.transform(every, lambda i: F.coalesce(F.col("by_word")[i], F.lit(0).cast("bigint")))
+    return marked.select("file_path", "part", filled.alias("words"))
+
+
+def _portions(marks: DataFrame, most: int) -> DataFrame:
+    """Add the portion of each mark, ``most`` marks in the order of files to a portion."""
+    # The sums over all files have a row per file.
+    earlier = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+    files = marks.groupBy("file_path").agg(F.count("*").alias("n"))
+    files = files.select("file_path", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("file_path").orderBy("part")) - 1
+    ranked = marks.withColumn("rank", rank).join(files, "file_path")
+    return ranked.select("file_path", "part", "words", F.expr(f"(before + rank) div {most}").alias("portion"))
+
+
 def pointers_of(downloads: DataFrame, base: str = FILE_BASE) -> DataFrame:
     """The pointer each dedup key ends up with, and the sequence number that set it."""
     return keyed_pointers(with_keys(downloads.where(keys.has_key(F.col("deduplication_key")))), base)
@@ -138,6 +199,11 @@ def archive_savings(downloads: DataFrame) -> DataFrame:
     )
 
 
+def shard_of(content_key: Column) -> Column:
+    """The first shard of an object key."""
+    return F.regexp_extract(content_key, "([0-9a-f]{2})/[0-9a-f]{2}/[^/]*$", 1)
+
+
 def shard_histogram(downloads: DataFrame) -> DataFrame:
     """Objects per prefix and first shard of the key layout."""
     objects = with_keys(downloads).select("prefix", "sha", "content_key").groupBy(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..operators import archive
 from ..session import delete_dir, fresh_dir
+from ..sources.derive import placed_downloads
 from ..sources.tables import list_objects, write_runs
 from .registry import query
 
@@ -125,7 +126,7 @@ FROM objects o JOIN downloads d ON d.seq = o.first_seq
 WHERE o.content_key NOT IN (SELECT content_key FROM stored_keyed)""",
 )
 def _(t):
-    rows = archive.content_to_write(t("downloads"), archive.objects_of(t("stored")))
+    rows = archive.content_by_place(placed_downloads(t.spark, t.folder), archive.objects_of(t("stored")))
     return rows.select("content_key", "size", "first_seq", F.md5("content").alias("content_md5"))
 
 
@@ -202,7 +203,7 @@ def _(t):
     """An archive is written, listed, and loses its first shard; the files that are listed again show which."""
     objects = archive.objects_of(t("downloads"))
     root = fresh_dir(t.spark, "archive-objects")
-    shard = F.regexp_extract("content_key", "([0-9a-f]{2})/[0-9a-f]{2}/[^/]*$", 1).alias("shard")
+    shard = archive.shard_of(F.col("content_key")).alias("shard")
     objects.select("*", shard).repartition("shard").write.partitionBy("shard").parquet(f"{root}/objects")
     list_objects(t.spark, f"{root}/objects").write.parquet(f"{root}/manifest")
     manifest = t.spark.read.schema("path string, size long").parquet(f"{root}/manifest")

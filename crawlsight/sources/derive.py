@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import read_table
+from .tables import placed, read_table
 
 _HOT_USER = "CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END"
 _TRACE = "CAST(floor(event_id / 5) AS BIGINT)"
@@ -80,11 +80,11 @@ SELECT lang || '/' AS prefix,
   CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN ''
        ELSE 'k-' || CAST(CAST(floor(doc_id / 10) AS BIGINT) AS STRING) END AS deduplication_key,
   CASE WHEN doc_id % 2 = 0 THEN 'PDF' ELSE NULL END AS expected_type,
-  text AS content, doc_id AS seq
+  text AS content, doc_id AS seq /* place */
 FROM {documents}
 UNION ALL
 SELECT 'pages/' AS prefix, url, url AS deduplication_key, 'html' AS expected_type,
-  html AS content, -1 - page_id AS seq
+  html AS content, -1 - page_id AS seq /* place */
 FROM {pages}""",
     ),
     # What earlier crawls stored: the labelled documents.
@@ -275,6 +275,13 @@ def derive(spark: SparkSession, folder: str, name: str, read=read_table) -> Data
     return table
 
 
+def placed_downloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The derived downloads, each with its file and row."""
+    inputs, sql = DERIVATIONS["downloads"]
+    tables = {each: placed(read_table(spark, folder, each)) for each in inputs}
+    return spark.sql(sql.replace("/* place */", ", file_path, row_index"), **tables)
+
+
 def with_sql(*names: str) -> str:
     """The WITH clause that gives a SQL check the derived tables ``names``."""
     done: dict[str, str] = {}

@@ -12,6 +12,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def placed(table: DataFrame) -> DataFrame:
+    """A table of files, with the file and the row of it that each row comes from."""
+    return table.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of a JSON-lines export; the schema is given, so nothing is read to guess it."""
     return spark.read.schema(schema).json(path)
@@ -23,14 +28,16 @@ def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def optional_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def optional_table(spark: SparkSession, path: str, schema: str, base: str | None = None) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` where none exists.
 
+    ``base`` is the table's folder where ``path`` names some of its partitions only.
     Only a missing path is forgiven; an unreadable table still fails. As the schema is given,
     a folder that a first write has left without a finished file reads as an empty table.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        reader = spark.read.schema(schema)
+        return (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

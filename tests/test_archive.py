@@ -1,12 +1,14 @@
 """Archive plan, upserts and checks on hand tables."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from crawlsight.operators import archive
 from crawlsight.sources import schemas
+from crawlsight.sources.tables import placed
 from crawlsight.streaming import archive as streaming
 
 
@@ -176,3 +178,40 @@ def test_verification_by_digests(spark):
     assert archive.archive_differences(listing, listing.limit(0)).count() == 3000
     plan = archive.archive_differences(manifest, listing)._jdf.queryExecution().toString()
     assert plan.count("BroadcastExchange") == 2
+
+
+def test_bytes_by_place(spark, tmp_path):
+    """Equal to the join on bytes, in portions too; nothing is shuffled once the places are known."""
+    rng = random.Random(5)
+    rows = [("p/", f"http://h/{i}.pdf", None, None, f"text {rng.randrange(4000)}", rng.randrange(10**6)) for i in range(10_000)]
+    rows += [("p/", "http://h/t.pdf", None, None, "tie", 7)] * 3 + [("p/", "http://h/n.pdf", None, None, None, 8)]
+    folder = str(tmp_path / "downloads")
+    downloads(spark, rows).coalesce(2).write.parquet(folder)
+    table = placed(spark.read.schema(schemas.DOWNLOADS).parquet(folder))
+    stored = archive.objects_of(table.where("seq % 3 = 0"))
+    key = lambda r: (r.content_key, r.first_seq)
+    joined = sorted({key(r): tuple(r) for r in archive.content_to_write(table, stored).where("content_key IS NOT NULL").collect()}.values())
+    assert len(joined) > 500
+    for most in (1, archive.MOST_MARKS):
+        found = archive.content_by_place(table, stored, most).where("content_key IS NOT NULL")
+        assert sorted(map(tuple, found.collect())) == joined
+    plan = archive.content_by_place(table, stored)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and not re.search(r"Exchange (hash|range|Round|Single)", plan)
+    assert archive.content_by_place(table, archive.objects_of(table)).where("content_key IS NOT NULL").collect() == []
+    assert archive.content_by_place(table.limit(0), stored).collect() == []
+
+
+def test_batches_read_their_own_shards(spark, tmp_path):
+    root = str(tmp_path / "store")
+    handle = streaming.archive_batch(root)
+    handle(downloads(spark, [("p/", f"http://h/{i}.pdf", None, None, f"text {i}", i) for i in range(300)]), 0)
+    objects = streaming.stored_objects(spark, root)
+    assert objects.count() == 300 and objects.select("shard").distinct().count() == 16
+    shards = sorted(r.shard for r in objects.select("shard").distinct().collect())[:3]
+    few = streaming.stored_objects(spark, root, shards)
+    expected = objects.where(F.col("shard").isin(shards)).count()
+    assert few.count() == expected and {f.split("shard=")[1].split("/")[0] for f in few.inputFiles()} == set(shards)
+    assert streaming.stored_objects(spark, root, []).collect() == []
+    handle(downloads(spark, []), 1)
+    handle(downloads(spark, [("p/", "http://h/x.pdf", None, None, "text 5", 900)]), 2)
+    assert streaming.stored_objects(spark, root).count() == 300
