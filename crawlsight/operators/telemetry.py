@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,8 +165,7 @@ def with_run(points: DataFrame, runs: DataFrame) -> DataFrame:
 def span_tree(spans: DataFrame) -> DataFrame:
     """Depth below the root and self time (duration minus that of the children).
 
-    Depth doubles its reach per round: a span at depth d is done after log2(d)
-    joins. A parent that is not in the data counts as a root.
+    A parent that is not in the data counts as a root; spans on a cycle, and below one, have no depth (NULL).
     """
     children = (
         spans.where(F.col("parent_id").isNotNull())
@@ -177,53 +177,65 @@ def span_tree(spans: DataFrame) -> DataFrame:
         "span_id",
         "name",
         (F.col("seconds") - F.coalesce("child_seconds", F.lit(0.0))).alias("self_seconds"),
+        "parent_id",
     )
-    return times.join(span_depths(spans), ["trace_id", "span_id"], "left")
+    return _below_parents(times, _parent_depths(spans))
 
 
 def span_depths(spans: DataFrame) -> DataFrame:
-    """(trace_id, span_id, depth). The usual tree is three deep: two rounds, one check.
+    """(trace_id, span_id, depth) by the rules of :func:`span_tree`."""
+    return _below_parents(spans.select("trace_id", "span_id", "parent_id"), _parent_depths(spans))
 
-    Each round finishes some spans of every tree that is not done. If a round finishes none, what is
-    left hangs on parents that form a cycle; such spans have no depth (NULL).
+
+def _below_parents(spans: DataFrame, parents: DataFrame) -> DataFrame:
+    """Put the depth in place of ``parent_id``, one below the parent's. Roots take no part in the join."""
+    own = [name for name in spans.columns if name != "parent_id"]
+    roots = spans.where(F.col("parent_id").isNull()).select(*own, F.lit(0).alias("depth"))
+    above = parents.select("trace_id", F.col("span_id").alias("parent_id"), F.col("depth").alias("above"), F.lit(True).alias("found"))
+    below = spans.where(F.col("parent_id").isNotNull()).join(above, ["trace_id", "parent_id"], "left")
+    depth = F.when(F.col("found"), F.col("above") + 1).otherwise(0)
+    return roots.unionByName(below.select(*own, depth.alias("depth")))
+
+
+def _parent_depths(spans: DataFrame) -> DataFrame:
+    """(trace_id, span_id, depth) of the spans that have children; most spans have none and wait for the last join.
+
+    Each round replaces a span's ancestor by that ancestor's own, so a span at depth d is done after log2(d) rounds.
+    A round writes the spans that are still open and no other. If it finishes none, what is left hangs on parents that
+    form a cycle. Of spans with one id, the least parent counts.
     """
     ensure_checkpoint_dir(spans.sparkSession)
-    step = _climb(
-        spans.select(
-            "trace_id",
-            "span_id",
-            F.col("parent_id").alias("up"),
-            F.when(F.col("parent_id").isNull(), 0).otherwise(1).alias("depth"),
-        )
-    )
-    before = None
+    asked = spans.where(F.col("parent_id").isNotNull()).select("trace_id", F.col("parent_id").alias("span_id")).distinct()
+    ups = spans.groupBy("trace_id", "span_id").agg(F.min("parent_id").alias("up"))
+    inner = ups.join(asked, ["trace_id", "span_id"], "left_semi")
+    step = inner.select("trace_id", "span_id", "up", F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth")).checkpoint()
+    done, before = [], None
     while True:
-        step = _climb(step).checkpoint()
-        left = step.where(F.col("up").isNotNull()).count()
+        done.append(step.where(F.col("up").isNull()))
+        step = step.where(F.col("up").isNotNull())
+        left = step.count()
         if left in (0, before):
-            depth = F.when(F.col("up").isNull(), F.col("depth"))
-            return step.select("trace_id", "span_id", depth.alias("depth"))
+            done.append(step.withColumn("depth", F.lit(None).cast("int")))
+            return reduce(DataFrame.unionByName, done).select("trace_id", "span_id", "depth")
         before = left
-
-
-def _climb(step: DataFrame) -> DataFrame:
-    """Replace each span's ancestor by that ancestor's own; spans without one are done and only looked up."""
-    above = step.select(
-        "trace_id",
-        F.col("span_id").alias("up"),
-        F.col("up").alias("next_up"),
-        F.col("depth").alias("more"),
-        F.lit(True).alias("found"),
-    )
-    asked = step.where(F.col("up").isNotNull()).join(above, ["trace_id", "up"], "left")
-    # A parent that is not in the data: its child is a root.
-    climbed = asked.select(
-        "trace_id",
-        "span_id",
-        F.col("next_up").alias("up"),
-        F.when(F.col("found"), F.col("depth") + F.col("more")).otherwise(F.col("depth") - 1).alias("depth"),
-    )
-    return step.where(F.col("up").isNull()).unionByName(climbed)
+        above = reduce(DataFrame.unionByName, [*done, step]).select(
+            "trace_id",
+            F.col("span_id").alias("up"),
+            F.col("up").alias("next_up"),
+            F.col("depth").alias("more"),
+            F.lit(True).alias("found"),
+        )
+        # A parent that is not in the data: its child is a root.
+        step = (
+            step.join(above, ["trace_id", "up"], "left")
+            .select(
+                "trace_id",
+                "span_id",
+                F.col("next_up").alias("up"),
+                F.when(F.col("found"), F.col("depth") + F.col("more")).otherwise(F.col("depth") - 1).alias("depth"),
+            )
+            .checkpoint()
+        )
 
 
 def sample_ratio(setting: str | None) -> float:

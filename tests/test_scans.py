@@ -319,6 +319,32 @@ def test_span_tree_any_depth_and_orphans(spark):
     assert found == {1: None, 2: None, 3: None, 4: None, 10: 0, 11: 1}
 
 
+def test_span_depths_of_random_forests(spark):
+    """Forests, orphans, cycles and spans of no trace against a walk; leaves take no part in the rounds."""
+    rng = random.Random(11)
+    up = {(t, i): rng.choice([None, i - 1, i - 1, rng.randrange(60), 900]) for t in range(8) for i in range(60)}
+
+    def walk(t, i):
+        depth, seen = 0, set()
+        while (t, up[t, i]) in up:
+            if i in seen:
+                return None
+            seen.add(i)
+            depth, i = depth + 1, up[t, i]
+        return depth
+
+    rows = [span(i, parent, trace=t) for (t, i), parent in up.items()]
+    frame = spark.createDataFrame([*rows, span(1, None, trace=None), span(2, 1, trace=None)], schemas.SPANS)
+    found = {(r.trace_id, r.span_id): r.depth for r in telemetry.span_depths(frame).collect()}
+    assert found == {**{key: walk(*key) for key in up}, (None, 1): 0, (None, 2): 0}
+    assert None in found.values() and max(d or 0 for d in found.values()) > 4
+    parents = {(t, p) for (t, _), p in up.items() if (t, p) in up}
+    assert {(r.trace_id, r.span_id) for r in telemetry._parent_depths(frame).collect()} == parents
+    twice = spark.createDataFrame([span(1, None), span(1, None), span(2, 1), span(2, 1)], schemas.SPANS)
+    assert sorted((r.span_id, r.depth) for r in telemetry.span_tree(twice).collect()) == [(1, 0), (1, 0), (2, 1), (2, 1)]
+    assert telemetry.span_tree(frame.limit(0)).collect() == []
+
+
 def test_sampling(spark):
     assert telemetry.sample_ratio(None) == 0.05
     assert telemetry.sample_ratio("always_on") == telemetry.sample_ratio("1.0") == 1.0
