@@ -126,7 +126,10 @@ FROM objects o JOIN downloads d ON d.seq = o.first_seq
 WHERE o.content_key NOT IN (SELECT content_key FROM stored_keyed)""",
 )
 def _(t):
-    rows = archive.content_by_place(placed_downloads(t.spark, t.folder), archive.objects_of(t("stored")))
+    # The derived table "stored", hashed before it meets the labels, so that its bytes are not joined either.
+    keyed = archive.with_keys(t("downloads")).select("content_key", "size", "seq")
+    stored = keyed.join(t("labels").select(F.col("doc_id").alias("seq")), "seq", "left_semi")
+    rows = archive.content_by_place(placed_downloads(t.spark, t.folder), archive.keyed_objects(stored))
     return rows.select("content_key", "size", "first_seq", F.md5("content").alias("content_md5"))
 
 
