@@ -142,14 +142,24 @@ def _ssn(text: str, key: bytes) -> str | None:
 
 
 def _date(text: str, key: bytes) -> str | None:
-    """A day of 1900 to 2099. Day before month where dots or slashes part them, unless only the other order is a day."""
-    for layout in ("%Y-%m-%d",) if text[4] == "-" else (f"%d{text[2]}%m{text[5]}%Y", f"%m{text[2]}%d{text[5]}%Y"):
+    """A day of 1900 to 2099. Day before month where dots or slashes part them, unless only the other order is a day.
+
+    Dates that can only be read month first, those after the 12th, are permuted among themselves: what is written
+    for them can only be read month first too, and is no other date's pseudonym.
+    """
+    layouts = ("%Y-%m-%d",) if text[4] == "-" else (f"%d{text[2]}%m{text[5]}%Y", f"%m{text[2]}%d{text[5]}%Y")
+    for layout in layouts:
         try:
             day = dt.datetime.strptime(text, layout).date().toordinal() - FIRST_DAY
         except ValueError:
             continue
-        if 0 <= day < DAYS:
-            return dt.date.fromordinal(FIRST_DAY + permuted(day, DAYS, key, "date")).strftime(layout)
+        if not 0 <= day < DAYS:
+            continue
+        while True:
+            day = permuted(day, DAYS, key, "date")
+            fresh = dt.date.fromordinal(FIRST_DAY + day)
+            if layout == layouts[0] or fresh.day > 12:
+                return fresh.strftime(layout)
     return None
 
 

@@ -79,6 +79,16 @@ def test_what_is_no_phone_number_stays(text):
     assert one(text) == text
 
 
+def test_no_two_dates_share_a_pseudonym():
+    """All days of the range in both readings, 117,000 texts."""
+    days = [dt.date.fromordinal(private.FIRST_DAY + i) for i in range(private.DAYS)]
+    dates = {d.strftime("%d/%m/%Y") for d in days} | {d.strftime("%m/%d/%Y") for d in days}
+    fresh = {text: private._date(text, KEY) for text in dates}
+    assert set(fresh.values()) == dates
+    assert private._date("04/10/1900", KEY) != private._date("11/13/1900", KEY)
+    assert int(private._date("11/13/1900", KEY)[3:5]) > 12
+
+
 def test_tables(spark):
     rows = cases.odd_rows() + [(900, "mail und.34@mail7.example.com and 97.51.17.173", "en", "s0", 1)] * 2
     docs = cases.table(spark, rows)
