@@ -23,9 +23,10 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a stream of files; its schema comes from the files there now."""
+    """The same table as a stream of files, be it one file or a folder; its schema comes from the files there now."""
     schema = read_table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    # A pattern that fits this name alone: without one the source wants a folder.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def optional_table(spark: SparkSession, path: str, schema: str, base: str | None = None) -> DataFrame:

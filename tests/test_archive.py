@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from crawlsight.operators import archive
 from crawlsight.sources import schemas
-from crawlsight.sources.tables import placed
+from crawlsight.sources.tables import placed, read_stream
 from crawlsight.streaming import archive as streaming
+from crawlsight.streaming.drain import to_parquet
 
 
 def downloads(spark, rows):
@@ -215,3 +216,12 @@ def test_batches_read_their_own_shards(spark, tmp_path):
     handle(downloads(spark, []), 1)
     handle(downloads(spark, [("p/", "http://h/x.pdf", None, None, "text 5", 900)]), 2)
     assert streaming.stored_objects(spark, root).count() == 300
+
+
+def test_streams_of_a_file_and_of_a_folder(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+    spark.range(100).repartition(3).write.parquet(f"{folder}/many.parquet")
+    spark.range(7).toPandas().to_parquet(f"{folder}/one.parquet")
+    for name, rows in (("many", 100), ("one", 7)):
+        to_parquet(read_stream(spark, folder, name), str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"))
+        assert spark.read.parquet(str(tmp_path / name)).count() == rows
