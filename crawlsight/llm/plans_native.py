@@ -48,8 +48,8 @@ def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    told = sketches.edited_fingerprints(docs)
-    return told.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
+    told = sketches.edited_fingerprints(docs, lambda edited: F.sha2(edited.cast("binary"), 256))
+    return told.withColumnRenamed("edited", "edited_sha256")
 
 
 def _host_sql() -> str:

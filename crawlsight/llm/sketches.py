@@ -1,88 +1,46 @@
 """Fingerprints of documents as invertible Bloom lookup tables of paragraph digests.
 
-A text is a set of paragraphs (lines, long ones cut every few words), a paragraph is a 64-bit digest. A
-sketch has three rows of cells; a digest is added to one cell of each row, which counts digests and
-keeps the exclusive or of them and of their check hashes. The difference of two sketches is the sketch of
-the difference of the sets. Peeling takes out digests one by one from cells that hold a single one. If
-it gets stuck, it is tried again with larger sketches. Large sets are split by digest into parts
-of a few digests first, so that no sketch is large. Column functions only: all this happens within a row.
+A paragraph is a run of words that ends with its line, or after a word whose last letter is one of a set,
+so that an edit changes the paragraphs around it and no others. A digest has 48 bits and a check of 16. A sketch has three rows of cells; a digest is added to one cell of each row, which counts
+digests and keeps their exclusive or. Sketches of equal width subtract cell by cell, which leaves the sketch of the
+difference of the sets; peeling takes out a digest wherever a cell holds a single one. A fingerprint holds
+two sketches: one with a cell in each row per digest, and one four times as wide, for a second try when peeling gets stuck.
+
+Cells are rows of a table, and a round of peeling is one aggregation by cell. Documents stay in the
+partition that their slice of ids has put them into, so no round moves a row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Cells in each of the three rows: of the fingerprint, and of the sketches that are peeled, try by try.
-CELLS = 8
-TRIES = (8, 16, 32, 64, 128)
-# Digests in one part, about; documents' ids in one slice of the order of documents.
-PART, SLICE = 8, 1024
-
-
-def digests(text: Column, words: int) -> Column:
-    """The distinct digests of a text's paragraphs, in order."""
-    paragraph = rf"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){{1,{words}}}+"
-    found = F.regexp_extract_all(text, F.lit(paragraph), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda p: F.xxhash64(F.rtrim(p))))
-
-
-def _check(salt: int, digest: Column) -> Column:
-    return F.xxhash64(F.lit(salt), digest)
-
-
-def _added(cells: Column, width: int, sign: Column, digest: Column, check: Column) -> Column:
-    """The cells with a digest added (or taken out, by sign). Its check hash also tells its place in each row."""
-    places = [F.shiftright(check, 8 * row).bitwiseAND(F.lit(width - 1)) + row * width for row in range(3)]
+from ..session import ensure_checkpoint_dir
 
-    def changed(cell: Column, at: Column) -> Column:
-        hit = (at == places[0]) | (at == places[1]) | (at == places[2])
-        return F.when(
-            hit,
-            F.struct(
-                (cell["n"] + sign).alias("n"),
-                cell["digest"].bitwiseXOR(digest).alias("digest"),
-                cell["check"].bitwiseXOR(check).alias("check"),
-            ),
-        ).otherwise(cell)
+# Least width of a sketch's rows, and how much wider that of each try is.
+LEAST, WIDER = 8, (1, 4)
+# Rounds of peeling by try. A round looks at one of the three rows of cells, so three make a pass.
+ROUNDS = (15, 9)
+# Words in a paragraph at most; ids in one slice of the order of documents.
+LONGEST, SLICE = 24, 256
+# A word ends a paragraph if its last character is one of these: one of eight, in Latin, Greek and Cyrillic.
+ENDS = "".join(rf"\u{code:04x}" for code in range(0x21, 0x530) if code % 8 == 3)
 
-    return F.transform(cells, changed)
+# What a row of the peeling table is: a cell of the difference, a cell of the narrower side, a recovered digest.
+MAIN, NARROW, FOUND = 0, 1, 2
+CELL = ["pair", "wide", "narrow", "kind", "cell"]
 
 
-def _empty(width: int) -> Column:
-    zero = F.lit(0).cast("long")
-    return F.array_repeat(F.struct(F.lit(0).alias("n"), zero.alias("digest"), zero.alias("check")), 3 * width)
-
-
-def sketch(signed: Column, width: int, salt: int) -> Column:
-    """The sketch of an array of (sign, digest): of one set if all signs are 1, of a difference otherwise."""
-    marked = F.transform(
-        signed, lambda x: F.struct(x["sign"].alias("sign"), x["digest"].alias("digest"), _check(salt, x["digest"]).alias("check"))
-    )
-    return F.aggregate(marked, _empty(width), lambda cells, x: _added(cells, width, x["sign"], x["digest"], x["check"]))
-
-
-def _peeled(signed: Column, width: int, salt: int) -> Column:
-    """How many digests peeling recovers from the difference; -1 if cells are left over."""
-
-    def step(state: Column, _: Column) -> Column:
-        single = lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(salt, c["digest"]))
-        first = F.slice(F.filter(state["cells"], single), 1, 1)
-        taken = F.transform(
-            first,
-            lambda c: F.struct(
-                _added(state["cells"], width, -c["n"], c["digest"], c["check"]).alias("cells"), (state["found"] + 1).alias("found")
-            ),
-        )
-        return F.coalesce(F.get(taken, F.lit(0)), state)
-
-    def result(state: Column) -> Column:
-        left = F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["digest"] != 0) | (c["check"] != 0))
-        return F.when(left, F.lit(-1)).otherwise(state["found"])
-
-    start = F.struct(sketch(signed, width, salt).alias("cells"), F.lit(0).alias("found"))
-    return F.aggregate(signed, start, step, result)
+def digests(text: Column) -> Column:
+    """The distinct digests of a text's paragraphs."""
+    word, blank = r"[^\x20\x09-\x0D]++", r"[\x20\x09\x0B-\x0D]"
+    goes_on = rf"{word}(?<![{ENDS}]){blank}++"
+    paragraph = rf"(?:{goes_on}){{1,{LONGEST - 1}}}+(?:{word})?+|{word}"
+    found = F.regexp_extract_all(text, F.lit(paragraph), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda p: checked(F.xxhash64(F.rtrim(p, F.lit(" \t\x0b\x0c\r"))))))
 
 
 def _bound(value: Column, use) -> Column:
@@ -90,55 +48,140 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _recovered(signed: Column) -> Column:
-    """The size of the difference within a part: by peeling, with larger sketches until one succeeds."""
+def checked(value: Column) -> Column:
+    """48 bits of a hash and a check of them in the other 16."""
+    upper = value.bitwiseAND(F.lit(~0xFFFF))
+    return upper.bitwiseOR(F.xxhash64(upper).bitwiseAND(F.lit(0xFFFF)))
 
-    def attempt(turn: int) -> Column:
-        if turn == len(TRIES):
-            # Never seen: peeling has failed at every size. Count what has no partner.
-            partner = lambda x: F.exists(signed, lambda y: (y["digest"] == x["digest"]) & (y["sign"] != x["sign"]))
-            return F.size(F.filter(signed, lambda x: ~partner(x)))
-        return _bound(_peeled(signed, TRIES[turn], turn), lambda n: F.when(n >= 0, n).otherwise(attempt(turn + 1)))
 
-    return attempt(0)
+def width(size: Column, turn: int) -> Column:
+    """Cells in a row of a sketch of so many digests: a power of two."""
+    bits = F.length(F.bin(F.greatest(size, F.lit(LEAST)).cast("long") - 1))
+    return F.pow(F.lit(2.0), bits).cast("long") * WIDER[turn]
 
 
-def _parts(signed: Column) -> Column:
-    """An array of arrays: the digests by hash, in two steps, about PART in each."""
-    side = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(signed) / PART))).cast("int")
-    every = F.sequence(F.lit(0), side - 1)
-    at = lambda x, bit: F.pmod(F.shiftrightunsigned(x["digest"], bit), side)
-    coarse = F.transform(every, lambda i: F.filter(signed, lambda x: at(x, 8) == i))
-    return F.flatten(F.transform(coarse, lambda part: F.transform(every, lambda j: F.filter(part, lambda x: at(x, 36) == j))))
+def _cell(digest: Column, wide: Column, row: int, turn: int) -> Column:
+    """The cell of a digest in one row; a cell's number modulo 3 is its row."""
+    return F.xxhash64(F.lit(3 * turn + row), digest).bitwiseAND(wide - 1) * 3 + row
 
 
-def _signed(a: Column, b: Column | None = None) -> Column:
-    mark = lambda digests, sign: F.transform(digests, lambda d: F.struct(F.lit(sign).alias("sign"), d.alias("digest")))
-    return mark(a, 1) if b is None else F.concat(mark(a, 1), mark(b, -1))
-
+def _round(cells: DataFrame, keys: list[str], row: int, turn: int) -> DataFrame:
+    """Take out every digest that is alone in a cell of one row. A digest has one cell there, so none is taken twice."""
+    wide = F.when(F.col("kind") == MAIN, F.col("wide")).otherwise(F.col("narrow"))
+    alone = (
+        (F.col("kind") != FOUND)
+        & (F.col("cell") % 3 == row)
+        & (F.abs("n") == 1)
+        & (checked(F.col("x")) == F.col("x"))
+        & (_cell(F.col("x"), wide, row, turn) == F.col("cell"))
+    )
 
-def difference(a: Column, b: Column) -> Column:
-    """How many digests are in one of two arrays of distinct digests only, found by subtracting sketches and peeling."""
-    return F.aggregate(
-        _bound(_signed(a, b), _parts), F.lit(0), lambda total, part: total + F.when(F.size(part) > 0, _recovered(part)).otherwise(0)
+    # What a row becomes, by number: itself; a digest and what it takes out of two cells; the same in the
+    # narrower sketch, and what it adds to the three cells of the difference. Numbers keep generated code short.
+    after, last = (row + 1) % 3, (row + 2) % 3
+    becomes = F.when(~alone, F.expr("array(0)")).when(F.col("kind") == MAIN, F.expr("array(1, 2, 3)")).otherwise(F.expr("array(2, 3, 4, 5, 6)"))
+    rows = cells.select(*keys, *CELL, "n", "x", F.explode(becomes).alias("j"))
+    j = F.col("j")
+    to_main = (j >= 4) | (F.col("kind") == MAIN)
+    at = F.when(j >= 4, j - 4).when(j == 2, after).otherwise(last)
+    hashed = F.xxhash64(at + 3 * turn, F.col("x")).bitwiseAND(F.when(to_main, F.col("wide")).otherwise(F.col("narrow")) - 1) * 3 + at
+    rows = rows.select(
+        *keys, "pair", "wide", "narrow",
+        F.when(j == 1, FOUND).when(j >= 4, MAIN).otherwise(F.col("kind")).alias("kind"),
+        F.when(j == 0, F.col("cell")).when(j == 1, F.col("x")).otherwise(hashed).alias("cell"),
+        F.when((j == 2) | (j == 3), -F.col("n")).otherwise(F.col("n")).alias("n"),
+        F.when(j == 1, 0).otherwise(F.col("x")).alias("x"),
+    )
+    return _summed(rows, keys)
+
+
+def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    sums = rows.groupBy(*keys, *CELL).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"))
+    return sums.where("n != 0 OR x != 0")
+
+
+def _peeled(cells: DataFrame, keys: list[str], turn: int) -> DataFrame:
+    """Recovered digests as rows of kind FOUND (``cell`` is the digest, ``n`` its side), and cells that are left."""
+    cells = _summed(cells, keys)
+    for i in range(ROUNDS[turn]):
+        cells = _round(cells, keys, i % 3, turn)
+    return cells
+
+
+def _counts(peeled: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, pair, found, left: digests recovered, and (at least) how many are stuck."""
+    # Cells without a count hold a digest of either side.
+    stuck = [
+        F.coalesce(F.sum(F.when((F.col("kind") != FOUND) & (F.col("cell") % 3 == r), F.greatest(F.abs("n"), F.when(F.col("n") == 0, 2).otherwise(1)))), F.lit(0))
+        for r in range(3)
+    ]
+    return peeled.groupBy(*keys, "pair").agg(
+        F.count(F.when(F.col("kind") == FOUND, 1)).alias("found"), F.greatest(*stuck).alias("left")
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Paragraphs in common by paragraphs in either, 0 to 1; 1 for two sets without any."""
-    both = F.size(a) + F.size(b)
-    return _bound(difference(a, b), lambda d: F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d)))
+def _as_pairs(sides: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the peeling table from keys, pair, own, other (widths), sign, cell, n, x."""
+    wide, narrow = F.greatest("own", "other"), F.least("own", "other")
+    return sides.select(
+        *keys,
+        "pair",
+        wide.alias("wide"),
+        narrow.alias("narrow"),
+        F.when(F.col("own") < F.col("other"), NARROW).otherwise(MAIN).alias("kind"),
+        "cell",
+        (F.col("n") * F.col("sign")).cast("long").alias("n"),
+        "x",
+    )
+
 
+def differing(pairs: DataFrame, key: str, left: str = "left", right: str = "right") -> DataFrame:
+    """Subtract fingerprints given as text: key, likeness, only_left, only_right (the digests that peeling recovers), complete.
 
-def fingerprint(a: Column) -> Column:
-    """The smallest sketch as text: number of digests, then count, digest and check of each cell, in hexadecimal."""
-    cells = F.transform(
-        sketch(_signed(a), CELLS, 0),
-        lambda c: F.concat(
-            F.hex(c["n"]), F.lit("."), F.lower(F.hex(c["digest"])), F.lit("."), F.lower(F.hex(F.shiftrightunsigned(c["check"], 32)))
-        ),
+    Nothing but the two texts is read. Pairs whose narrower sketches do not peel are tried again with
+    the wider ones. ``complete`` is false where these are stuck too; ``likeness`` then counts what their
+    cells hold. Keys are taken to be unique; a NULL fingerprint is that of an empty text. An empty table gives no rows.
+    """
+    ensure_checkpoint_dir(pairs.sparkSession)
+    empty = F.lit("0")
+    rows = pairs.select(F.col(key).alias("key"), F.coalesce(left, empty).alias("l"), F.coalesce(right, empty).alias("r"))
+    size = lambda c: F.conv(F.substring_index(c, " ", 1), 16, 10).cast("long")
+    rows = rows.withColumn("nl", size(F.col("l"))).withColumn("nr", size(F.col("r")))
+
+    def attempt(some: DataFrame, turn: int) -> DataFrame:
+        side = lambda c, own, other, sign: F.struct(
+            c.alias("print"), width(own, turn).alias("own"), width(other, turn).alias("other"), F.lit(sign).alias("sign")
+        )
+        both = F.array(side(F.col("l"), F.col("nl"), F.col("nr"), 1), side(F.col("r"), F.col("nr"), F.col("nl"), -1))
+        sides = some.select("key", F.lit(0).alias("pair"), F.inline(both))
+        sides = sides.select("key", "pair", "own", "other", "sign", F.explode(F.split("print", " ")).alias("cell"))
+        part = F.split("cell", "\\.")
+        number = lambda i: F.conv(part[i], 16, -10).cast("long")
+        sides = sides.where((F.size(part) == 4) & (part[0] == str(turn)))
+        sides = sides.select("key", "pair", "own", "other", "sign", number(1).alias("cell"), number(2).alias("n"), number(3).alias("x"))
+        peeled = _peeled(_as_pairs(sides, ["key"]), ["key"], turn)
+        named = lambda sign: F.collect_list(F.when((F.col("kind") == FOUND) & (F.signum("n") == sign), F.col("cell")))
+        only = peeled.groupBy("key").agg(F.array_sort(named(1)).alias("only_left"), F.array_sort(named(-1)).alias("only_right"))
+        return only.join(_counts(peeled, ["key"]).drop("pair"), "key")
+
+    first = attempt(rows, 0).checkpoint()
+    stuck = first.where("left > 0").select("key")
+    second = attempt(rows.join(stuck, "key", "left_semi"), 1)
+    told = first.where("left = 0").unionByName(second)
+    none = F.array().cast("array<bigint>")
+    apart = F.coalesce(F.col("found") + F.col("left"), F.lit(0))
+    return rows.join(told, "key", "left").select(
+        F.col("key").alias(key),
+        likeness(F.col("nl"), F.col("nr"), apart).alias("likeness"),
+        F.coalesce("only_left", none).alias("only_left"),
+        F.coalesce("only_right", none).alias("only_right"),
+        (F.coalesce("left", F.lit(0)) == 0).alias("complete"),
     )
-    return F.concat_ws(" ", F.hex(F.size(a)), F.array_join(cells, " "))
+
+
+def likeness(a: Column, b: Column, apart: Column) -> Column:
+    """Digests in common by digests in either, from both sizes and the size of the difference; 1 for two empty sets."""
+    return F.when(a + b == 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), (a + b - apart) / (a + b + apart)))
 
 
 def _following(rows: DataFrame) -> DataFrame:
@@ -158,7 +201,7 @@ def _following(rows: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, text, slice, following: the text of the next document by ascending id; after the last comes the first.
+    """doc_id, text, following, slice, row: the text of the next document by ascending id; after the last comes the first.
 
     Documents lie in slices of neighbouring ids. The first document of a slice is also put at the end of
     the slice before, so no slice needs to see another.
@@ -173,39 +216,109 @@ def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     ends = ends.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("long").alias("key"), "slice", F.lit(True).alias("end"))
     both = rows.withColumn("end", F.lit(False)).unionByName(ends)
     by_id = Window.partitionBy("slice").orderBy("end", "key", F.xxhash64("text"))
-    return both.withColumn("following", F.lead("text").over(by_id)).where("NOT end").select("doc_id", "text", "following")
+    both = both.withColumn("following", F.lead("text").over(by_id)).withColumn("row", F.row_number().over(by_id))
+    return both.where("NOT end").select("doc_id", "text", "following", "slice", "row")
+
+
+KEYS = ["slice", "row"]
 
 
 def edited_fingerprints(
-    docs: DataFrame, words: int = 24, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, shown: Callable[[Column], Column] = lambda edited: edited, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Fingerprint every text and its edited form: doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The edited text has its last half replaced by the first characters of the next document. ``near_edited`` is
-    the likeness of the text to that, ``near_next`` to the next document: shared paragraphs by all
-    paragraphs of both, recovered from the difference of their sketches. ``words`` is the longest paragraph.
+    The edited text has its last half replaced by the first characters of the next document; ``edited`` is
+    ``shown`` of it. ``near_edited`` is the likeness of the text's fingerprint to that of the edited text, ``near_next`` to that of
+    the next document: shared paragraphs by all paragraphs of both. Each follows from cells of the two
+    fingerprints alone, and ``differing`` gives the same from their texts. Where two sketches of a pair do not peel, the wider ones
+    are subtracted; where these do not either (never seen), what their cells count stands for what is stuck.
 
     NULL and empty texts have no paragraphs; two of them are alike (1.0), and equal texts have equal
     fingerprints. A NULL id comes before all others. Rows that repeat an id stand in the order of a hash of
     their texts and are answered one by one. A single document is its own next. An empty table gives
-    no rows. Other columns do not matter.
+    no rows. Very long texts are whole; their cells are rows, but a fingerprint is one value. Other columns do not matter.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     rows = with_next(docs, doc_id, text)
-    length = F.length("text")
     half = F.expr("length(text) div 2").cast("int")
-    rows = rows.select(
-        "doc_id",
-        length.cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), length - half), F.substring("following", F.lit(1), half)).alias("edited"),
-        digests(F.col("text"), words).alias("a"),
-        digests(F.col("following"), words).alias("c"),
-    ).withColumn("b", digests(F.col("edited"), words))
-    return rows.select(
-        "doc_id",
-        "n_chars",
-        "edited",
-        fingerprint(F.col("a")).alias("fingerprint"),
-        fingerprint(F.col("b")).alias("edited_fingerprint"),
-        likeness(F.col("a"), F.col("b")).alias("near_edited"),
-        likeness(F.col("a"), F.col("c")).alias("near_next"),
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("following", F.lit(1), half))
+    rows = rows.withColumn("edited", edited)
+    first = _counts(_peeled(_pairs(rows, 0), KEYS, 0), KEYS).checkpoint()
+    # Rows of a slice are told together, so that texts need not move to meet them.
+    stuck = first.where("left > 0").groupBy("slice").agg(F.collect_set("row").alias("stuck"))
+    again = rows.join(stuck, "slice").where(F.array_contains("stuck", F.col("row"))).drop("stuck")
+    second = _counts(_peeled(_pairs(again, 1), KEYS, 1), KEYS).checkpoint()
+    return _printed(rows, first, second, shown)
+
+
+def _three() -> Column:
+    """The digests of a row's text, its edited text and the next text."""
+    return F.array(*[digests(F.col(name)) for name in ("text", "edited", "following")])
+
+
+def _pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """The peeling table of text and edited text (pair 0), and of text and next text (pair 1)."""
+    widths = [f"w{i}" for i in range(3)]
+
+    def of_sides(sets: Column) -> Column:
+        sized = [width(F.size(sets[i]), turn).alias(name) for i, name in enumerate(widths)]
+        return F.array(*[F.struct(F.lit(i).alias("side"), sets[i].alias("set"), *sized) for i in range(3)])
+
+    sides = rows.select(*KEYS, F.inline(_bound(_three(), of_sides)))
+    sides = sides.withColumn("own", F.element_at(F.array(*widths), F.col("side") + 1))
+    digest = sides.select(*KEYS, *widths, "side", "own", F.explode("set").alias("digest"))
+    each = F.array(*[_cell(F.col("digest"), F.col("own"), r, turn) for r in range(3)])
+    placed = digest.select(*KEYS, *widths, "side", "own", "digest", F.explode(each).alias("cell"))
+    # The sketches of the three texts, which are those of their fingerprints.
+    cells = placed.groupBy(*KEYS, *widths, "side", "own", "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("digest").alias("x"))
+    part = lambda pair, other, sign: F.struct(F.lit(pair).alias("pair"), F.col(other).alias("other"), F.lit(sign).alias("sign"))
+    parts = (
+        F.when(F.col("side") == 0, F.array(part(0, "w1", 1), part(1, "w2", 1)))
+        .when(F.col("side") == 1, F.array(part(0, "w0", -1)))
+        .otherwise(F.array(part(1, "w0", -1)))
+    )
+    return _as_pairs(cells.select(*KEYS, "own", "cell", "n", "x", F.inline(parts)), KEYS)
+
+
+def _printed(rows: DataFrame, first: DataFrame, second: DataFrame, shown: Callable[[Column], Column]) -> DataFrame:
+    """The result, from texts and the sizes of their differences."""
+    # Both pairs of a row are tried again where one is stuck.
+    told = first.where("left = 0").unionByName(second).groupBy(*KEYS, "pair").agg(F.min_by(F.col("found") + F.col("left"), "left").alias("apart"))
+    told = told.groupBy("slice").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("row", "pair"), "apart"))).alias("told"))
+    rows = rows.join(told, "slice", "left").withColumn("edited_shown", shown(F.col("edited")))
+    apart = [F.coalesce(F.col("told")[F.struct(F.col("row"), F.lit(pair).alias("pair"))], F.lit(0)).alias(f"apart{pair}") for pair in (0, 1)]
+    rows = rows.select(*KEYS, "doc_id", F.length("text").cast("long").alias("n_chars"), "edited_shown", *apart, "text", "edited", "following")
+    widths = [f"w{turn}" for turn in range(len(WIDER))]
+
+    def lines_of(sets: Column) -> Column:
+        size = [F.size(sets[i]) for i in range(3)]
+        near = [likeness(size[0], size[pair + 1], F.col(f"apart{pair}")) for pair in (0, 1)]
+        about = F.struct(
+            "doc_id", "n_chars", F.col("edited_shown").alias("edited"),
+            size[0].alias("n0"), size[1].alias("n1"), near[0].alias("near_edited"), near[1].alias("near_next"),
+        )
+        wide = lambda of: [width(of, turn).alias(name) for turn, name in enumerate(widths)]
+        # What is known of a document is one more row beside its digests, so that it needs no join to meet its cells.
+        lines = [F.struct(F.lit(i).alias("side"), sets[i].alias("set"), *wide(size[i]), F.when(F.lit(False), about).alias("about")) for i in (0, 1)]
+        last = F.struct(F.lit(2).alias("side"), F.array(F.lit(0).cast("long")).alias("set"), *wide(F.lit(0)), about.alias("about"))
+        return F.array(*lines, last)
+
+    lines = rows.select(*KEYS, F.inline(_bound(_three(), lines_of)))
+    lines = lines.select(*KEYS, "side", "about", *widths, F.explode("set").alias("x"))
+    cell = lambda turn, r: F.struct(F.lit(turn).alias("turn"), _cell(F.col("x"), F.col(widths[turn]), r, turn).alias("cell"))
+    none = F.array(F.struct(F.lit(-1).alias("turn"), F.lit(-1).cast("long").alias("cell")))
+    every = F.array(*[cell(turn, r) for turn in range(len(WIDER)) for r in range(3)])
+    cells = lines.select(*KEYS, "side", "about", "x", F.inline(F.when(F.col("side") == 2, none).otherwise(every)))
+    cells = cells.groupBy(*KEYS, "side", "about", "turn", "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("x").alias("x"))
+    entry = F.struct("turn", "cell", F.concat_ws(".", F.hex("turn"), F.hex("cell"), F.hex("n"), F.lower(F.hex("x"))).alias("as_text"))
+    whole = cells.groupBy(*KEYS).agg(
+        F.first("about", ignorenulls=True).alias("about"),
+        *[F.array_sort(F.collect_list(F.when(F.col("side") == side, entry))).alias(f"cells{side}") for side in (0, 1)],
     )
+    text = lambda side: F.concat_ws(" ", F.hex(f"about.n{side}"), F.array_join(F.col(f"cells{side}")["as_text"], " "))
+    return whole.select(
+        "about.doc_id", "about.n_chars", "about.edited",
+        text(0).alias("fingerprint"), text(1).alias("edited_fingerprint"),
+        "about.near_edited", "about.near_next",
+    )

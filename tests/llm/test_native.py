@@ -1,6 +1,5 @@
 """Operators of column functions: host rules, licences, mixing, fingerprints."""
 
-import hashlib
 import random
 import re
 
@@ -235,14 +234,34 @@ def max_source(rows):
     return min(total, key=lambda s: (-total[s], s))
 
 
-def paragraphs(text, words):
-    return {m[0].rstrip(" ") for m in re.finditer(rf"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){{1,{words}}}", text or "")}
+def paragraphs(text):
+    """Words up to a line's end, a last letter of the set, or the greatest length."""
+    found = set()
+    for line in (text or "").split("\n"):
+        run = []
+        words = [(m[0], m.end() == len(line)) for m in re.finditer(r"[^\x20\x09-\x0D]+", line)]
+        blanks = re.findall(r"[\x20\x09\x0B-\x0D]+", line.lstrip("\x20\x09\x0B\x0C\x0D"))
+        for i, (word, _) in enumerate(words):
+            run.append(word)
+            code = ord(word[-1])
+            if i == len(words) - 1 or len(run) == 2 * sketches.LONGEST - 1 or (0x21 <= code < 0x530 and code % 8 == 3):
+                found.add("".join(run))
+                run = []
+            else:
+                run.append(blanks[i])
+    return found
+
+
+def near(a, b):
+    a, b = paragraphs(a), paragraphs(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
 
 
 def test_fingerprints(spark):
     rows = [r for r in cases.odd_rows() if r[0] is not None]
     rows = list({r[0]: r for r in rows}.values())
-    found = {r.doc_id: r for r in sketches.edited_fingerprints(cases.table(spark, rows), words=5).collect()}
+    told = sketches.edited_fingerprints(cases.table(spark, rows)).persist()
+    found = {r.doc_id: r for r in told.collect()}
     assert len(found) == len(rows)
     rows.sort()
     prints = {}
@@ -252,11 +271,20 @@ def test_fingerprints(spark):
         edited = text[: len(text) - half] + after[:half]
         r = found[doc]
         assert r.edited == edited and r.n_chars == len(text)
-        for near, other in ((r.near_edited, edited), (r.near_next, after)):
-            a, b = paragraphs(text, 5), paragraphs(other, 5)
-            assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+        assert r.near_edited == pytest.approx(near(text, edited)) and r.near_next == pytest.approx(near(text, after))
         assert prints.setdefault(text, r.fingerprint) == r.fingerprint
         assert prints.setdefault(edited, r.edited_fingerprint) == r.edited_fingerprint
+    # The same from the two fingerprints alone.
+    again = sketches.differing(told.select("doc_id", "fingerprint", "edited_fingerprint"), "doc_id", "fingerprint", "edited_fingerprint")
+    assert all(r.complete and r.likeness == pytest.approx(found[r.doc_id].near_edited) for r in again.collect())
+
+
+def test_one_word_changes_few_paragraphs(spark):
+    r = random.Random(3)
+    line = " ".join("".join(r.choice("aeidlmnorstuk") for _ in range(5)) for _ in range(240))
+    rows = [(1, "word " + line, "en", "s", 0), (2, line, "en", "s", 0)]
+    found = sketches.edited_fingerprints(cases.table(spark, rows)).where("doc_id = 1").first()
+    assert found.near_next == pytest.approx(near(rows[0][1], line)) and found.near_next > 0.8
 
 
 def test_fingerprints_of_odd_tables(spark):
@@ -267,17 +295,24 @@ def test_fingerprints_of_odd_tables(spark):
     assert [(r.edited, r.near_next) for r in one] == [("abab", 1.0)]
 
 
-def test_peeling_recovers_differences_of_any_size(spark):
-    r = random.Random(1)
-    number = lambda: int.from_bytes(hashlib.md5(str(r.random()).encode()).digest()[:8], "little", signed=True)
+def test_fingerprints_give_back_the_differing_digests(spark):
     rows = []
-    for n in (0, 1, 5, 30, 300):
+    for n in (0, 1, 5, 30, 700):
         for common in (0, 7, 200):
-            shared = [number() for _ in range(common)]
-            rows.append((n, shared + [number() for _ in range(n)], shared + [number() for _ in range(n // 2)]))
-    frame = spark.createDataFrame(rows, "n long, a array<long>, b array<long>")
-    found = frame.select("n", sketches.difference(F.col("a"), F.col("b")).alias("d")).collect()
-    assert all(r.d == r.n + r.n // 2 for r in found)
+            shared = [f"c{i}a" for i in range(common)]
+            rows.append((len(rows), "\n".join(shared + [f"l{i}a" for i in range(n)]), "\n".join(shared + [f"r{i}a" for i in range(n // 9)])))
+    texts = spark.createDataFrame([(2 * i + k, t, "en", "s", 0) for i, *both in rows for k, t in enumerate(both)], cases.SCHEMA)
+    prints = sketches.edited_fingerprints(texts).select("doc_id", "fingerprint")
+    sides = [prints.where(F.col("doc_id") % 2 == k).select(F.expr("doc_id div 2").alias("pair"), F.col("fingerprint").alias(name)) for k, name in ((0, "left"), (1, "right"))]
+    found = {r.pair: r for r in sketches.differing(sides[0].join(sides[1], "pair"), "pair").collect()}
+    known = lambda text: {r[0] for r in spark.createDataFrame([(text,)], "t string").select(F.explode(sketches.digests(F.col("t")))).collect()}
+    for i, left, right in rows:
+        a, b = known(left), known(right)
+        assert found[i].complete and (set(found[i].only_left), set(found[i].only_right)) == (a - b, b - a)
+        assert found[i].likeness == pytest.approx(near(left, right))
+    assert sketches.differing(prints.limit(0), "doc_id", "fingerprint", "fingerprint").collect() == []
+    odd = spark.createDataFrame([(1, None, None), (2, None, "0")], "pair long, left string, right string")
+    assert [r.likeness for r in sketches.differing(odd, "pair").collect()] == [1.0, 1.0]
 
 
 def test_order_of_documents_across_slices(spark):
