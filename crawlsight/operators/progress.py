@@ -113,11 +113,12 @@ def interval_counts(happened: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> Dat
     )
 
 
-def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> DataFrame:
+def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS, digits: int | None = None) -> DataFrame:
     """State of each run at the end of every interval from its first to its last activity, quiet ones included.
 
     The window holds one row per interval of a run in which something happened, however much. A quiet interval
-    repeats the snapshot before it: those rows are made after the sums, and never shuffled.
+    repeats the snapshot before it: those rows are made after the sums, and never shuffled. ``digits`` rounds the
+    rates, once for all the intervals that repeat them.
     """
     along = Window.partitionBy("run_id").orderBy("snapshot_at")
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -132,9 +133,13 @@ def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> Dat
         minutes.alias("minutes"),
         F.coalesce(until_next.cast("long"), F.lit(1)).alias("until_next"),
     )
-    told = summed.withColumns(
-        {"requests_per_minute": F.try_divide(F.col("completed"), F.col("minutes")), "status": run_status(), "at": F.unix_micros("snapshot_at")}
-    )
+    rate = F.try_divide(F.col("completed"), F.col("minutes"))
+    told = summed.select(
+        "run_id", "done_here", *COUNTS, "until_next",
+        (rate if digits is None else F.round(rate, digits)).alias("requests_per_minute"),
+        run_status().alias("status"),
+        F.unix_micros("snapshot_at").alias("at"),
+    )
     # The rows are few here and many below: a run with long gaps is dealt out to all tasks first.
     told = told.repartition(int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id", "at")
     every = counted_out(told, F.col("until_next"), "quiet")
@@ -149,7 +154,11 @@ def running_totals(intervals: DataFrame, seconds: int = SNAPSHOT_SECONDS) -> Dat
 
 
 def progress_windows(
-    requests: DataFrame, results: DataFrame | None = None, errors: DataFrame | None = None, seconds: int = SNAPSHOT_SECONDS
+    requests: DataFrame,
+    results: DataFrame | None = None,
+    errors: DataFrame | None = None,
+    seconds: int = SNAPSHOT_SECONDS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Whole snapshots at the end of every interval: status, counts of requests, results and errors, rate so far."""
-    return running_totals(interval_counts(activity(requests, results, errors), seconds), seconds)
+    return running_totals(interval_counts(activity(requests, results, errors), seconds), seconds, digits)

@@ -372,8 +372,11 @@ PROGRESS_COUNTS = """count(*) AS total, count(*) FILTER (status = 'completed') A
 STATUS_OF = """CASE WHEN {total} = {pending} THEN 'waiting' WHEN {pending} + {in_progress} > 0 THEN 'running' ELSE 'settled' END"""
 
 
+RATE_DIGITS = 9
+
+
 def rounded_rate(snapshots):
-    return snapshots.withColumn("requests_per_minute", F.round("requests_per_minute", 9))
+    return snapshots.withColumn("requests_per_minute", F.round("requests_per_minute", RATE_DIGITS))
 
 
 @query(
@@ -437,4 +440,4 @@ FROM f"""
 
 @query("progress_windows", PROGRESS_TABLES, PROGRESS_WINDOWS)
 def _(t):
-    return rounded_rate(progress.progress_windows(*t(*PROGRESS_TABLES)))
+    return progress.progress_windows(*t(*PROGRESS_TABLES), digits=RATE_DIGITS)

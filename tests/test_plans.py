@@ -64,3 +64,9 @@ def test_a_huge_run_becomes_several_files(spark, tmp_path):
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "out" / "schema=s").iterdir()}
     assert files["run_id=hot"] > 2
     assert spark.read.parquet(str(tmp_path / "out")).count() == 400_000
+
+
+def test_rates_are_rounded_before_quiet_intervals_are_made(spark, small):
+    text = plan(contract.queries()["progress_windows"](spark, small))
+    # A plan is written from its end: what is below the last Generate runs before it.
+    assert text.rindex("Generate") < text.index("round(")
