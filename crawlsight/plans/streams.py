@@ -13,7 +13,7 @@ from ..streaming import timers, windows
 from ..streaming.drain import drained_latest
 from .archive import KEYED, OBJECTS
 from .registry import ORACLES, query
-from .runs import PROGRESS_TABLES, PROGRESS_WINDOWS, rounded_rate
+from .runs import PROGRESS_TABLES, PROGRESS_WINDOWS, RATE_DIGITS
 from .triggers import CHILDREN, DAY, HOUR
 
 #: The quantiles of telemetry, by column.
@@ -29,7 +29,7 @@ def _(t):
     intervals = drained_latest(
         windows.progress_stream(*(stream(t, name) for name in PROGRESS_TABLES)), "progress", ["run_id", "snapshot_at"]
     )
-    return rounded_rate(progress.running_totals(intervals))
+    return progress.running_totals(intervals, digits=RATE_DIGITS)
 
 
 @query(

@@ -70,3 +70,8 @@ def test_rates_are_rounded_before_quiet_intervals_are_made(spark, small):
     text = plan(contract.queries()["progress_windows"](spark, small))
     # A plan is written from its end: what is below the last Generate runs before it.
     assert text.rindex("Generate") < text.index("round(")
+
+
+def test_the_stream_of_snapshots_rounds_before_quiet_intervals_are_made(spark, small):
+    text = plan(contract.queries()["progress_stream"](spark, small))
+    assert text.rindex("Generate") < text.index("round(")
