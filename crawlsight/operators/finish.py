@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import optional_table, write_reports, write_runs
+from ..sources.tables import optional_table, publish_runs, read_runs, write_reports
 from .archive import archive_once, archive_verify, integrity_check, require_none
 from .runs import run_report
 
@@ -41,9 +41,8 @@ def archive_finished(
     require_none(issues, "integrity check failed", f"{attempt}/issues")
     checks = None
     for name, table in mine.items():
-        write_runs(table, f"{root}/{name}")
-        # The schema is given, as a table without any rows leaves no file to read it from.
-        archive = spark.read.schema(table.schema).parquet(f"{root}/{name}")
+        publish_runs(table, f"{root}/{name}")
+        archive = read_runs(spark, f"{root}/{name}", table.schema)
         stored = archive.join(keys, ["schema", "run_id"], "left_semi")
         each = archive_verify(_row_counts(table, name), _row_counts(stored, name))
         checks = each if checks is None else checks.unionByName(each)

@@ -8,7 +8,7 @@ from ..functions import keys
 from ..operators import archive
 from ..session import delete_dir, fresh_dir
 from ..sources.derive import placed_downloads
-from ..sources.tables import list_objects, write_runs
+from ..sources.tables import list_objects, publish_runs, read_runs
 from .registry import query
 
 EXTENSION = """lower(regexp_extract(regexp_extract(regexp_replace(regexp_replace(regexp_extract({url},
@@ -306,9 +306,8 @@ def _(t):
     """Publish the requests of all runs and read the archive back."""
     requests = t("requests").join(t("runs").select("run_id", "schema"), "run_id")
     path = fresh_dir(t.spark, "archive-requests")
-    write_runs(requests, path)
-    # The schema is given: a run's folder may look like a number.
-    stored = t.spark.read.schema(requests.schema).parquet(path)
+    publish_runs(requests, path)
+    stored = read_runs(t.spark, path, requests.schema)
     return stored.groupBy("schema", "run_id").agg(
         F.count("*").alias("requests"), F.sum("id").alias("id_sum")
     )
