@@ -1,12 +1,14 @@
-"""Mixing sources to target weights by fair scheduling.
-
-A source is a queue of blocks of equal size, and every slot holds one block. A Huffman tree over the
-weights deals out the slots: of the first n slots of a node, its left child gets n * weight / (weight of
-the node), rounded to the nearest whole number, and the right child gets the others. So a queue's blocks
-before any slot, and the slot of any block, are known from numbers alone, and no task ever walks the
-queues. A node's error reaches a queue below in proportion to their weights. Weights in a Huffman tree
-grow like the Fibonacci numbers towards the root, so that a queue is off its share by less than half
-the sum of their inverses: 1.68 blocks, at every slot and for any weights.
+"""Mixing sources to target weights by Pfair scheduling.
+
+A source is a queue of blocks of equal size, and every slot holds one block. A queue's line says how many blocks it is due
+at any slot: it rises by the queue's weight, and when a queue has ended the others share its weight in proportion. All lines
+together rise by one block a slot. A block is released at the last slot at which the line has not passed its beginning, and is due
+at the first at which the line has reached its end; a slot goes to the released block that is due first. Each block gets a slot
+within its window, so that a queue is off its line by less than one block, before every slot.
+
+Lines are whole numbers, a few per queue and end of a queue, and give the window of any block. The walk along the slots is cut
+into periods: a first walk, ``TOGETHER`` periods a job, keeps only how many blocks each queue has had at the period's edges,
+and then each period is scheduled by a task of its own. A slot stands for a whole block, so documents are never walked.
 """
 
 from __future__ import annotations
@@ -27,12 +29,117 @@ SLICE = 4096
 
 # Weights are whole numbers of this unit, so that products of two stay within 64 bits.
 UNIT = 1 << 30
+# Slots in a period, the unit that a task schedules, and periods in one job of the walk that finds their edges.
+PERIOD, TOGETHER = 4096, 16
+LINES = "one int, q array<struct<queue: string, blocks: long, line: array<struct<slot: long, at: long, share: long>>>>"
 SCHEDULE = "queue string, share long, whole long, steps array<struct<own: long, whole: long, left: boolean>>"
 
 
+def _shared(weights: list[float], units: int) -> list[int]:
+    """``units`` in proportion to ``weights``, one at least to each; the largest takes what rounding leaves."""
+    total = sum(weights)
+    if not total > 0:
+        weights, total = [1.0] * len(weights), float(len(weights))
+    shares = [max(1, int(weight / total * units)) for weight in weights]
+    while over := sum(shares) - units:
+        largest = max(shares)
+        shares[shares.index(largest)] -= min(over, largest - 1)
+    return shares
+
+
+def lines(weights: list[float], blocks: list[int]) -> list[list[tuple[int, int, int]]]:
+    """Each queue's line as (slot, at, share): from ``slot`` on it rises from ``at`` by ``share`` a slot, in UNITs of a block.
+
+    A row for the beginning and at most two for each queue's end: the last slot of a queue may be due less than
+    its share, and then the others take the rest of that slot.
+    """
+    rest = [count * UNIT for count in blocks]
+    found: list[list[tuple[int, int, int]]] = [[] for _ in blocks]
+    slot = 0
+    while any(rest):
+        alive = [i for i, left in enumerate(rest) if left]
+        share = dict(zip(alive, _shared([weights[i] for i in alive], UNIT)))
+        slots = min(rest[i] // share[i] for i in alive)
+        if slots == 0:
+            slots, ending = 1, {}
+            while over := [i for i in share if share[i] > rest[i]]:
+                ending |= {i: rest[i] for i in over}
+                others = [i for i in share if i not in over]
+                share = dict(zip(others, _shared([weights[i] for i in others], UNIT - sum(ending.values()))))
+            share |= ending
+        for i in alive:
+            found[i].append((slot, blocks[i] * UNIT - rest[i], share[i]))
+            rest[i] -= slots * share[i]
+            if not rest[i]:
+                found[i].append((slot + slots, blocks[i] * UNIT, 0))
+        slot += slots
+    return found
+
+
+def _ceil(a: str, b: str) -> str:
+    return f"(({a} + {b} - 1) div {b})"
+
+
+def _windows() -> Column:
+    """Of a row's queues ``q``, which have had ``next`` blocks: release and deadline of all blocks that can have a slot before ``b``."""
+    released = f"get(transform(array(element_at(filter(c.line, p -> p.slot <= b), -1)), p -> {_ceil('p.at + p.share * (b - p.slot)', f'{UNIT}L')}), 0)"
+    release = f"get(transform(array(element_at(filter(c.line, p -> p.at <= k * {UNIT}L), -1)), p -> p.slot + (k * {UNIT}L - p.at) div p.share), 0)"
+    due = f"get(transform(array(element_at(filter(c.line, p -> p.at < (k + 1) * {UNIT}L), -1)), p -> p.slot + {_ceil(f'(k + 1) * {UNIT}L - p.at', 'p.share')}), 0)"
+    window = f"named_struct('block', k, 'release', {release}, 'deadline', {due})"
+    # A line ends at the queue's last block, so none beyond is released.
+    blocks = f"IF({released} > next[i], sequence(next[i], {released} - 1), cast(array() AS array<bigint>))"
+    return F.expr(f"transform(q, (c, i) -> transform({blocks}, k -> {window}))")
+
+
+# The queue that has slot t, where the queues have had p blocks of their windows w: released, and due first.
+_TURN = "array_min(transform(w, (x, i) -> IF(get(x, p[i]).release <= t, named_struct('deadline', get(x, p[i]).deadline, 'i', i), NULL))).i"
+_NONE_YET = "transform(w, x -> 0)"
+_SERVED = "transform(p, (n, i) -> IF(i = f, n + 1, n))"
+
+
+def slots(
+    spark: SparkSession, weights: dict[str, float], blocks: dict[str, int], period: int = PERIOD, together: int = TOGETHER
+) -> DataFrame:
+    """queue, block, slot, release, deadline: earliest deadline first, one row per block; slots are gapless.
+
+    ``weights`` are in any proportion, as given to one part in UNIT; the least share is one of UNIT while another queue has
+    weight. ``blocks`` has every queue's number of blocks. The result does not depend on ``period`` and ``together``.
+    """
+    names = sorted(blocks)
+    drawn = lines([weights[name] for name in names], [blocks[name] for name in names])
+    q = spark.createDataFrame([(0, [(name, blocks[name], line) for name, line in zip(names, drawn)])], LINES)
+    whole, starts = sum(blocks.values()), "one int, a long, b long, next array<long>"
+
+    def windows(rows: list[tuple]) -> DataFrame:
+        # One row, of a few numbers per queue and end of a queue.
+        return spark.createDataFrame(rows, starts).join(F.broadcast(q), "one").withColumn("w", _windows())
+
+    inner = f"aggregate(sequence(a + j * {period}, least(a + (j + 1) * {period}, b) - 1), s.p, (p, t) -> get(transform(array({_TURN}), f -> {_SERVED}), 0))"
+    edges = f"""aggregate(sequence(0L, {_ceil("b - a", str(period))} - 1), named_struct('p', {_NONE_YET}, 'edges', array({_NONE_YET})),
+        (s, j) -> get(transform(array({inner}), x -> named_struct('p', x, 'edges', concat(s.edges, array(x)))), 0)).edges"""
+    served, periods = [0] * len(names), []
+    for a in range(0, whole, period * together):
+        b = min(whole, a + period * together)
+        # A row per job, of a number per queue and period.
+        found = windows([(0, a, b, served)]).select(F.expr(edges).alias("edges")).first().edges
+        states = [[n + more for n, more in zip(served, edge)] for edge in found]
+        periods += [(0, at, min(b, at + period), state) for at, state in zip(range(a, b, period), states)]
+        served = states[-1]
+    turn = f"get(transform(array({_TURN}), f -> named_struct('p', {_SERVED}, 'order', array_append(s.order, named_struct('i', f, 'window', get(w[f], p[f]))))), 0)"
+    none = "cast(array() AS array<struct<i: int, window: struct<block: bigint, release: bigint, deadline: bigint>>>)"
+    order = f"aggregate(sequence(a, b - 1), named_struct('p', {_NONE_YET}, 'order', {none}), (s, t) -> get(transform(array(s.p), p -> {turn}), 0)).order"
+    rows = windows(periods).select("a", "q", F.posexplode(F.expr(order)).alias("n", "turn"))
+    return rows.select(
+        F.expr("q[turn.i].queue").alias("queue"), "turn.window.block", (F.col("a") + F.col("n")).alias("slot"),
+        "turn.window.release", "turn.window.deadline",
+    )
+
+
 def schedule(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
-    """SCHEDULE: each queue's share of ``whole`` and its way to the root of the tree; a row per queue.
+    """SCHEDULE: each queue's share of ``whole`` and its way to the root of a Huffman tree; a row per queue.
 
+    A plainer rule than ``slots``, for queues without end, and not used by ``mix``: of the first n slots of a node, its left child gets
+    n * weight / (weight of the node), rounded to the nearest, so that ``slot_of`` needs no walk. A queue is off its share by less than 1.68 blocks.
     ``weights`` are in any proportion. The least share is one of UNIT; a queue of weight 0 has it.
     """
     total = sum(weights.values()) or 1.0
@@ -58,7 +165,7 @@ def _scaled(x: Column, times: Column, by: Column) -> tuple[Column, Column]:
 
 
 def slot_of(block: Column) -> Column:
-    """The slot of a block of the queue whose SCHEDULE is in the row."""
+    """The slot of a block of the queue whose SCHEDULE is in the row. ``mix`` has its slots from ``slots``."""
 
     def up(place: Column, step: Column) -> Column:
         low, rest = _scaled(place * 2 + 1, step["whole"], step["own"] * 2)
@@ -138,7 +245,7 @@ def mix(
     weights: dict[str, float] | None = None,
     exponent: float = 0.7,
     block: int = 65536,
-    period: int = 1000,
+    period: int = PERIOD,
     most_queues: int = 256,
     seed: int = 0,
     keep: tuple[str, ...] = ("doc_id",),
@@ -153,9 +260,9 @@ def mix(
     Reading all documents by (slot, start) gives the mixture. ``weights`` names the target shares of
     sources (one that is not named has the least share, one of UNIT); without it a source weighs its characters
     to the power ``exponent``, which lifts small sources. The targets hold until the first queue has
-    ended; its later slots are skipped, and the others go on in proportion. Before every slot, a queue
-    is off its target by less than 7/4 blocks: slot lies from ``release`` to before ``deadline``, by the
-    targets as given. ``period`` has no effect, as nothing is repeated.
+    ended; the others then share its weight in proportion. Before every slot, a queue is off its target by less
+    than one block: slot lies from ``release`` to before ``deadline`` (see ``slots``). ``period`` is the number of slots
+    that one task schedules; it does not bear on the result.
 
     Every document is kept. The ``most_queues`` sources of most weight have a queue each. All others share
     one, which weighs what they weigh together, so that the schedule is small whatever the number of
@@ -163,11 +270,11 @@ def mix(
     NULL texts are empty, NULL ids are put in by the hash of NULL. Repeated rows stay and follow
     each other. An empty table gives no rows. Other columns do not matter unless ``keep`` names them.
     """
-    timed = _timed(docs, keep, weights, exponent, block, most_queues, seed, doc_id, text, source)
+    timed = _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_id, text, source)
     return timed.select("row.*", "queue", "start", "block", "slot", "release", "deadline")
 
 
-def _timed(docs, keep, weights, exponent, block, most_queues, seed, doc_id, text, source) -> DataFrame:
+def _timed(docs, keep, weights, exponent, block, period, most_queues, seed, doc_id, text, source) -> DataFrame:
     """As ``mix``, with the kept columns in one column ``row``."""
     rows = docs.select(
         F.struct(*keep).alias("row"),
@@ -193,26 +300,33 @@ def _timed(docs, keep, weights, exponent, block, most_queues, seed, doc_id, text
 
     queues = named(sources).groupBy("queue").agg(*[F.sum(x).alias(x) for x in ("rows", "total", "weight")])
     # A row per queue, at most ``most_queues`` and one.
-    told = {r.queue: r.weight for r in queues.select("queue", "weight").collect()}
+    told = {r.queue: r for r in queues.collect()}
+    # Documents without text at the end of a queue begin where its last block may have ended.
+    blocks = {queue: r.total // block + 1 for queue, r in told.items()}
+    dealt = slots(docs.sparkSession, {queue: r.weight for queue, r in told.items()}, blocks, period).checkpoint()
 
     slices = queues.select("queue", F.greatest(F.lit(1), F.ceil(F.col("rows") / SLICE)).cast("long").alias("slices"))
     # As many rows as there are queues.
     placed = rows.join(F.broadcast(slices), "queue").withColumn("slice", F.pmod(F.shiftrightunsigned("key", 20), "slices"))
     parts = placed.groupBy("queue", "slice").agg(F.sum("size").alias("size"))
     earlier = Window.partitionBy("queue").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("queue", "slice", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    parts = parts.select("queue", "slice", "size", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    # The slots of a slice's blocks go to its documents with the slice's place.
+    held = parts.withColumn("block", F.explode(F.expr(f"sequence(before div {block}, (before + size) div {block})")))
+    turn = F.struct("block", "slot", "release", "deadline")
+    parts = (
+        held.join(dealt, ["queue", "block"])
+        .groupBy("queue", "slice", "before")
+        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    )
     inside = Window.partitionBy("queue", "slice").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         placed.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(parts, ["queue", "slice"])
         .withColumn("start", F.col("before") + F.col("within"))
-        .withColumn("block", F.expr(f"start div {block}"))
-    )
-    timed = placed.join(F.broadcast(schedule(docs.sparkSession, told)), "queue")
-    release, deadline = window_of(F.col("block"))
-    return timed.select(
-        "row", "queue", "start", "block", slot_of(F.col("block")).alias("slot"), release.alias("release"), deadline.alias("deadline")
     )
+    turn = F.expr(f"get(turns, int(start div {block} - before div {block}))")
+    return placed.select("row", "queue", "start", turn.alias("turn")).select("row", "queue", "start", "turn.*")
 
 
 def mixed_order(
@@ -220,7 +334,7 @@ def mixed_order(
     weights: dict[str, float] | None = None,
     exponent: float = 0.7,
     block: int = 65536,
-    period: int = 1000,
+    period: int = PERIOD,
     most_queues: int = 256,
     seed: int = 0,
     doc_id: str = "doc_id",
@@ -228,7 +342,7 @@ def mixed_order(
     source: str = "source",
 ) -> DataFrame:
     """``docs`` in the order of the mixture (see ``mix``), across and within partitions; columns as they were."""
-    timed = _timed(docs, ("*",), weights, exponent, block, most_queues, seed, doc_id, text, source)
+    timed = _timed(docs, ("*",), weights, exponent, block, period, most_queues, seed, doc_id, text, source)
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = timed.repartitionByRange(count, "slot", "start").sortWithinPartitions("slot", "start")
     return ordered.select("row.*")

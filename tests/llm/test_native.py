@@ -1,5 +1,6 @@
 """Operators of column functions: host rules, licences, mixing, fingerprints."""
 
+import heapq
 import random
 import re
 
@@ -321,3 +322,49 @@ def test_order_of_documents_across_slices(spark):
     found = {r.doc_id: r.following for r in sketches.with_next(cases.table(spark, rows), "doc_id", "text").collect()}
     ids.sort()
     assert found == {i: f"text {j}" for i, j in zip(ids, ids[1:] + ids[:1])}
+
+
+SETS = [MANY, [1, 1, 1], [5, 3, 1], [90, 1, 9, 30], [2.0**-i for i in range(20)], [i**-1.1 for i in range(1, 60)], [1], [0, 0, 1, 3], [0, 0]]
+
+
+@pytest.mark.parametrize("weights", [*SETS, *([random.Random(n).random() ** 3 for _ in range(8)] for n in range(3))])
+def test_slots_are_dealt_by_earliest_deadline(spark, weights):
+    """Periods put together are one walk along all slots, less than a block off the weights while all queues last."""
+    r = random.Random(len(weights))
+    blocks = [r.randint(1, 2000 // len(weights) + 1) for _ in weights]
+    names = [f"q{i:03}" for i in range(len(weights))]
+    found = mixing.slots(spark, dict(zip(names, weights)), dict(zip(names, blocks)), period=50, together=3).collect()
+    found.sort(key=lambda r: r.slot)
+    assert [r.slot for r in found] == list(range(sum(blocks)))
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    # One walk.
+    waiting, open_now, walked = sorted((r.release, r.queue, r.block, r.deadline) for r in found), [], []
+    for slot in range(sum(blocks)):
+        while waiting and waiting[0][0] <= slot:
+            _, queue, block, deadline = waiting.pop(0)
+            heapq.heappush(open_now, (deadline, queue, block))
+        walked.append(heapq.heappop(open_now)[1:])
+    assert [(r.queue, r.block) for r in found] == walked
+    # The line as fractions, to the end of the first queue.
+    whole = sum(weights) or len(weights)
+    share = {name: (w if sum(weights) else 1) / whole for name, w in zip(names, weights)}
+    first = min(int(n / share[name]) for name, n in zip(names, blocks) if share[name])
+    served = dict.fromkeys(names, 0)
+    for slot, (queue, block) in enumerate(walked):
+        assert block == served[queue]
+        served[queue] += 1
+        if slot < first:
+            assert all(abs(n - (slot + 1) * share[q]) < 1 + 1e-4 for q, n in served.items())
+    assert served == dict(zip(names, blocks))
+
+
+def test_mixing_is_less_than_a_block_off_its_targets(spark):
+    r = random.Random(5)
+    weights = {f"s{i}": r.random() ** 2 for i in range(8)}
+    rows = [(i, "x" * 100, "en", f"s{i % 8}", 0) for i in range(4000)]
+    found = mixing.mix(cases.table(spark, rows), weights=weights, block=100, period=64).collect()
+    share = {s: w / sum(weights.values()) for s, w in weights.items()}
+    served = dict.fromkeys(share, 0)
+    for row in sorted(found, key=lambda r: (r.slot, r.start))[: int(500 / max(share.values()))]:
+        served[row.queue] += 1
+        assert all(abs(n - (row.slot + 1) * share[q]) < 1 + 1e-4 for q, n in served.items())
