@@ -26,12 +26,24 @@ LEAST, WIDER = 8, (1, 4)
 ROUNDS = (15, 9)
 # Words in a paragraph at most; ids in one slice of the order of documents.
 LONGEST, SLICE = 24, 256
-# A word ends a paragraph if its last character is one of these: one of eight, in Latin, Greek and Cyrillic.
-ENDS = "".join(rf"\u{code:04x}" for code in range(0x21, 0x530) if code % 8 == 3)
+
+
+def _ends() -> str:
+    """The characters, in a class, that end a paragraph as a word's last: one of eight, in Latin, Greek and Cyrillic.
+
+    Java tries the characters of a class one by one beyond Latin-1, so these stand behind the ranges that they are in.
+    """
+    some = lambda low, high: "".join(rf"\u{code:04x}" for code in range(low, high) if code % 8 == 3)
+    beyond = "".join(rf"[\u{low:04x}-\u{low + 0x7F:04x}&&[{some(low, min(low + 0x80, 0x530))}]]" for low in range(0x100, 0x530, 0x80))
+    return rf"{some(0x21, 0x100)}[\u0100-\u052f&&[{beyond}]]"
+
+
+ENDS = _ends()
 
 # What a row of the peeling table is: a cell of the difference, a cell of the narrower side, a recovered digest.
 MAIN, NARROW, FOUND = 0, 1, 2
-CELL = ["pair", "wide", "narrow", "kind", "cell"]
+# Rows meet by cell and ``at``, which is pair, kind and the bits of both widths in one number: a short key is what rounds cost least with.
+CELL = ["at", "cell"]
 
 
 def digests(text: Column) -> Column:
@@ -54,10 +66,31 @@ def checked(value: Column) -> Column:
     return upper.bitwiseOR(F.xxhash64(upper).bitwiseAND(F.lit(0xFFFF)))
 
 
+def bits(size: Column, turn: int) -> Column:
+    """Bits of a cell's number in a row of a sketch of so many digests."""
+    return F.length(F.bin(F.greatest(size, F.lit(LEAST)).cast("long") - 1)) + (WIDER[turn].bit_length() - 1)
+
+
 def width(size: Column, turn: int) -> Column:
     """Cells in a row of a sketch of so many digests: a power of two."""
-    bits = F.length(F.bin(F.greatest(size, F.lit(LEAST)).cast("long") - 1))
-    return F.pow(F.lit(2.0), bits).cast("long") * WIDER[turn]
+    return _cells(bits(size, turn))
+
+
+def _cells(of_bits: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), of_bits.cast("int"))
+
+
+def _at(pair: Column, kind: Column, wide: Column, narrow: Column) -> Column:
+    """A pair's number (48 bits), what the row is, and the bits of the wider and the narrower side's widths."""
+    return pair.cast("long") * (1 << 14) + kind * (1 << 12) + wide * (1 << 6) + narrow
+
+
+def _pair() -> Column:
+    return F.shiftright("at", 14)
+
+
+def _kind() -> Column:
+    return F.shiftright("at", 12).bitwiseAND(F.lit(3))
 
 
 def _cell(digest: Column, wide: Column, row: int, turn: int) -> Column:
@@ -67,27 +100,27 @@ def _cell(digest: Column, wide: Column, row: int, turn: int) -> Column:
 
 def _round(cells: DataFrame, keys: list[str], row: int, turn: int) -> DataFrame:
     """Take out every digest that is alone in a cell of one row. A digest has one cell there, so none is taken twice."""
-    wide = F.when(F.col("kind") == MAIN, F.col("wide")).otherwise(F.col("narrow"))
+    wide, narrow = (_cells(F.shiftright("at", low).bitwiseAND(F.lit(63))) for low in (6, 0))
     alone = (
-        (F.col("kind") != FOUND)
+        (_kind() != FOUND)
         & (F.col("cell") % 3 == row)
         & (F.abs("n") == 1)
         & (checked(F.col("x")) == F.col("x"))
-        & (_cell(F.col("x"), wide, row, turn) == F.col("cell"))
+        & (_cell(F.col("x"), F.when(_kind() == MAIN, wide).otherwise(narrow), row, turn) == F.col("cell"))
     )
 
     # What a row becomes, by number: itself; a digest and what it takes out of two cells; the same in the
     # narrower sketch, and what it adds to the three cells of the difference. Numbers keep generated code short.
     after, last = (row + 1) % 3, (row + 2) % 3
-    becomes = F.when(~alone, F.expr("array(0)")).when(F.col("kind") == MAIN, F.expr("array(1, 2, 3)")).otherwise(F.expr("array(2, 3, 4, 5, 6)"))
+    becomes = F.when(~alone, F.expr("array(0)")).when(_kind() == MAIN, F.expr("array(1, 2, 3)")).otherwise(F.expr("array(2, 3, 4, 5, 6)"))
     rows = cells.select(*keys, *CELL, "n", "x", F.explode(becomes).alias("j"))
     j = F.col("j")
-    to_main = (j >= 4) | (F.col("kind") == MAIN)
+    to_main = (j >= 4) | (_kind() == MAIN)
     at = F.when(j >= 4, j - 4).when(j == 2, after).otherwise(last)
-    hashed = F.xxhash64(at + 3 * turn, F.col("x")).bitwiseAND(F.when(to_main, F.col("wide")).otherwise(F.col("narrow")) - 1) * 3 + at
+    hashed = F.xxhash64(at + 3 * turn, F.col("x")).bitwiseAND(F.when(to_main, wide).otherwise(narrow) - 1) * 3 + at
     rows = rows.select(
-        *keys, "pair", "wide", "narrow",
-        F.when(j == 1, FOUND).when(j >= 4, MAIN).otherwise(F.col("kind")).alias("kind"),
+        *keys,
+        F.when(j == 1, F.col("at") + (FOUND - MAIN) * (1 << 12)).when(j >= 4, F.col("at") + (MAIN - NARROW) * (1 << 12)).otherwise(F.col("at")).alias("at"),
         F.when(j == 0, F.col("cell")).when(j == 1, F.col("x")).otherwise(hashed).alias("cell"),
         F.when((j == 2) | (j == 3), -F.col("n")).otherwise(F.col("n")).alias("n"),
         F.when(j == 1, 0).otherwise(F.col("x")).alias("x"),
@@ -112,27 +145,19 @@ def _counts(peeled: DataFrame, keys: list[str]) -> DataFrame:
     """keys, pair, found, left: digests recovered, and (at least) how many are stuck."""
     # Cells without a count hold a digest of either side.
     stuck = [
-        F.coalesce(F.sum(F.when((F.col("kind") != FOUND) & (F.col("cell") % 3 == r), F.greatest(F.abs("n"), F.when(F.col("n") == 0, 2).otherwise(1)))), F.lit(0))
+        F.coalesce(F.sum(F.when((_kind() != FOUND) & (F.col("cell") % 3 == r), F.greatest(F.abs("n"), F.when(F.col("n") == 0, 2).otherwise(1)))), F.lit(0))
         for r in range(3)
     ]
-    return peeled.groupBy(*keys, "pair").agg(
-        F.count(F.when(F.col("kind") == FOUND, 1)).alias("found"), F.greatest(*stuck).alias("left")
+    return peeled.groupBy(*keys, _pair().alias("pair")).agg(
+        F.count(F.when(_kind() == FOUND, 1)).alias("found"), F.greatest(*stuck).alias("left")
     )
 
 
 def _as_pairs(sides: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the peeling table from keys, pair, own, other (widths), sign, cell, n, x."""
+    """Rows of the peeling table from keys, pair, own, other (bits of the widths), sign, cell, n, x."""
     wide, narrow = F.greatest("own", "other"), F.least("own", "other")
-    return sides.select(
-        *keys,
-        "pair",
-        wide.alias("wide"),
-        narrow.alias("narrow"),
-        F.when(F.col("own") < F.col("other"), NARROW).otherwise(MAIN).alias("kind"),
-        "cell",
-        (F.col("n") * F.col("sign")).cast("long").alias("n"),
-        "x",
-    )
+    kind = F.when(F.col("own") < F.col("other"), NARROW).otherwise(MAIN)
+    return sides.select(*keys, _at(F.col("pair"), kind, wide, narrow).alias("at"), "cell", (F.col("n") * F.col("sign")).cast("long").alias("n"), "x")
 
 
 def differing(pairs: DataFrame, key: str, left: str = "left", right: str = "right") -> DataFrame:
@@ -150,7 +175,7 @@ def differing(pairs: DataFrame, key: str, left: str = "left", right: str = "righ
 
     def attempt(some: DataFrame, turn: int) -> DataFrame:
         side = lambda c, own, other, sign: F.struct(
-            c.alias("print"), width(own, turn).alias("own"), width(other, turn).alias("other"), F.lit(sign).alias("sign")
+            c.alias("print"), bits(own, turn).alias("own"), bits(other, turn).alias("other"), F.lit(sign).alias("sign")
         )
         both = F.array(side(F.col("l"), F.col("nl"), F.col("nr"), 1), side(F.col("r"), F.col("nr"), F.col("nl"), -1))
         sides = some.select("key", F.lit(0).alias("pair"), F.inline(both))
@@ -160,7 +185,7 @@ def differing(pairs: DataFrame, key: str, left: str = "left", right: str = "righ
         sides = sides.where((F.size(part) == 4) & (part[0] == str(turn)))
         sides = sides.select("key", "pair", "own", "other", "sign", number(1).alias("cell"), number(2).alias("n"), number(3).alias("x"))
         peeled = _peeled(_as_pairs(sides, ["key"]), ["key"], turn)
-        named = lambda sign: F.collect_list(F.when((F.col("kind") == FOUND) & (F.signum("n") == sign), F.col("cell")))
+        named = lambda sign: F.collect_list(F.when((_kind() == FOUND) & (F.signum("n") == sign), F.col("cell")))
         only = peeled.groupBy("key").agg(F.array_sort(named(1)).alias("only_left"), F.array_sort(named(-1)).alias("only_right"))
         return only.join(_counts(peeled, ["key"]).drop("pair"), "key")
 
@@ -244,11 +269,11 @@ def edited_fingerprints(
     half = F.expr("length(text) div 2").cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("following", F.lit(1), half))
     rows = rows.withColumn("edited", edited)
-    first = _counts(_peeled(_pairs(rows, 0), KEYS, 0), KEYS).checkpoint()
+    first = _sizes(rows, 0).checkpoint()
     # Rows of a slice are told together, so that texts need not move to meet them.
     stuck = first.where("left > 0").groupBy("slice").agg(F.collect_set("row").alias("stuck"))
     again = rows.join(stuck, "slice").where(F.array_contains("stuck", F.col("row"))).drop("stuck")
-    second = _counts(_peeled(_pairs(again, 1), KEYS, 1), KEYS).checkpoint()
+    second = _sizes(again, 1).checkpoint()
     return _printed(rows, first, second, shown)
 
 
@@ -258,27 +283,27 @@ def _three() -> Column:
 
 
 def _pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """The peeling table of text and edited text (pair 0), and of text and next text (pair 1)."""
-    widths = [f"w{i}" for i in range(3)]
+    """The peeling table of text and edited text (pair 2 * row), and of text and next text (pair 2 * row + 1)."""
 
     def of_sides(sets: Column) -> Column:
-        sized = [width(F.size(sets[i]), turn).alias(name) for i, name in enumerate(widths)]
-        return F.array(*[F.struct(F.lit(i).alias("side"), sets[i].alias("set"), *sized) for i in range(3)])
-
-    sides = rows.select(*KEYS, F.inline(_bound(_three(), of_sides)))
-    sides = sides.withColumn("own", F.element_at(F.array(*widths), F.col("side") + 1))
-    digest = sides.select(*KEYS, *widths, "side", "own", F.explode("set").alias("digest"))
-    each = F.array(*[_cell(F.col("digest"), F.col("own"), r, turn) for r in range(3)])
-    placed = digest.select(*KEYS, *widths, "side", "own", "digest", F.explode(each).alias("cell"))
-    # The sketches of the three texts, which are those of their fingerprints.
-    cells = placed.groupBy(*KEYS, *widths, "side", "own", "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("digest").alias("x"))
-    part = lambda pair, other, sign: F.struct(F.lit(pair).alias("pair"), F.col(other).alias("other"), F.lit(sign).alias("sign"))
-    parts = (
-        F.when(F.col("side") == 0, F.array(part(0, "w1", 1), part(1, "w2", 1)))
-        .when(F.col("side") == 1, F.array(part(0, "w0", -1)))
-        .otherwise(F.array(part(1, "w0", -1)))
-    )
-    return _as_pairs(cells.select(*KEYS, "own", "cell", "n", "x", F.inline(parts)), KEYS)
+        own = [bits(F.size(sets[i]), turn) for i in range(3)]
+        side = lambda pair, i, other, sign: F.struct(
+            (F.col("row").cast("long") * 2 + pair).alias("pair"), sets[i].alias("set"), own[i].alias("own"), own[other].alias("other"), F.lit(sign).alias("sign")
+        )
+        return F.array(side(0, 0, 1, 1), side(1, 0, 2, 1), side(0, 1, 0, -1), side(1, 2, 0, -1))
+
+    sides = rows.select("slice", F.inline(_bound(_three(), of_sides)))
+    digest = sides.select("slice", "pair", "own", "other", "sign", F.explode("set").alias("x"))
+    each = F.array(*[_cell(F.col("x"), _cells(F.col("own")), r, turn) for r in range(3)])
+    # Sums by cell make the sketches of the texts, which are those of their fingerprints, and subtract them in one go.
+    placed = digest.select("slice", "pair", "own", "other", "sign", F.explode(each).alias("cell"), F.lit(1).alias("n"), "x")
+    return _as_pairs(placed, ["slice"])
+
+
+def _sizes(rows: DataFrame, turn: int) -> DataFrame:
+    """slice, row, pair (0: edited text, 1: next text), found, left."""
+    counts = _counts(_peeled(_pairs(rows, turn), ["slice"], turn), ["slice"])
+    return counts.select("slice", F.shiftright("pair", 1).cast("int").alias("row"), (F.col("pair") % 2).cast("int").alias("pair"), "found", "left")
 
 
 def _printed(rows: DataFrame, first: DataFrame, second: DataFrame, shown: Callable[[Column], Column]) -> DataFrame:
@@ -289,36 +314,43 @@ def _printed(rows: DataFrame, first: DataFrame, second: DataFrame, shown: Callab
     rows = rows.join(told, "slice", "left").withColumn("edited_shown", shown(F.col("edited")))
     apart = [F.coalesce(F.col("told")[F.struct(F.col("row"), F.lit(pair).alias("pair"))], F.lit(0)).alias(f"apart{pair}") for pair in (0, 1)]
     rows = rows.select(*KEYS, "doc_id", F.length("text").cast("long").alias("n_chars"), "edited_shown", *apart, "text", "edited", "following")
-    widths = [f"w{turn}" for turn in range(len(WIDER))]
 
-    def lines_of(sets: Column) -> Column:
+    def of_sets(sets: Column) -> Column:
         size = [F.size(sets[i]) for i in range(3)]
         near = [likeness(size[0], size[pair + 1], F.col(f"apart{pair}")) for pair in (0, 1)]
-        about = F.struct(
-            "doc_id", "n_chars", F.col("edited_shown").alias("edited"),
-            size[0].alias("n0"), size[1].alias("n1"), near[0].alias("near_edited"), near[1].alias("near_next"),
+        return F.struct(
+            as_text(sets[0]).alias("fingerprint"), as_text(sets[1]).alias("edited_fingerprint"),
+            near[0].alias("near_edited"), near[1].alias("near_next"),
         )
-        wide = lambda of: [width(of, turn).alias(name) for turn, name in enumerate(widths)]
-        # What is known of a document is one more row beside its digests, so that it needs no join to meet its cells.
-        lines = [F.struct(F.lit(i).alias("side"), sets[i].alias("set"), *wide(size[i]), F.when(F.lit(False), about).alias("about")) for i in (0, 1)]
-        last = F.struct(F.lit(2).alias("side"), F.array(F.lit(0).cast("long")).alias("set"), *wide(F.lit(0)), about.alias("about"))
-        return F.array(*lines, last)
-
-    lines = rows.select(*KEYS, F.inline(_bound(_three(), lines_of)))
-    lines = lines.select(*KEYS, "side", "about", *widths, F.explode("set").alias("x"))
-    cell = lambda turn, r: F.struct(F.lit(turn).alias("turn"), _cell(F.col("x"), F.col(widths[turn]), r, turn).alias("cell"))
-    none = F.array(F.struct(F.lit(-1).alias("turn"), F.lit(-1).cast("long").alias("cell")))
-    every = F.array(*[cell(turn, r) for turn in range(len(WIDER)) for r in range(3)])
-    cells = lines.select(*KEYS, "side", "about", "x", F.inline(F.when(F.col("side") == 2, none).otherwise(every)))
-    cells = cells.groupBy(*KEYS, "side", "about", "turn", "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("x").alias("x"))
-    entry = F.struct("turn", "cell", F.concat_ws(".", F.hex("turn"), F.hex("cell"), F.hex("n"), F.lower(F.hex("x"))).alias("as_text"))
-    whole = cells.groupBy(*KEYS).agg(
-        F.first("about", ignorenulls=True).alias("about"),
-        *[F.array_sort(F.collect_list(F.when(F.col("side") == side, entry))).alias(f"cells{side}") for side in (0, 1)],
-    )
-    text = lambda side: F.concat_ws(" ", F.hex(f"about.n{side}"), F.array_join(F.col(f"cells{side}")["as_text"], " "))
-    return whole.select(
-        "about.doc_id", "about.n_chars", "about.edited",
-        text(0).alias("fingerprint"), text(1).alias("edited_fingerprint"),
-        "about.near_edited", "about.near_next",
-    )
+
+    return rows.select("doc_id", "n_chars", F.col("edited_shown").alias("edited"), F.inline(F.array(_bound(_three(), of_sets))))
+
+
+def as_text(digest: Column) -> Column:
+    """The fingerprint of a set of digests: its size, and the cells of both sketches in order, as turn.cell.count.digests in hexadecimal.
+
+    Digests are sorted by cell within their row of the table, so cells are runs and meet without a join or an aggregation.
+    """
+
+    def placed(x: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(turn).alias("turn"), _cell(x, width(F.size(digest), turn), r, turn).alias("cell"), x.alias("x"))
+            for turn in range(len(WIDER)) for r in range(3)
+        ])
+
+    def of_entries(entries: Column) -> Column:
+        def is_first(entry: Column, i: Column) -> Column:
+            before = F.get(entries, i - 1)
+            return F.when((i > 0) & (before["cell"] == entry["cell"]) & (before["turn"] == entry["turn"]), F.lit(None)).otherwise(i)
+
+        return _bound(F.array_compact(F.transform(entries, is_first)), lambda firsts: F.transform(firsts, lambda at, i: one(entries, firsts, at, i)))
+
+    def one(entries: Column, firsts: Column, at: Column, i: Column) -> Column:
+        entry = F.get(entries, at)
+        n = F.coalesce(F.get(firsts, i + 1), F.size(entries)) - at
+        together = F.aggregate(F.slice(entries, at + 1, n), F.lit(0).cast("long"), lambda some, e: some.bitwiseXOR(e["x"]))
+        x = F.when(n == 1, entry["x"]).otherwise(together)
+        return F.concat_ws(".", F.hex(entry["turn"]), F.hex(entry["cell"]), F.hex(n), F.lower(F.hex(x)))
+
+    cells = _bound(F.sort_array(F.flatten(F.transform(digest, placed))), of_entries)
+    return F.concat_ws(" ", F.hex(F.size(digest)), F.array_join(cells, " "))

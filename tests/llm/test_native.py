@@ -316,6 +316,42 @@ def test_fingerprints_give_back_the_differing_digests(spark):
     assert [r.likeness for r in sketches.differing(odd, "pair").collect()] == [1.0, 1.0]
 
 
+def test_paragraph_ends_are_found_in_a_few_steps(spark):
+    chars = spark.range(0x21, 0x2000).select("id", F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    found = {r.id for r in chars.where(F.col("c").rlike(f"[{sketches.ENDS}]")).collect()}
+    assert found == {code for code in range(0x21, 0x530) if code % 8 == 3}
+    # A class tries its characters beyond Latin-1 one after the other, for each word of a text.
+    beyond = r"(?:\\u(?!00)[0-9a-f]{4}(?!-))+"
+    assert max(len(run) // 6 for run in re.findall(beyond, sketches.ENDS)) <= 16
+
+
+def test_fingerprints_are_printed_without_moving_cells(spark):
+    r = random.Random(7)
+    sets = [[], [5], *([r.getrandbits(63) - 2**62 for _ in range(n)] for n in (8, 9, 33, 64, 3000))]
+    frame = spark.createDataFrame(list(enumerate(sets)), "id int, digest array<bigint>")
+    told = frame.select("id", sketches.as_text(F.col("digest")).alias("print"))
+    assert not re.search("Aggregate|Exchange|Generate", told._jdf.queryExecution().executedPlan().toString())
+    found = {row.id: row["print"] for row in told.collect()}
+    x, size = F.col("x"), F.size("digest")
+    places = [F.struct(F.lit(t).alias("t"), sketches._cell(x, sketches.width(size, t), row, t).alias("c")) for t in (0, 1) for row in range(3)]
+    cells = {i: {} for i in range(len(sets))}
+    for row in frame.select("id", size.alias("n"), "digest", F.explode("digest").alias("x")).select("id", "x", F.inline(F.array(*places))).collect():
+        n, xor = cells[row.id].get((row.t, row.c), (0, 0))
+        cells[row.id][row.t, row.c] = n + 1, xor ^ row.x
+    assert any(n > 2 for n, _ in cells[6].values())
+    for i, digests in enumerate(sets):
+        entries = [f"{t}.{c:X}.{n:X}.{xor & (2**64 - 1):x}" for (t, c), (n, xor) in sorted(cells[i].items())]
+        assert found[i] == f"{len(digests):X} " + " ".join(entries)
+
+
+def test_rounds_of_peeling_meet_by_short_keys(spark):
+    docs = cases.table(spark, [(i, f"a{i}c b{i}c", "en", "s", 0) for i in range(3)])
+    rows = sketches.with_next(docs, "doc_id", "text").withColumn("edited", F.col("text"))
+    plan = sketches._sizes(rows, 0)._jdf.queryExecution().executedPlan().toString()
+    keys = [names.count(",") + 1 for names in re.findall(r"HashAggregate\(keys=\[([^\]]+)\], functions=\[(?:partial_)?sum\(n#", plan)]
+    assert keys and max(keys) <= 3
+
+
 def test_order_of_documents_across_slices(spark):
     ids = [0, 3, 1023, 1024, 5000, 5001, 10**9, 10**12, -7]
     rows = [(i, f"text {i}", "en", "s", 0) for i in ids]
