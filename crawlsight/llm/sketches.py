@@ -23,9 +23,13 @@ from ..session import ensure_checkpoint_dir
 # Least width of a sketch's rows, and how much wider that of each try is.
 LEAST, WIDER = 8, (1, 4)
 # Rounds of peeling by try. A round looks at one of the three rows of cells, so three make a pass.
-ROUNDS = (15, 9)
+# After the first passes most pairs have no cells left; those that only counts are wanted of go on as one row each.
+ROUNDS, PASSED = (15, 9), 6
 # Words in a paragraph at most; ids in one slice of the order of documents.
 LONGEST, SLICE = 24, 256
+# Bytes of text that a partition is to have. Its cells take some fifty times as much, and a round of peeling that has to spill them costs more than
+# all else it does.
+PORTION = 1 << 22
 
 
 def _ends() -> str:
@@ -40,8 +44,8 @@ def _ends() -> str:
 
 ENDS = _ends()
 
-# What a row of the peeling table is: a cell of the difference, a cell of the narrower side, a recovered digest.
-MAIN, NARROW, FOUND = 0, 1, 2
+# What a row of the peeling table is: a cell of the difference, a cell of the narrower side, a recovered digest, or how many of them a pair without cells has.
+MAIN, NARROW, FOUND, COUNTED = 0, 1, 2, 3
 # Rows meet by cell and ``at``, which is pair, kind and the bits of both widths in one number: a short key is what rounds cost least with.
 CELL = ["at", "cell"]
 
@@ -102,7 +106,7 @@ def _round(cells: DataFrame, keys: list[str], row: int, turn: int) -> DataFrame:
     """Take out every digest that is alone in a cell of one row. A digest has one cell there, so none is taken twice."""
     wide, narrow = (_cells(F.shiftright("at", low).bitwiseAND(F.lit(63))) for low in (6, 0))
     alone = (
-        (_kind() != FOUND)
+        (_kind() < FOUND)
         & (F.col("cell") % 3 == row)
         & (F.abs("n") == 1)
         & (checked(F.col("x")) == F.col("x"))
@@ -133,23 +137,39 @@ def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
     return sums.where("n != 0 OR x != 0")
 
 
-def _peeled(cells: DataFrame, keys: list[str], turn: int) -> DataFrame:
-    """Recovered digests as rows of kind FOUND (``cell`` is the digest, ``n`` its side), and cells that are left."""
+def _peeled(cells: DataFrame, keys: list[str], turn: int, counted: bool = False) -> DataFrame:
+    """Recovered digests as rows of kind FOUND (``cell`` is the digest, ``n`` its side), and cells that are left.
+
+    With ``counted``, pairs that are done early have their number of digests as ``n`` of one row of kind COUNTED instead.
+    """
     cells = _summed(cells, keys)
     for i in range(ROUNDS[turn]):
+        if counted and i == PASSED:
+            cells = _done_as_counts(cells, keys)
         cells = _round(cells, keys, i % 3, turn)
     return cells
 
 
+def _done_as_counts(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Nothing becomes of a pair without cells, so its digests need not be carried through further rounds."""
+    done = F.min(_kind()).over(Window.partitionBy(*keys, _pair())) == FOUND
+    rows = cells.select(*keys, *CELL, "n", "x", done.alias("done"))
+    return rows.select(
+        *keys,
+        F.when(F.col("done"), F.col("at").bitwiseOR(F.lit(0x3FFF))).otherwise(F.col("at")).alias("at"),
+        *[F.when(F.col("done"), F.lit(value).cast("long")).otherwise(F.col(name)).alias(name) for name, value in (("cell", 0), ("n", 1), ("x", 0))],
+    )
+
+
 def _counts(peeled: DataFrame, keys: list[str]) -> DataFrame:
     """keys, pair, found, left: digests recovered, and (at least) how many are stuck."""
     # Cells without a count hold a digest of either side.
     stuck = [
-        F.coalesce(F.sum(F.when((_kind() != FOUND) & (F.col("cell") % 3 == r), F.greatest(F.abs("n"), F.when(F.col("n") == 0, 2).otherwise(1)))), F.lit(0))
+        F.coalesce(F.sum(F.when((_kind() < FOUND) & (F.col("cell") % 3 == r), F.greatest(F.abs("n"), F.when(F.col("n") == 0, 2).otherwise(1)))), F.lit(0))
         for r in range(3)
     ]
     return peeled.groupBy(*keys, _pair().alias("pair")).agg(
-        F.count(F.when(_kind() == FOUND, 1)).alias("found"), F.greatest(*stuck).alias("left")
+        F.sum(F.when(_kind() == FOUND, 1).when(_kind() == COUNTED, F.col("n")).otherwise(0)).alias("found"), F.greatest(*stuck).alias("left")
     )
 
 
@@ -225,24 +245,33 @@ def _following(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, text, following, slice, row: the text of the next document by ascending id; after the last comes the first.
+def portions(docs: DataFrame, text: str) -> int:
+    """Partitions that texts are dealt to, by their size."""
+    size = F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long") + 64
+    return (docs.agg(F.sum(size)).first()[0] or 0) // PORTION + 1
+
+
+def with_next(docs: DataFrame, doc_id: str, text: str, n: int | None = None) -> DataFrame:
+    """doc_id, text, set, following, following_set, slice, row: the text of the next document by ascending id; after the last comes the first.
 
     Documents lie in slices of neighbouring ids. The first document of a slice is also put at the end of
-    the slice before, so no slice needs to see another.
+    the slice before, so no slice needs to see another. ``set`` and ``following_set`` are the digests of both texts.
+    Slices are dealt to ``n`` partitions; what is dealt like this too can be joined by slice without moving a text again.
     """
+    n = n or portions(docs, text)
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)).cast("long"))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), key.alias("key")
-    ).withColumn("slice", F.floor(F.col("key") / SLICE))
+    ).withColumn("slice", F.coalesce(F.floor(F.col("key") / SLICE), F.lit(0)))
     order = F.struct("key", F.xxhash64("text"))
     firsts = rows.groupBy("slice").agg(F.min_by("text", order).alias("text"))
     ends = _following(rows).join(firsts.withColumnRenamed("slice", "after"), "after")
     ends = ends.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("long").alias("key"), "slice", F.lit(True).alias("end"))
-    both = rows.withColumn("end", F.lit(False)).unionByName(ends)
-    by_id = Window.partitionBy("slice").orderBy("end", "key", F.xxhash64("text"))
-    both = both.withColumn("following", F.lead("text").over(by_id)).withColumn("row", F.row_number().over(by_id))
-    return both.where("NOT end").select("doc_id", "text", "following", "slice", "row")
+    both = rows.withColumn("end", F.lit(False)).unionByName(ends).repartition(n, "slice").withColumn("set", digests(F.col("text")))
+    # All that read these rows read all columns that are dealt, so that one plan deals them once: hence the id in the order, and slices that are never NULL.
+    by_id = Window.partitionBy("slice").orderBy("end", "key", F.xxhash64("text"), "doc_id")
+    after = {"following": F.lead("text").over(by_id), "following_set": F.lead("set").over(by_id), "row": F.row_number().over(by_id)}
+    return both.withColumns(after).where("NOT end").select("doc_id", "text", "set", "following", "following_set", "slice", "row")
 
 
 KEYS = ["slice", "row"]
@@ -265,21 +294,21 @@ def edited_fingerprints(
     no rows. Very long texts are whole; their cells are rows, but a fingerprint is one value. Other columns do not matter.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = with_next(docs, doc_id, text)
+    n = portions(docs, text)
+    rows = with_next(docs, doc_id, text, n)
     half = F.expr("length(text) div 2").cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("following", F.lit(1), half))
     rows = rows.withColumn("edited", edited)
     first = _sizes(rows, 0).checkpoint()
     # Rows of a slice are told together, so that texts need not move to meet them.
-    stuck = first.where("left > 0").groupBy("slice").agg(F.collect_set("row").alias("stuck"))
+    stuck = first.where("left > 0").groupBy("slice").agg(F.collect_set("row").alias("stuck")).repartition(n, "slice")
     again = rows.join(stuck, "slice").where(F.array_contains("stuck", F.col("row"))).drop("stuck")
-    second = _sizes(again, 1).checkpoint()
-    return _printed(rows, first, second, shown)
+    return _printed(rows, first, _sizes(again, 1), shown, n)
 
 
 def _three() -> Column:
     """The digests of a row's text, its edited text and the next text."""
-    return F.array(*[digests(F.col(name)) for name in ("text", "edited", "following")])
+    return F.array(F.col("set"), digests(F.col("edited")), F.col("following_set"))
 
 
 def _pairs(rows: DataFrame, turn: int) -> DataFrame:
@@ -302,18 +331,18 @@ def _pairs(rows: DataFrame, turn: int) -> DataFrame:
 
 def _sizes(rows: DataFrame, turn: int) -> DataFrame:
     """slice, row, pair (0: edited text, 1: next text), found, left."""
-    counts = _counts(_peeled(_pairs(rows, turn), ["slice"], turn), ["slice"])
+    counts = _counts(_peeled(_pairs(rows, turn), ["slice"], turn, counted=True), ["slice"])
     return counts.select("slice", F.shiftright("pair", 1).cast("int").alias("row"), (F.col("pair") % 2).cast("int").alias("pair"), "found", "left")
 
 
-def _printed(rows: DataFrame, first: DataFrame, second: DataFrame, shown: Callable[[Column], Column]) -> DataFrame:
+def _printed(rows: DataFrame, first: DataFrame, second: DataFrame, shown: Callable[[Column], Column], n: int) -> DataFrame:
     """The result, from texts and the sizes of their differences."""
     # Both pairs of a row are tried again where one is stuck.
     told = first.where("left = 0").unionByName(second).groupBy(*KEYS, "pair").agg(F.min_by(F.col("found") + F.col("left"), "left").alias("apart"))
-    told = told.groupBy("slice").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("row", "pair"), "apart"))).alias("told"))
+    told = told.groupBy("slice").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("row", "pair"), "apart"))).alias("told")).repartition(n, "slice")
     rows = rows.join(told, "slice", "left").withColumn("edited_shown", shown(F.col("edited")))
     apart = [F.coalesce(F.col("told")[F.struct(F.col("row"), F.lit(pair).alias("pair"))], F.lit(0)).alias(f"apart{pair}") for pair in (0, 1)]
-    rows = rows.select(*KEYS, "doc_id", F.length("text").cast("long").alias("n_chars"), "edited_shown", *apart, "text", "edited", "following")
+    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "edited_shown", *apart, "set", "edited", "following_set")
 
     def of_sets(sets: Column) -> Column:
         size = [F.size(sets[i]) for i in range(3)]
@@ -330,27 +359,28 @@ def as_text(digest: Column) -> Column:
     """The fingerprint of a set of digests: its size, and the cells of both sketches in order, as turn.cell.count.digests in hexadecimal.
 
     Digests are sorted by cell within their row of the table, so cells are runs and meet without a join or an aggregation.
+    What is sorted is one number for a cell and the place of a digest in the set, of 28 bits: a set that needs more has no text that a value can hold.
     """
+    place = F.lit((1 << 28) - 1)
+    digest_at = lambda entry: F.get(digest, entry.bitwiseAND(place).cast("int"))
+    cell_of = lambda entry: F.shiftright(entry, 28)
 
-    def placed(x: Column) -> Column:
-        return F.array(*[
-            F.struct(F.lit(turn).alias("turn"), _cell(x, width(F.size(digest), turn), r, turn).alias("cell"), x.alias("x"))
-            for turn in range(len(WIDER)) for r in range(3)
-        ])
+    def sketch(turn: int) -> Column:
+        def of_width(wide: Column) -> Column:
+            placed = lambda x, i: F.array(*[F.call_function("shiftleft", _cell(x, wide, r, turn), F.lit(28)).bitwiseOR(i) for r in range(3)])
+            return _bound(F.sort_array(F.flatten(F.transform(digest, placed))), of_entries)
 
-    def of_entries(entries: Column) -> Column:
-        def is_first(entry: Column, i: Column) -> Column:
-            before = F.get(entries, i - 1)
-            return F.when((i > 0) & (before["cell"] == entry["cell"]) & (before["turn"] == entry["turn"]), F.lit(None)).otherwise(i)
+        def of_entries(entries: Column) -> Column:
+            is_first = lambda entry, i: F.when((i > 0) & (cell_of(F.get(entries, i - 1)) == cell_of(entry)), F.lit(None)).otherwise(i)
+            return _bound(F.array_compact(F.transform(entries, is_first)), lambda firsts: F.transform(firsts, lambda at, i: one(entries, firsts, at, i)))
 
-        return _bound(F.array_compact(F.transform(entries, is_first)), lambda firsts: F.transform(firsts, lambda at, i: one(entries, firsts, at, i)))
+        def one(entries: Column, firsts: Column, at: Column, i: Column) -> Column:
+            entry = F.get(entries, at)
+            n = F.coalesce(F.get(firsts, i + 1), F.size(entries)) - at
+            together = F.aggregate(F.slice(entries, at + 1, n), F.lit(0).cast("long"), lambda some, e: some.bitwiseXOR(digest_at(e)))
+            shown = lambda n, x: F.concat(F.lit(f"{turn:X}."), F.hex(cell_of(entry)), n, F.lower(F.hex(x)))
+            return F.when(n == 1, shown(F.lit(".1."), digest_at(entry))).otherwise(shown(F.concat(F.lit("."), F.hex(n), F.lit(".")), together))
 
-    def one(entries: Column, firsts: Column, at: Column, i: Column) -> Column:
-        entry = F.get(entries, at)
-        n = F.coalesce(F.get(firsts, i + 1), F.size(entries)) - at
-        together = F.aggregate(F.slice(entries, at + 1, n), F.lit(0).cast("long"), lambda some, e: some.bitwiseXOR(e["x"]))
-        x = F.when(n == 1, entry["x"]).otherwise(together)
-        return F.concat_ws(".", F.hex(entry["turn"]), F.hex(entry["cell"]), F.hex(n), F.lower(F.hex(x)))
+        return _bound(width(F.size(digest), turn), of_width)
 
-    cells = _bound(F.sort_array(F.flatten(F.transform(digest, placed))), of_entries)
-    return F.concat_ws(" ", F.hex(F.size(digest)), F.array_join(cells, " "))
+    return F.concat_ws(" ", F.hex(F.size(digest)), F.array_join(F.concat(*[sketch(turn) for turn in range(len(WIDER))]), " "))

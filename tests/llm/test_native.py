@@ -352,6 +352,39 @@ def test_rounds_of_peeling_meet_by_short_keys(spark):
     assert keys and max(keys) <= 3
 
 
+def test_texts_are_dealt_by_size_and_cut_once(spark, monkeypatch):
+    rows = [(700 * i, " ".join(f"w{i}c{j}c" for j in range(40)), "en", "s", 0) for i in range(30)] + [(None, None, None, None, None)]
+    docs = cases.table(spark, rows)
+    whole = {tuple(r) for r in sketches.edited_fingerprints(docs).collect()}
+    monkeypatch.setattr(sketches, "PORTION", 1000)
+    n = sketches.portions(docs, "text")
+    assert n == sum(len(text or "") + 64 for _, text, *_ in rows) // 1000 + 1
+    dealt = sketches.with_next(docs, "doc_id", "text")
+    assert dealt.select(F.spark_partition_id().alias("part")).distinct().count() > 5
+    assert {tuple(r) for r in sketches.edited_fingerprints(docs).collect()} == whole
+    # A text's paragraphs are those of the row before's next text too.
+    plan = sketches._sizes(dealt.withColumn("edited", F.col("text").substr(1, 9)), 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"regexp_extract_all\(", plan)) == 2
+
+
+def test_second_try_and_printing_share_the_dealt_texts(spark, small):
+    found = queries.QUERIES["op8_fingerprints"](spark, small)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert len(re.findall(r"ReusedExchange \[doc_id#[^\n]*REPARTITION_BY_NUM", plan)) == 1
+
+
+def test_pairs_without_cells_go_on_as_counts(spark):
+    rows = [(i, " ".join(f"a{i}d{j}c" for j in range(1 + i * 7 % 60)), "en", "s", 0) for i in range(120)]
+    docs = sketches.with_next(cases.table(spark, rows), "doc_id", "text").withColumn("edited", F.concat("text", F.lit("\nmore")))
+    cells, keys = sketches._pairs(docs, 0).persist(), ["slice"]
+    counts = lambda peeled: sorted(tuple(r) for r in sketches._counts(peeled, keys).collect())
+    peeled, counted = sketches._peeled(cells, keys, 0), sketches._peeled(cells, keys, 0, counted=True).persist()
+    assert counts(counted) == counts(peeled) and len(counts(peeled)) == 240
+    kinds = dict(counted.groupBy(sketches._kind()).count().collect())
+    assert kinds[sketches.COUNTED] > 200 and kinds.get(sketches.FOUND, 0) < peeled.count() / 2
+
+
 def test_order_of_documents_across_slices(spark):
     ids = [0, 3, 1023, 1024, 5000, 5001, 10**9, 10**12, -7]
     rows = [(i, f"text {i}", "en", "s", 0) for i in ids]
