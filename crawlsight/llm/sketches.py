@@ -27,9 +27,8 @@ LEAST, WIDER = 8, (1, 4)
 ROUNDS, PASSED = (15, 9), 6
 # Words in a paragraph at most; ids in one slice of the order of documents.
 LONGEST, SLICE = 24, 256
-# Bytes of text that a partition is to have. Its cells take some fifty times as much, and a round of peeling that has to spill them costs more than
-# all else it does.
-PORTION = 1 << 22
+# Bytes of text that a partition is to have. There is a row of cells for each seven of them, and rounds of peeling that have to spill those cost far more.
+PORTION = 1 << 23
 
 
 def _ends() -> str:
